@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference processes dated full snapshots of its line lists and needs their
+global date bounds before it can lay out the calendar, so it has no streaming,
+watermark or state handling.  Nothing is built here; see README.md.
+"""
