@@ -15,8 +15,12 @@ from pyspark.sql import functions as F
 from ..functions.columns import Selector, select_names
 from ..functions.dates import week_floor
 
-DAY = F.expr("INTERVAL 1 DAY")
-WEEK = F.expr("INTERVAL 7 DAYS")
+def DAY() -> Column:
+    return F.expr("INTERVAL 1 DAY")
+
+
+def WEEK() -> Column:
+    return F.expr("INTERVAL 7 DAYS")
 
 
 def pivot_longer(df: DataFrame, selector: Selector | Sequence[str], names_to: str = "name",
@@ -46,7 +50,7 @@ def complete_fixed(df: DataFrame, keys: Sequence[str], col: str, domain: Sequenc
 def complete_dates(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """Per key group, add every missing day between the group's own min and max."""
     b = df.groupBy(*keys).agg(F.min(col).alias("__lo"), F.max(col).alias("__hi"))
-    grid = b.select(*keys, F.explode(F.sequence("__lo", "__hi", DAY)).alias(col))
+    grid = b.select(*keys, F.explode(F.sequence("__lo", "__hi", DAY())).alias(col))
     return grid.join(df, [*keys, col], "left")
 
 
@@ -59,7 +63,7 @@ def bounds_scalar(events: DataFrame, col: str) -> tuple[Column, Column]:
 def calendar(events: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """Every day between the global bounds of ``col``, one row per day."""
     b = events.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    return b.select(F.explode(F.sequence("lo", "hi", DAY)).alias(name or col))
+    return b.select(F.explode(F.sequence("lo", "hi", DAY())).alias(name or col))
 
 
 def replace_na(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -68,7 +72,7 @@ def replace_na(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 
 def cross_calendar(keys: DataFrame, events: DataFrame, col: str, key: str = "ubigeo",
-                   step: Column = DAY, floor=None) -> DataFrame:
+                   step: Column | None = None, floor=None) -> DataFrame:
     """Every key paired with every date between the events' global bounds.
 
     ``floor`` maps both bounds first (e.g. to the week start, with a 7-day step).
@@ -76,7 +80,7 @@ def cross_calendar(keys: DataFrame, events: DataFrame, col: str, key: str = "ubi
     lo, hi = bounds_scalar(events, col)
     if floor is not None:
         lo, hi = floor(lo), floor(hi)
-    return keys.select(key, F.explode(F.sequence(lo, hi, step)).alias(col))
+    return keys.select(key, F.explode(F.sequence(lo, hi, step if step is not None else DAY())).alias(col))
 
 
 def sort_by(df: DataFrame, *cols: str) -> DataFrame:
@@ -106,7 +110,7 @@ def weekly_counts(events: DataFrame, keys: DataFrame, date_col: str, value: str,
         F.map_from_entries(F.collect_list(F.struct("week_start", value))).alias("__m"))
     grid = keys.select(key).join(per_key, key, "left")
     weeks = grid.select(key, "__m",
-                        F.explode(F.sequence(week_floor(lo), week_floor(hi), WEEK)).alias("week_start"))
+                        F.explode(F.sequence(week_floor(lo), week_floor(hi), WEEK())).alias("week_start"))
     return weeks.select(key, "week_start",
                         F.coalesce(F.try_element_at("__m", F.col("week_start")), F.lit(0).cast("bigint")).alias(value))
 

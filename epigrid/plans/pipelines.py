@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import across, col_range, letters_to_zero, per_100k, starts_with, to_double
 from ..functions.dates import epi_week, epi_year, parse_ymd, year_week_label
+from ..functions.labels import label_table
 from ..operators import aggregate as A
+from ..operators import classify as B
+from ..operators import dissolve as G
 from ..operators import densify as R
 from ..operators import filters as FL
 from ..operators import joins as J
@@ -147,6 +150,68 @@ def department_weekly_rates(cases: DataFrame, deaths: DataFrame, districts: Data
     return rates(J.join_on(counts, dep_pop, ["department"]))
 
 
+# --------------------------------------------------------------------- C6/C7/C9
+HEATMAP_METHODS = ("quantile", "kmeans", "fisher", "geom", "arith", "em")
+
+
+def breaks_for(df: DataFrame, cols: list[str], method: str, k: int) -> DataFrame:
+    """Breaks of each column of ``df`` pooled over all its rows: ``(g, breaks)``."""
+    vals = B.long_values(df, cols)
+    if method == "kmeans":
+        return B.kmeans_breaks(vals, k, groups=cols)
+    return B.class_breaks(vals, k, method)
+
+
+def classify(df: DataFrame, cols: list[str], methods, k: int, labels: bool = True,
+             dig_lab: int = 5, consume: bool = True) -> DataFrame:
+    """Add ``{col}_{method}`` classes (labels or 1-based indices) for every column and method.
+
+    Breaks are one small row per column; each is read back as a scalar subquery,
+    so the table itself is never joined or shuffled for the classification.
+    """
+    refs, out = {}, {}
+    for m in methods:
+        br = B._checkpoint(breaks_for(df, cols, m, k), "breaks")
+        if labels:
+            lab = B._checkpoint(label_table(br, dig_lab), "labels")
+        for c in cols:
+            refs[f"__b_{c}_{m}"] = br.where(F.col("g") == c).select("breaks").scalar()
+            idx = B.cut_index(F.col(c), F.col(f"__b_{c}_{m}"), k)
+            if labels:
+                refs[f"__l_{c}_{m}"] = lab.where(F.col("g") == c).select("labels").scalar()
+                out[f"{c}_{m}"] = F.element_at(F.col(f"__l_{c}_{m}"), idx)
+            else:
+                out[f"{c}_{m}"] = idx
+    # one projection holds each scalar subquery once; the classes read its columns
+    res = df.withColumns(refs).withColumns(out).drop(*refs)
+    return res.drop(*cols) if consume else res
+
+
+def department_weekly_classes(rates_df: DataFrame, methods=HEATMAP_METHODS, labels: bool = True,
+                              k: int = 4) -> DataFrame:
+    """Department-week classes, 6 methods x 2 measures, the measures consumed."""
+    rates_df = B._checkpoint(rates_df)
+    return classify(rates_df, ["cases", "deaths"], methods, k, labels=labels)
+
+
+def province_bivariate(prates: DataFrame, k: int = 3, style: str = "jenks") -> DataFrame:
+    """Bivariate class ``x-y`` of case and death rates (natural breaks, k classes)."""
+    prates = B._checkpoint(prates)
+    cls = classify(prates, ["cases", "deaths"], [style], k, labels=False, consume=False)
+    return (cls.withColumn("bi_class", B.bi_class(F.col(f"cases_{style}"), F.col(f"deaths_{style}")))
+               .drop(f"cases_{style}", f"deaths_{style}"))
+
+
+def province_boundaries(district_map: DataFrame) -> DataFrame:
+    """G1 + A8: district polygons dissolved into provinces (by province name)."""
+    return G.dissolve_boundary(district_map, "prov", name="province")
+
+
+def province_map(bivariate: DataFrame, district_map: DataFrame) -> DataFrame:
+    """Province classes with their boundary segments, joined by name (Q5)."""
+    return G.attach_geometry(bivariate, province_boundaries(district_map), "province")
+
+
 # --------------------------------------------------------------------- fixture wiring
 def population_from(spark: SparkSession, sf: str) -> DataFrame:
     return population_long(fx.population_sheet(spark, sf), fx.crosswalk(spark, sf))
@@ -180,3 +245,16 @@ def department_weekly_rates_from(spark: SparkSession, sf: str) -> DataFrame:
 
 def national_weekly_long_from(spark: SparkSession, sf: str) -> DataFrame:
     return national_weekly_long(weekly_cases_from(spark, sf), weekly_deaths_from(spark, sf))
+
+
+def department_weekly_classes_from(spark: SparkSession, sf: str, labels: bool = True,
+                                   methods=HEATMAP_METHODS) -> DataFrame:
+    return department_weekly_classes(department_weekly_rates_from(spark, sf), methods, labels)
+
+
+def province_bivariate_from(spark: SparkSession, sf: str) -> DataFrame:
+    return province_bivariate(province_rates_from(spark, sf))
+
+
+def province_map_from(spark: SparkSession, sf: str) -> DataFrame:
+    return province_map(province_bivariate_from(spark, sf), fx.district_map(spark, sf))

@@ -24,6 +24,18 @@ DEFAULT_CONF = {
 }
 
 
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as parquet under the checkpoint folder and read it back.
+
+    Cuts the lineage of iterative plans (each pass starts from stored data, so a
+    lost executor only recomputes the current pass) and computes ``df`` once.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "epigrid", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -32,6 +44,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
