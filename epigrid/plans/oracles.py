@@ -259,3 +259,134 @@ def with_(*names: str) -> str:
 
 def q(body: str, *names: str) -> str:
     return with_(*names) + body
+
+# ---- single-operator fragments ------------------------------------------------------
+_LOWER = ", ".join(f"{c} AS {c.lower()}" for c in (
+    "FECHA_CORTE", "DEPARTAMENTO", "PROVINCIA", "DISTRITO", "METODODX", "EDAD", "SEXO",
+    "FECHA_RESULTADO", "UBIGEO", "ID_PERSONA"))
+cte("cases_lower", ("cases_raw",), f"SELECT {_LOWER} FROM cases_raw")
+
+cte("cases_daily_sparse", ("cases_valid",), """
+SELECT ubigeo, dx_date, count(*) AS cases FROM cases_valid GROUP BY ubigeo, dx_date""")
+
+cte("pop_sparse", ("population",), """
+SELECT * FROM population WHERE (year + CAST(substring(ubigeo, 4, 3) AS INTEGER)) % 3 <> 0""")
+
+cte("dm", ("district_map",), """
+SELECT prov, CAST(regexp_extract(geometry, 'POLYGON \\(\\((\\d+) (\\d+),', 1) AS BIGINT) AS x,
+             CAST(regexp_extract(geometry, 'POLYGON \\(\\((\\d+) (\\d+),', 2) AS BIGINT) AS y
+FROM district_map""")
+
+cte("boundaries", ("dm",), """
+SELECT province, x1, y1, x2, y2 FROM (
+  SELECT prov AS province, x1, y1, x2, y2, count(*) AS k FROM (
+    SELECT prov, CAST(x AS DOUBLE) x1, CAST(y AS DOUBLE) y1, CAST(x + 1 AS DOUBLE) x2, CAST(y AS DOUBLE) y2 FROM dm
+    UNION ALL SELECT prov, x + 1, y, x + 1, y + 1 FROM dm
+    UNION ALL SELECT prov, x, y + 1, x + 1, y + 1 FROM dm
+    UNION ALL SELECT prov, x, y, x, y + 1 FROM dm)
+  GROUP BY ALL) WHERE k % 2 = 1""")
+
+# ---- class breaks ---------------------------------------------------------------------
+cte("rate_vals", ("department_rates",), """
+SELECT 'cases' AS g, cases AS x FROM department_rates WHERE cases IS NOT NULL AND NOT isnan(cases)
+UNION ALL SELECT 'deaths', deaths FROM department_rates WHERE deaths IS NOT NULL AND NOT isnan(deaths)""")
+cte("prov_vals", ("province_rates",), """
+SELECT 'cases' AS g, cases AS x FROM province_rates WHERE cases IS NOT NULL AND NOT isnan(cases)
+UNION ALL SELECT 'deaths', deaths FROM province_rates WHERE deaths IS NOT NULL AND NOT isnan(deaths)""")
+cte("order_vals", ("order_days",), "SELECT 'n_orders' AS g, n_orders AS x FROM order_days")
+
+
+def breaks_sql(vals: str, method: str, k: int, tag: str) -> str:
+    """Register CTE ``{tag}`` = (g, breaks) for ``method`` over CTE ``vals`` (g, x)."""
+    fin = "list_sort(list_distinct(list_filter({a}, lambda v: v IS NOT NULL AND NOT isnan(v))))"
+    if method == "quantile":
+        probs = ", ".join(str(t / k) for t in range(k + 1))
+        cte(tag, (vals,), f"SELECT g, {fin.format(a=f'quantile_cont(x, [{probs}])')} AS breaks FROM {vals} GROUP BY g")
+    elif method == "geom":
+        steps, tmp = [], "mn"
+        for _ in range(1, k):
+            tmp = f"({tmp} * r)"
+            steps.append(tmp)
+        arr = f"CASE WHEN mn > 0 THEN [mn, mx, {', '.join(steps)}] ELSE [mn, mx] END"
+        cte(tag, (vals,), f"""SELECT g, {fin.format(a=arr)} AS breaks FROM (
+  SELECT g, min(x) mn, max(x) mx, CASE WHEN min(x) > 0 THEN exp((ln(max(x)) - ln(min(x))) / {k}) END AS r
+  FROM {vals} GROUP BY g)""")
+    elif method == "arith":
+        steps, tmp = [], "mn"
+        for i in range(1, k):
+            tmp = f"({tmp} + r * {i})"
+            steps.append(tmp)
+        cte(tag, (vals,), f"""SELECT g, {fin.format(a=f"[mn, mx, {', '.join(steps)}]")} AS breaks FROM (
+  SELECT g, min(x) mn, max(x) mx, (max(x) - min(x)) / {k * (k + 1) / 2} AS r FROM {vals} GROUP BY g)""")
+    elif method == "em":
+        assert k == 4
+        cte(tag, (vals,), f"""SELECT g, {fin.format(a="[mn, mx, m, m1, m2]")} AS breaks FROM (
+  SELECT v.g, min(x) mn, max(x) mx, any_value(m) m, avg(x) FILTER (WHERE x <= m) m1, avg(x) FILTER (WHERE x > m) m2
+  FROM {vals} v JOIN (SELECT g, avg(x) m FROM {vals} GROUP BY g) USING (g) GROUP BY v.g)""")
+    elif method in ("fisher", "jenks"):
+        fr = f"{tag}_r"
+        cte(fr, (vals,), f"""
+SELECT g, x, w, row_number() OVER (PARTITION BY g ORDER BY x) AS idx,
+       sum(w) OVER wd AS c1, sum(w * xc) OVER wd AS c2, sum(w * pow(xc, 2)) OVER wd AS c3,
+       count(*) OVER (PARTITION BY g) AS n
+FROM (SELECT h.g, h.x, h.w, h.x - m.mu AS xc
+      FROM (SELECT g, x, count(*) AS w FROM {vals} GROUP BY g, x) h
+      JOIN (SELECT g, avg(x) AS mu FROM {vals} GROUP BY g) m USING (g))
+WINDOW wd AS (PARTITION BY g ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+        cte(f"{tag}_1", (fr,), f"SELECT g, idx, c3 - pow(c2, 2) / c1 AS D, CAST([] AS BIGINT[]) AS path FROM {fr}")
+        for m in range(2, k + 1):
+            last = "AND b.idx = b.n" if m == k else ""
+            cost = "(a.D + ((b.c3 - a.c3) - pow(b.c2 - a.c2, 2) / (b.c1 - a.c1)))"
+            cte(f"{tag}_{m}", (fr, f"{tag}_{m - 1}"), f"""
+SELECT g, idx, D, path FROM (
+  SELECT b.g, b.idx, {cost} AS D, list_append(a.path, a.idx + 1) AS path,
+         row_number() OVER (PARTITION BY b.g, b.idx ORDER BY {cost}, a.idx) AS rn
+  FROM {fr} b JOIN (SELECT p.g, p.idx, p.D, p.path, r.c1, r.c2, r.c3
+                    FROM {tag}_{m - 1} p JOIN {fr} r USING (g, idx)) a
+    ON a.g = b.g AND a.idx < b.idx
+  WHERE b.idx >= {m} {last}) WHERE rn = 1""")
+        shift = " - 1" if method == "jenks" else ""
+        cte(tag, (fr, f"{tag}_{k}"), f"""
+SELECT g, list_sort(list_distinct(list(x))) AS breaks FROM (
+  SELECT g, x FROM {fr} WHERE idx = 1 OR idx = n
+  UNION ALL
+  SELECT r.g, r.x FROM (SELECT f.g, unnest(f.path) AS i FROM {tag}_{k} f
+                        JOIN (SELECT DISTINCT g, n FROM {fr}) USING (g) WHERE f.idx = n) s
+  JOIN {fr} r ON r.g = s.g AND r.idx = s.i{shift}) GROUP BY g""")
+    else:
+        raise KeyError(method)
+    return tag
+
+
+def cut_sql(x: str, b: str, k: int) -> str:
+    """Right-closed class index 1..k of x against list b (lowest included)."""
+    inner = " + ".join(f"CASE WHEN {i} <= len({b}) - 1 AND {x} > {b}[{i}] THEN 1 ELSE 0 END" for i in range(2, k + 1))
+    return f"CASE WHEN {x} >= {b}[1] AND {x} <= {b}[len({b})] THEN 1 + {inner} END"
+
+
+def _strip_sql(t: str) -> str:
+    return f"CASE WHEN contains({t}, '.') THEN regexp_replace(regexp_replace({t}, '0+$', ''), '\\.$', '') ELSE {t} END"
+
+
+def fmt_sql(x: str, d: str) -> str:
+    """C %g with d significant digits, built from %.Nf."""
+    e0 = f"floor(log10(abs({x})))"
+    mant = f"round(abs({x}) / pow(10.0, {e0} - ({d} - 1)))"
+    e = f"CAST({e0} + CASE WHEN {mant} >= pow(10.0, {d}) THEN 1 ELSE 0 END AS INTEGER)"
+    fixed = _strip_sql(f"printf('%.' || CAST({d} - 1 - {e} AS VARCHAR) || 'f', {x})")
+    sci_m = _strip_sql(f"printf('%.' || CAST({d} - 1 AS VARCHAR) || 'f', {x} / pow(10.0, {e}))")
+    sci = f"{sci_m} || 'e' || CASE WHEN {e} < 0 THEN '-' ELSE '+' END || lpad(CAST(abs({e}) AS VARCHAR), 2, '0')"
+    return f"CASE WHEN {x} = 0 THEN '0' WHEN {e} < -4 OR {e} >= {d} THEN {sci} ELSE {fixed} END"
+
+
+def labels_sql(brk: str, tag: str, dig_lab: int = 5) -> str:
+    """Register CTE ``{tag}`` = (g, labels) from CTE ``brk`` (g, breaks)."""
+    cands = ", ".join(f"list_transform(breaks, lambda v: {fmt_sql('v', str(d))})" for d in range(dig_lab, 13))
+    cte(f"{tag}_t", (brk,), f"""
+SELECT g, coalesce(list_filter([{cands}], lambda t: len(list_distinct(t)) = len(t))[1],
+                   list_transform(breaks, lambda v: {fmt_sql('v', '12')})) AS texts FROM {brk}""")
+    cte(tag, (f"{tag}_t",), f"""
+SELECT g, CASE WHEN len(texts) >= 2 THEN list_transform(generate_series(1, len(texts) - 1),
+          lambda i: CASE WHEN i = 1 THEN '[' ELSE '(' END || texts[i] || ',' || texts[i + 1] || ']')
+          ELSE CAST([] AS VARCHAR[]) END AS labels FROM {tag}_t""")
+    return tag

@@ -44,3 +44,159 @@ def province_rates(spark, sf):
           doubles=("cases", "deaths"))
 def department_weekly_rates(spark, sf):
     return C.department_weekly_rates_from(spark, sf)
+
+
+# ============================================================ class breaks, classes, maps
+from ..functions.labels import label_table  # noqa: E402
+from ..operators import classify as B  # noqa: E402
+from ..operators import dissolve as G  # noqa: E402
+from ..sources import fixtures as fx  # noqa: E402
+from . import oracles as O  # noqa: E402
+
+_EXACT = ("quantile", "fisher", "geom", "arith", "em")
+
+
+def _rates_values(spark, sf):
+    return B.long_values(B._checkpoint(C.department_weekly_rates_from(spark, sf), "rates"), ["cases", "deaths"])
+
+
+def _order_values(spark, sf):
+    return B.clean_values(fx.daily_order_counts(spark, sf).select(F.lit("n_orders").alias("g"),
+                                                                  F.col("n_orders").alias("x")))
+
+
+def _long_breaks(br):
+    return br.select("g", F.posexplode("breaks").alias("i", "brk")).select("g", (F.col("i") + 1).alias("i"), "brk")
+
+
+_BRK_SQL = "SELECT g, i, brk FROM (SELECT g, unnest(generate_series(1, len(breaks))) AS i, unnest(breaks) AS brk FROM {t})"
+
+
+def _breaks_entry(key, method, k, values, vals_cte):
+    tag = O.breaks_sql(vals_cte, method, k, f"brk_{key}")
+
+    @register(key, q(_BRK_SQL.format(t=tag), tag), doubles=("brk",))
+    def run(spark, sf):
+        return _long_breaks(B.class_breaks(values(spark, sf), k, method))
+    return run
+
+
+_breaks_entry("breaks_quantile", "quantile", 4, _rates_values, "rate_vals")
+_breaks_entry("breaks_geom", "geom", 4, _order_values, "order_vals")
+_breaks_entry("breaks_arith", "arith", 4, _rates_values, "rate_vals")
+_breaks_entry("breaks_nested_means", "em", 4, _rates_values, "rate_vals")
+_breaks_entry("breaks_fisher", "fisher", 4, _order_values, "order_vals")
+_breaks_entry("breaks_jenks", "jenks", 3, _order_values, "order_vals")
+
+
+@register("breaks_kmeans")
+def breaks_kmeans(spark, sf):
+    return _long_breaks(B.kmeans_breaks(_rates_values(spark, sf), 4, groups=["cases", "deaths"]))
+
+
+O.breaks_sql("rate_vals", "quantile", 4, "cut_q")
+
+
+@register("cut_class", q(f"""SELECT department, week_start, cases, deaths,
+  {O.cut_sql('cases', '(SELECT breaks FROM cut_q WHERE g = $$cases$$)', 4)} AS cases_class,
+  {O.cut_sql('deaths', '(SELECT breaks FROM cut_q WHERE g = $$deaths$$)', 4)} AS deaths_class
+FROM department_rates""", "department_rates", "cut_q"), doubles=("cases", "deaths"))
+def cut_class(spark, sf):
+    rates = B._checkpoint(C.department_weekly_rates_from(spark, sf), "rates")
+    br = B._checkpoint(B.quantile_breaks(B.long_values(rates, ["cases", "deaths"]), 4), "breaks")
+    return rates.withColumns({f"{c}_class": B.cut_index(F.col(c), br.where(F.col("g") == c).select("breaks").scalar(), 4)
+                              for c in ("cases", "deaths")})
+
+
+for _m in _EXACT:
+    O.breaks_sql("rate_vals", _m, 4, f"lab_b_{_m}")
+    O.labels_sql(f"lab_b_{_m}", f"lab_l_{_m}")
+_LAB_SQL = " UNION ALL ".join(
+    f"SELECT g, '{m}' AS method, unnest(generate_series(1, len(labels))) AS class, unnest(labels) AS label FROM lab_l_{m}"
+    for m in _EXACT)
+
+
+@register("cut_label", q(_LAB_SQL, *[f"lab_l_{m}" for m in _EXACT]))
+def cut_label(spark, sf):
+    vals = B._checkpoint(_rates_values(spark, sf), "values")
+    out = None
+    for m in _EXACT:
+        lab = label_table(B.class_breaks(vals, 4, m)).select(
+            "g", F.lit(m).alias("method"), F.posexplode("labels").alias("class", "label"))
+        lab = lab.withColumn("class", (F.col("class") + 1).cast("bigint"))
+        out = lab if out is None else out.unionByName(lab)
+    return out
+
+
+def _classes_sql(methods, as_labels):
+    cols, ctes = [], []
+    for m in methods:
+        tb = O.breaks_sql("rate_vals", m, 4, f"dwc_b_{m}")
+        ctes.append(tb)
+        if as_labels:
+            ctes.append(O.labels_sql(tb, f"dwc_l_{m}"))
+        for c in ("cases", "deaths"):
+            idx = O.cut_sql(c, f"(SELECT breaks FROM {tb} WHERE g = '{c}')", 4)
+            if as_labels:
+                cols.append(f"(SELECT labels FROM dwc_l_{m} WHERE g = '{c}')[{idx}] AS {c}_{m}")
+            else:
+                cols.append(f"CAST({idx} AS INTEGER) AS {c}_{m}")
+    return q(f"SELECT department, week_start, {', '.join(cols)} FROM department_rates", "department_rates", *ctes)
+
+
+@register("department_weekly_classes")
+def department_weekly_classes(spark, sf):
+    return C.department_weekly_classes_from(spark, sf)
+
+
+@register("department_weekly_classes_exact", _classes_sql(_EXACT, as_labels=False))
+def department_weekly_classes_exact(spark, sf):
+    return C.department_weekly_classes_from(spark, sf, labels=False, methods=_EXACT)
+
+
+O.breaks_sql("prov_vals", "jenks", 3, "bi_b")
+_BI = f"""SELECT department, province, cases, deaths,
+  CASE WHEN cx IS NOT NULL AND cy IS NOT NULL THEN CAST(cx AS VARCHAR) || '-' || CAST(cy AS VARCHAR) END AS bi_class
+FROM (SELECT *, {O.cut_sql('cases', "(SELECT breaks FROM bi_b WHERE g = 'cases')", 3)} AS cx,
+                {O.cut_sql('deaths', "(SELECT breaks FROM bi_b WHERE g = 'deaths')", 3)} AS cy FROM province_rates)"""
+O.cte("province_bi", ("province_rates", "bi_b"), _BI)
+
+
+@register("bivariate_class", q("SELECT province, bi_class FROM province_bi", "province_bi"))
+def bivariate_class(spark, sf):
+    return C.province_bivariate_from(spark, sf).select("province", "bi_class")
+
+
+@register("province_bivariate", q("SELECT * FROM province_bi", "province_bi"), doubles=("cases", "deaths"))
+def province_bivariate(spark, sf):
+    return C.province_bivariate_from(spark, sf)
+
+
+@register("province_map", q("""SELECT b.*, g.x1, g.y1, g.x2, g.y2 FROM province_bi b
+  LEFT JOIN boundaries g ON b.province = g.province""", "province_bi", "boundaries"), doubles=("cases", "deaths"))
+def province_map(spark, sf):
+    return C.province_map_from(spark, sf)
+
+
+@register("dissolve_boundary", q("SELECT * FROM boundaries", "boundaries"))
+def dissolve_boundary(spark, sf):
+    return C.province_boundaries(fx.district_map(spark, sf))
+
+
+@register("map_ready_table", q("""SELECT b.province, b.bi_class, g.x1, g.y1, g.x2, g.y2 FROM province_bi b
+  LEFT JOIN boundaries g ON b.province = g.province""", "province_bi", "boundaries"))
+def map_ready_table(spark, sf):
+    return G.attach_geometry(C.province_bivariate_from(spark, sf).select("province", "bi_class"),
+                             C.province_boundaries(fx.district_map(spark, sf)), "province")
+
+
+@register("join_left_geometry", q("""SELECT r.*, g.x1, g.y1, g.x2, g.y2 FROM province_rates r
+  LEFT JOIN boundaries g ON r.province = g.province""", "province_rates", "boundaries"), doubles=("cases", "deaths"))
+def join_left_geometry(spark, sf):
+    return G.attach_geometry(C.province_rates_from(spark, sf), C.province_boundaries(fx.district_map(spark, sf)),
+                             "province")
+
+
+@register("agg_dissolve_groups", q("SELECT DISTINCT prov AS province FROM district_map", "district_map"))
+def agg_dissolve_groups(spark, sf):
+    return fx.district_map(spark, sf).groupBy(F.col("prov").alias("province")).agg()
