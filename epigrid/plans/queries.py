@@ -200,3 +200,458 @@ def join_left_geometry(spark, sf):
 @register("agg_dissolve_groups", q("SELECT DISTINCT prov AS province FROM district_map", "district_map"))
 def agg_dissolve_groups(spark, sf):
     return fx.district_map(spark, sf).groupBy(F.col("prov").alias("province")).agg()
+
+
+# ============================================================ sources and sinks
+from ..functions.columns import across, col_range, letters_to_zero, per_100k, starts_with, to_double  # noqa: E402
+from ..functions.dates import epi_week, epi_year, parse_ymd, week_floor, year_week_label  # noqa: E402
+from ..operators import aggregate as A  # noqa: E402
+from ..operators import densify as R  # noqa: E402
+from ..operators import filters as FL  # noqa: E402
+from ..operators import joins as J  # noqa: E402
+from ..operators import project as P  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import io  # noqa: E402
+
+CASE_TYPES = "cccccicccc"
+DEATH_TYPES = "cciccccccc"
+_CASE_COLS = ", ".join(fx.CASE_COLUMNS)
+
+
+@register("scan_line_list", q(f"SELECT {_CASE_COLS} FROM cases_raw", "cases_raw"))
+def scan_line_list(spark, sf):
+    path = io.write_table(fx.case_line_list(spark, sf), scratch_path(spark, "cases-csv"), sep=";")
+    return io.read_line_list(spark, path, CASE_TYPES)
+
+
+@register("scan_prefix_columns", q("SELECT ubigeo_2022, ubigeo_2017 FROM crosswalk", "crosswalk"))
+def scan_prefix_columns(spark, sf):
+    path = io.write_table(fx.crosswalk(spark, sf), scratch_path(spark, "crosswalk-csv"))
+    return io.read_delimited(spark, path, "ccc", columns=starts_with("ubigeo"))
+
+
+@register("scan_single_column", q("SELECT ubigeo FROM population", "population"))
+def scan_single_column(spark, sf):
+    path = io.write_table(C.population_from(spark, sf), scratch_path(spark, "population-csv"))
+    return io.read_delimited(spark, path, "cid", columns=["ubigeo"])
+
+
+@register("scan_type_string", q("SELECT ubigeo, year, population FROM population", "population"),
+          doubles=("population",))
+def scan_type_string(spark, sf):
+    path = io.write_table(C.population_from(spark, sf), scratch_path(spark, "population-csv"))
+    return io.read_delimited(spark, path, "cid")
+
+
+PREAMBLE = ("PERU: POBLACION ESTIMADA", "POR DISTRITO", "", "(fixture export)", "")
+
+
+@register("scan_skip_preamble", q("SELECT * FROM sheet", "sheet"))
+def scan_skip_preamble(spark, sf):
+    path = io.write_with_preamble(fx.population_sheet(spark, sf).repartition(4),
+                                  scratch_path(spark, "sheet-txt"), PREAMBLE)
+    return io.read_sheet(spark, path, skip=5, names=fx.SHEET_COLUMNS)
+
+
+@register("scan_dimension", q("SELECT * FROM district_map", "district_map"))
+def scan_dimension(spark, sf):
+    path = io.write_table(fx.district_map(spark, sf), scratch_path(spark, "districts-parquet"), fmt="parquet")
+    return io.load_dimension(spark, path)
+
+
+@register("sink_roundtrip", q("""SELECT k.ubigeo, y.year, p.population
+  FROM (SELECT DISTINCT ubigeo FROM pop_sparse) k CROSS JOIN (SELECT unnest([2018, 2019, 2020, 2021, 2022]) AS year) y
+  LEFT JOIN pop_sparse p ON p.ubigeo = k.ubigeo AND p.year = y.year""", "pop_sparse"), doubles=("population",))
+def sink_roundtrip(spark, sf):
+    dense = R.complete_fixed(_pop_sparse(spark, sf), ["ubigeo"], "year", fx.POPULATION_YEARS)
+    path = io.write_table(dense.select("ubigeo", "year", "population"), scratch_path(spark, "sink-csv"))
+    return io.read_delimited(spark, path, "cid")
+
+
+# ============================================================ projections
+def _cases_lower(spark, sf):
+    return P.lower_names(fx.case_line_list(spark, sf))
+
+
+@register("proj_lower_names", q("SELECT * FROM cases_lower", "cases_lower"))
+def proj_lower_names(spark, sf):
+    return _cases_lower(spark, sf)
+
+
+_POP_NAMED = ("SELECT c1 AS ubigeo, c2 AS district, c3 AS population_2018, c4 AS population_2019, "
+              "c5 AS population_2020, c6 AS population_2021, c7 AS population_2022 FROM sheet")
+
+
+@register("proj_positional_names", q(_POP_NAMED, "sheet"))
+def proj_positional_names(spark, sf):
+    return P.set_names(fx.population_sheet(spark, sf), C.POP_NAMES)
+
+
+@register("proj_rename", q("SELECT * FROM pop_wide", "pop_wide"),
+          doubles=tuple(f"population_{y}" for y in fx.POPULATION_YEARS))
+def proj_rename(spark, sf):
+    return C.population_wide(fx.population_sheet(spark, sf), fx.crosswalk(spark, sf))
+
+
+@register("proj_select_rename", q("SELECT * FROM districts", "districts"))
+def proj_select_rename(spark, sf):
+    return P.select_as(fx.district_map(spark, sf),
+                       {"ubigeo": "ubigeo", "department": "dep", "province": "prov", "district": "distr"})
+
+
+@register("proj_drop", q("SELECT ubigeo, population FROM population", "population"), doubles=("population",))
+def proj_drop(spark, sf):
+    return C.population_from(spark, sf).drop("year")
+
+
+@register("proj_drop_geometry", q("SELECT ubigeo, dep, prov, distr FROM district_map", "district_map"))
+def proj_drop_geometry(spark, sf):
+    return P.drop_geometry(fx.district_map(spark, sf))
+
+
+@register("proj_mutate", q("SELECT * FROM cases_valid", "cases_valid"))
+def proj_mutate(spark, sf):
+    return C.valid_cases(fx.case_line_list(spark, sf))
+
+
+@register("proj_mutate_consume", q("SELECT * FROM deaths_valid", "deaths_valid"))
+def proj_mutate_consume(spark, sf):
+    return C.valid_deaths(fx.death_line_list(spark, sf))
+
+
+_CLEAN_COLS = ", ".join(f"{O._clean(f'population_{y}')} AS population_{y}" for y in fx.POPULATION_YEARS)
+
+
+@register("proj_across_prefix", q(f"SELECT ubigeo, district, {_CLEAN_COLS}, ubigeo_2017 FROM pop_harmonised",
+                                  "pop_harmonised"),
+          doubles=tuple(f"population_{y}" for y in fx.POPULATION_YEARS))
+def proj_across_prefix(spark, sf):
+    h = C.harmonise(C.clean_sheet(fx.population_sheet(spark, sf)), fx.crosswalk(spark, sf))
+    h = across(h, starts_with("population"), letters_to_zero)
+    return across(h, starts_with("population"), to_double)
+
+
+O.cte("province_counts_pop", ("province_counts", "province_population"), """
+SELECT c.department, c.province, c.cases, c.deaths, p.population FROM province_counts c
+LEFT JOIN province_population p
+  ON c.department IS NOT DISTINCT FROM p.department AND c.province IS NOT DISTINCT FROM p.province""")
+
+
+def _province_counts_pop(spark, sf):
+    pop = C.population_from(spark, sf)
+    cases = C.weekly_cases(fx.case_line_list(spark, sf), pop)
+    deaths = C.weekly_deaths(fx.death_line_list(spark, sf), pop)
+    dist = C.districts_from(spark, sf)
+    counts = J.join_on(J.join_on(cases, deaths, ["ubigeo", "week_start"]), dist, ["ubigeo"], "left")
+    prov_counts = A.sum_by(counts, ["department", "province"], ["cases", "deaths"])
+    prov_pop = A.sum_by(J.join_on(dist, C.population_year(pop), ["ubigeo"]), ["department", "province"],
+                        ["population"])
+    return J.join_null_safe(prov_counts, prov_pop, ["department", "province"], "left")
+
+
+@register("proj_across_range", q(f"""SELECT department, province, {O.rate('cases')} AS cases,
+  {O.rate('deaths')} AS deaths, population FROM province_counts_pop""", "province_counts_pop"),
+          doubles=("cases", "deaths", "population"))
+def proj_across_range(spark, sf):
+    return across(_province_counts_pop(spark, sf), col_range("cases", "deaths"),
+                  lambda c: per_100k(c, F.col("population")))
+
+
+@register("proj_across_template", q(f"""SELECT department, province, cases, deaths, population,
+  {O.rate('cases')} AS cases_rate, {O.rate('deaths')} AS deaths_rate FROM province_counts_pop""",
+                                    "province_counts_pop"),
+          doubles=("cases_rate", "deaths_rate", "population"))
+def proj_across_template(spark, sf):
+    return across(_province_counts_pop(spark, sf), col_range("cases", "deaths"),
+                  lambda c: per_100k(c, F.col("population")), names="{col}_rate")
+
+
+@register("distinct_keys", q("SELECT DISTINCT ubigeo FROM population", "population"))
+def distinct_keys(spark, sf):
+    return P.distinct_keys(C.population_from(spark, sf), "ubigeo")
+
+
+FACET_NAMES = {"cases": "Positive cases", "deaths": "Deaths"}
+
+
+@register("proj_relabel", q("""SELECT week_start, name, CASE name WHEN 'cases' THEN 'Positive cases'
+  WHEN 'deaths' THEN 'Deaths' ELSE name END AS label, value FROM national_long""", "national_long"))
+def proj_relabel(spark, sf):
+    long = C.national_weekly_long_from(spark, sf)
+    return long.select("week_start", "name", P.relabel(F.col("name"), FACET_NAMES).alias("label"), "value")
+
+
+# ============================================================ filters
+@register("filter_drop_na", q("SELECT * FROM cases_lower WHERE ubigeo IS NOT NULL AND fecha_resultado IS NOT NULL",
+                              "cases_lower"))
+def filter_drop_na(spark, sf):
+    return FL.drop_na(_cases_lower(spark, sf), "ubigeo", "fecha_resultado")
+
+
+@register("filter_not_match", q("SELECT * FROM sheet WHERE c1 IS NOT NULL AND c2 IS NOT NULL "
+                                "AND NOT regexp_matches(c1, 'UBIGEO')", "sheet"))
+def filter_not_match(spark, sf):
+    sheet = FL.drop_na(fx.population_sheet(spark, sf), "c1", "c2")
+    return sheet.where(FL.not_matching(F.col("c1"), "UBIGEO"))
+
+
+@register("filter_substring", q("SELECT * FROM sheet WHERE c1 IS NOT NULL AND c2 IS NOT NULL "
+                                "AND NOT regexp_matches(c1, 'UBIGEO') AND substring(c1, 5, 2) <> '00'", "sheet"))
+def filter_substring(spark, sf):
+    sheet = FL.drop_na(fx.population_sheet(spark, sf), "c1", "c2")
+    return sheet.where(FL.not_matching(F.col("c1"), "UBIGEO")).where(FL.substring_not_equal(F.col("c1"), 5, 2, "00"))
+
+
+@register("filter_between", q("SELECT * FROM cases_lower WHERE edad BETWEEN 0 AND 123", "cases_lower"))
+def filter_between(spark, sf):
+    return _cases_lower(spark, sf).where(FL.between(F.col("edad"), fx.AGE_MIN, fx.AGE_MAX))
+
+
+@register("filter_sentinel", q(f"SELECT * FROM cases_lower WHERE provincia <> {O.SENT} AND distrito <> {O.SENT}",
+                               "cases_lower"))
+def filter_sentinel(spark, sf):
+    return _cases_lower(spark, sf).where(FL.not_sentinel("provincia", "distrito", fx.SENTINEL))
+
+
+@register("filter_date_floor", q(f"""SELECT * FROM (SELECT *, {O.parse('fecha_resultado')} AS dx_date FROM cases_lower)
+  WHERE dx_date >= DATE '2020-03-01'""", "cases_lower"))
+def filter_date_floor(spark, sf):
+    ll = P.mutate(_cases_lower(spark, sf), {"dx_date": parse_ymd(F.col("fecha_resultado"))})
+    return ll.where(FL.on_or_after(F.col("dx_date"), fx.DATE_FLOOR))
+
+
+@register("filter_year", q("SELECT * FROM population WHERE year = 2020", "population"), doubles=("population",))
+def filter_year(spark, sf):
+    return C.population_from(spark, sf).where(FL.equals(F.col("year"), fx.RATE_YEAR))
+
+
+# ============================================================ joins
+@register("join_left_crosswalk", q("""SELECT p.*, cw.ubigeo_2017 FROM pop_named p
+  LEFT JOIN crosswalk cw ON p.ubigeo = cw.ubigeo_2022""", "pop_named", "crosswalk"))
+def join_left_crosswalk(spark, sf):
+    cw = fx.crosswalk(spark, sf)
+    cw = cw.select(*starts_with("ubigeo")(cw.columns))
+    return J.left_join_renamed(C.clean_sheet(fx.population_sheet(spark, sf)), cw, "ubigeo", "ubigeo_2022")
+
+
+@register("join_left_grid", q("""SELECT g.ubigeo, g.dx_date, c.cases FROM cases_grid g
+  LEFT JOIN cases_daily_counts c ON g.ubigeo = c.ubigeo AND g.dx_date = c.dx_date""",
+                              "cases_grid", "cases_daily_counts"))
+def join_left_grid(spark, sf):
+    ev = C.valid_cases(fx.case_line_list(spark, sf)).select("ubigeo", "dx_date")
+    grid = R.cross_calendar(P.distinct_keys(C.population_from(spark, sf), "ubigeo"), ev, "dx_date")
+    daily = A.count_by(ev, ["ubigeo", "dx_date"], "cases")
+    return J.join_on(grid, daily, ["ubigeo", "dx_date"], "left")
+
+
+@register("join_left_dim", q("SELECT * FROM weekly_cases LEFT JOIN districts USING (ubigeo)",
+                             "weekly_cases", "districts"))
+def join_left_dim(spark, sf):
+    return J.join_on(C.weekly_cases_from(spark, sf), C.districts_from(spark, sf), ["ubigeo"], "left")
+
+
+@register("join_left_nullsafe", q("SELECT * FROM province_counts_pop", "province_counts_pop"),
+          doubles=("population",))
+def join_left_nullsafe(spark, sf):
+    return _province_counts_pop(spark, sf)
+
+
+@register("join_inner_single", q("SELECT * FROM districts JOIN pop_2020 USING (ubigeo)", "districts", "pop_2020"),
+          doubles=("population",))
+def join_inner_single(spark, sf):
+    return J.join_on(C.districts_from(spark, sf), C.population_year(C.population_from(spark, sf)), ["ubigeo"])
+
+
+@register("join_inner_multi", q("""SELECT c.ubigeo, c.week_start, c.cases, d.deaths FROM weekly_cases c
+  JOIN weekly_deaths d ON c.ubigeo = d.ubigeo AND c.week_start = d.week_start""", "weekly_cases", "weekly_deaths"))
+def join_inner_multi(spark, sf):
+    pop = C.population_from(spark, sf)
+    return J.join_on(C.weekly_cases(fx.case_line_list(spark, sf), pop),
+                     C.weekly_deaths(fx.death_line_list(spark, sf), pop), ["ubigeo", "week_start"])
+
+
+@register("join_reduce", q("SELECT * FROM national_wide", "national_wide"))
+def join_reduce(spark, sf):
+    pop = C.population_from(spark, sf)
+    cw = A.sum_by(C.weekly_cases(fx.case_line_list(spark, sf), pop), ["week_start"], ["cases"])
+    dw = A.sum_by(C.weekly_deaths(fx.death_line_list(spark, sf), pop), ["week_start"], ["deaths"])
+    return J.join_reduce([cw, dw], ["week_start"])
+
+
+@register("join_cross_calendar", q("SELECT * FROM cases_grid", "cases_grid"))
+def join_cross_calendar(spark, sf):
+    ev = C.valid_cases(fx.case_line_list(spark, sf))
+    return R.cross_calendar(P.distinct_keys(C.population_from(spark, sf), "ubigeo"), ev, "dx_date")
+
+
+# ============================================================ aggregates
+@register("agg_count", q("SELECT * FROM cases_daily_counts", "cases_daily_counts"))
+def agg_count(spark, sf):
+    return A.count_by(C.valid_cases(fx.case_line_list(spark, sf)), ["ubigeo", "dx_date"], "cases")
+
+
+@register("agg_sum", q("SELECT week_start, CAST(sum(cases) AS BIGINT) AS cases FROM weekly_cases GROUP BY 1",
+                       "weekly_cases"))
+def agg_sum(spark, sf):
+    return A.sum_by(C.weekly_cases_from(spark, sf), ["week_start"], ["cases"])
+
+
+@register("agg_multi_sum", q("SELECT * FROM province_counts", "province_counts"))
+def agg_multi_sum(spark, sf):
+    return _province_counts_pop(spark, sf).drop("population")
+
+
+_SUM_COLS = ", ".join(f"coalesce(sum({O._clean(f'population_{y}')}), 0.0) AS population_{y}"
+                      for y in fx.POPULATION_YEARS)
+
+
+@register("agg_across_sum", q(f"SELECT ubigeo_2017, {_SUM_COLS} FROM pop_harmonised GROUP BY ubigeo_2017",
+                              "pop_harmonised"), doubles=tuple(f"population_{y}" for y in fx.POPULATION_YEARS))
+def agg_across_sum(spark, sf):
+    h = C.harmonise(C.clean_sheet(fx.population_sheet(spark, sf)), fx.crosswalk(spark, sf))
+    h = across(across(h, starts_with("population"), letters_to_zero), starts_with("population"), to_double)
+    return A.sum_across(h, ["ubigeo_2017"], starts_with("population"))
+
+
+@register("agg_weekly_sum", q("SELECT ubigeo, week_start, cases FROM weekly_cases", "weekly_cases"))
+def agg_weekly_sum(spark, sf):
+    """A5 on the reference's literal key x day grid (checks the fast path's equivalence)."""
+    return C.weekly_cases_from(spark, sf, daily_grid=True)
+
+
+@register("agg_bounds", q("SELECT min(dx_date) AS lo, max(dx_date) AS hi FROM cases_valid", "cases_valid"))
+def agg_bounds(spark, sf):
+    return A.bounds(C.valid_cases(fx.case_line_list(spark, sf)), "dx_date")
+
+
+@register("agg_group_bounds", q("SELECT ubigeo, min(dx_date) AS lo, max(dx_date) AS hi FROM cases_valid GROUP BY 1",
+                                "cases_valid"))
+def agg_group_bounds(spark, sf):
+    return A.group_bounds(C.valid_cases(fx.case_line_list(spark, sf)), ["ubigeo"], "dx_date")
+
+
+# ============================================================ reshape / densify
+@register("reshape_longer_prefix", q(" UNION ALL ".join(
+    f"SELECT ubigeo, '{y}' AS year, population_{y} AS population FROM pop_wide" for y in fx.POPULATION_YEARS),
+    "pop_wide"), doubles=("population",))
+def reshape_longer_prefix(spark, sf):
+    wide = C.population_wide(fx.population_sheet(spark, sf), fx.crosswalk(spark, sf))
+    return R.pivot_longer(wide, starts_with("population"), "year", "population", names_prefix="population_")
+
+
+@register("reshape_longer_rest", q("SELECT week_start, name, value FROM national_long", "national_long"))
+def reshape_longer_rest(spark, sf):
+    wide = join_reduce(spark, sf)
+    return R.pivot_longer(wide, lambda cols: [c for c in cols if c != "week_start"])
+
+
+def _pop_sparse(spark, sf):
+    pop = C.population_from(spark, sf)
+    return pop.where((F.col("year") + F.substring("ubigeo", 4, 3).cast("int")) % 3 != 0)
+
+
+@register("densify_fixed", q("""SELECT k.ubigeo, y.year, p.population
+  FROM (SELECT DISTINCT ubigeo FROM pop_sparse) k CROSS JOIN (SELECT unnest([2018, 2019, 2020, 2021, 2022]) AS year) y
+  LEFT JOIN pop_sparse p ON p.ubigeo = k.ubigeo AND p.year = y.year""", "pop_sparse"), doubles=("population",))
+def densify_fixed(spark, sf):
+    return R.complete_fixed(_pop_sparse(spark, sf), ["ubigeo"], "year", fx.POPULATION_YEARS)
+
+
+@register("densify_daily", q("""SELECT b.ubigeo, b.dx_date, c.cases FROM (
+    SELECT ubigeo, CAST(unnest(generate_series(min(dx_date), max(dx_date), INTERVAL 1 DAY)) AS DATE) AS dx_date
+    FROM cases_daily_sparse GROUP BY ubigeo) b
+  LEFT JOIN cases_daily_sparse c ON b.ubigeo = c.ubigeo AND b.dx_date = c.dx_date""", "cases_daily_sparse"))
+def densify_daily(spark, sf):
+    daily = A.count_by(C.valid_cases(fx.case_line_list(spark, sf)), ["ubigeo", "dx_date"], "cases")
+    return R.complete_dates(daily, ["ubigeo"], "dx_date")
+
+
+@register("calendar_daily", q("SELECT * FROM cases_days", "cases_days"))
+def calendar_daily(spark, sf):
+    return R.calendar(C.valid_cases(fx.case_line_list(spark, sf)), "dx_date")
+
+
+@register("replace_na", q("SELECT ubigeo, dx_date, cases FROM cases_daily", "cases_daily"))
+def replace_na(spark, sf):
+    return R.replace_na(join_left_grid(spark, sf), {"cases": 0})
+
+
+@register("sort_key_date", q("SELECT * FROM cases_grid ORDER BY ubigeo, dx_date", "cases_grid"))
+def sort_key_date(spark, sf):
+    return R.sort_by(join_cross_calendar(spark, sf), "ubigeo", "dx_date")
+
+
+# ============================================================ scalar functions
+@register("date_parse_ymd", q(f"SELECT fecha_resultado, {O.parse('fecha_resultado')} AS dx_date FROM cases_lower",
+                              "cases_lower"))
+def date_parse_ymd(spark, sf):
+    return _cases_lower(spark, sf).select("fecha_resultado", parse_ymd(F.col("fecha_resultado")).alias("dx_date"))
+
+
+@register("date_week_floor", q(f"SELECT dx_date, {O.week('dx_date')} AS week_start FROM cases_days", "cases_days"))
+def date_week_floor(spark, sf):
+    days = calendar_daily(spark, sf)
+    return days.select("dx_date", week_floor(F.col("dx_date")).alias("week_start"))
+
+
+@register("date_epi_week", q(f"SELECT week_start, {O.epi('week_start')} FROM (SELECT DISTINCT week_start FROM weekly_cases)",
+                             "weekly_cases"))
+def date_epi_week(spark, sf):
+    weeks = C.weekly_cases_from(spark, sf).select("week_start").distinct()
+    ws = F.col("week_start")
+    return weeks.select("week_start", epi_year(ws).alias("epi_year"), epi_week(ws).alias("epi_week"),
+                        year_week_label(ws).alias("year_week"))
+
+
+@register("str_match", q("""SELECT c1, c3, regexp_matches(c1, 'UBIGEO') AS is_header,
+  regexp_matches(c3, '[a-zA-Z]') AS has_letters FROM sheet""", "sheet"))
+def str_match(spark, sf):
+    s = fx.population_sheet(spark, sf)
+    return s.select("c1", "c3", F.col("c1").rlike("UBIGEO").alias("is_header"),
+                    F.col("c3").rlike("[a-zA-Z]").alias("has_letters"))
+
+
+@register("str_substring", q("SELECT c1, substring(c1, 5, 2) AS code56 FROM sheet", "sheet"))
+def str_substring(spark, sf):
+    return fx.population_sheet(spark, sf).select("c1", F.substring("c1", 5, 2).alias("code56"))
+
+
+@register("cond_coalesce", q("SELECT ubigeo, ubigeo_2017 FROM pop_harmonised", "pop_harmonised"))
+def cond_coalesce(spark, sf):
+    return C.harmonise(C.clean_sheet(fx.population_sheet(spark, sf)), fx.crosswalk(spark, sf)) \
+        .select("ubigeo", "ubigeo_2017")
+
+
+_TXT = ", ".join(f"CASE WHEN regexp_matches(population_{y}, '[a-zA-Z]') THEN '0' ELSE population_{y} END "
+                 f"AS population_{y}" for y in fx.POPULATION_YEARS)
+
+
+@register("cond_pattern", q(f"SELECT ubigeo, {_TXT} FROM pop_named", "pop_named"))
+def cond_pattern(spark, sf):
+    named = C.clean_sheet(fx.population_sheet(spark, sf)).drop("district")
+    return across(named, starts_with("population"), letters_to_zero)
+
+
+@register("cast_double", q(f"SELECT ubigeo, {_CLEAN_COLS} FROM pop_named", "pop_named"),
+          doubles=tuple(f"population_{y}" for y in fx.POPULATION_YEARS))
+def cast_double(spark, sf):
+    named = C.clean_sheet(fx.population_sheet(spark, sf)).drop("district")
+    return across(across(named, starts_with("population"), letters_to_zero), starts_with("population"), to_double)
+
+
+@register("cast_year", q("SELECT ubigeo, year FROM population", "population"))
+def cast_year(spark, sf):
+    return reshape_longer_prefix(spark, sf).select("ubigeo", F.col("year").cast("int").alias("year"))
+
+
+@register("rate_per_100k", q(f"""SELECT department, {O.rate('cases', 'population')} AS cases,
+  {O.rate('deaths', 'population')} AS deaths FROM (
+  SELECT department, sum(cases) AS cases, sum(deaths) AS deaths, sum(population) AS population
+  FROM province_counts_pop WHERE department IS NOT NULL GROUP BY department)""", "province_counts_pop"),
+          doubles=("cases", "deaths"))
+def rate_per_100k(spark, sf):
+    dep = (_province_counts_pop(spark, sf).where(F.col("department").isNotNull())
+           .groupBy("department").agg(F.sum("cases").alias("cases"), F.sum("deaths").alias("deaths"),
+                                      F.sum("population").alias("population")))
+    return dep.select("department", per_100k(F.col("cases"), F.col("population")).alias("cases"),
+                      per_100k(F.col("deaths"), F.col("population")).alias("deaths"))
