@@ -197,9 +197,11 @@ def join_left_geometry(spark, sf):
                              "province")
 
 
-@register("agg_dissolve_groups", q("SELECT DISTINCT prov AS province FROM district_map", "district_map"))
+@register("agg_dissolve_groups", q("SELECT prov AS province, count(*) AS n_districts FROM district_map GROUP BY 1",
+                                   "district_map"))
 def agg_dissolve_groups(spark, sf):
-    return fx.district_map(spark, sf).groupBy(F.col("prov").alias("province")).agg()
+    """Group the map by a renamed key; the geometry part of the summary is G1."""
+    return A.count_by(fx.district_map(spark, sf), [F.col("prov").alias("province")], "n_districts")
 
 
 # ============================================================ sources and sinks
