@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import Selector, select_names
 from ..functions.dates import week_floor
+from ..session import materialize
 
 def DAY() -> Column:
     return F.expr("INTERVAL 1 DAY")
@@ -103,14 +104,19 @@ def weekly_counts(events: DataFrame, keys: DataFrame, date_col: str, value: str,
     ``weekly_counts_daily_grid``), with 7x fewer generated rows and no shuffle
     of the grid.
     """
-    lo, hi = bounds_scalar(events, date_col)
     counts = (events.groupBy(key, week_floor(F.col(date_col)).alias("week_start"))
                     .agg(F.count(F.lit(1)).alias(value)))
+    # The sparse counts (at most keys x weeks rows) are stored once: both the
+    # calendar bounds and the per-key maps read them, so the events are
+    # scanned a single time.  week_floor is monotone, so the bounds of the
+    # week starts are the week starts of the event-date bounds.
+    counts = materialize(counts, f"weekly-{value}")
+    lo, hi = bounds_scalar(counts, "week_start")
     per_key = counts.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("week_start", value))).alias("__m"))
     grid = keys.select(key).join(per_key, key, "left")
     weeks = grid.select(key, "__m",
-                        F.explode(F.sequence(week_floor(lo), week_floor(hi), WEEK())).alias("week_start"))
+                        F.explode(F.sequence(lo, hi, WEEK())).alias("week_start"))
     return weeks.select(key, "week_start",
                         F.coalesce(F.try_element_at("__m", F.col("week_start")), F.lit(0).cast("bigint")).alias(value))
 
@@ -119,8 +125,8 @@ def weekly_counts_daily_grid(events: DataFrame, keys: DataFrame, date_col: str,
                              key: str = "ubigeo") -> DataFrame:
     """The reference's literal plan: key x day grid, left join daily counts,
     zero-fill, floor to Sunday weeks, sum.  Kept to check and time the fast path."""
-    grid = cross_calendar(keys.select(key), events, date_col, key=key)
-    daily = events.groupBy(key, date_col).agg(F.count(F.lit(1)).alias(value))
+    daily = materialize(events.groupBy(key, date_col).agg(F.count(F.lit(1)).alias(value)), f"daily-{value}")
+    grid = cross_calendar(keys.select(key), daily, date_col, key=key)
     dense = replace_na(grid.join(daily, [key, date_col], "left"), {value: 0})
     return (dense.groupBy(key, week_floor(F.col(date_col)).alias("week_start"))
                  .agg(F.sum(value).alias(value)))

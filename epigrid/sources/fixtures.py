@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # ---- fixed values that must equal the reference's --------------------------
 SENTINEL = "EN INVESTIGACIÓN"      # "under investigation" province/district text
 DATE_FLOOR = "2020-03-01"          # first date kept in both line lists
@@ -36,8 +38,37 @@ DEATH_COLUMNS = ("FECHA_CORTE", "FECHA_FALLECIMIENTO", "EDAD_DECLARADA", "SEXO",
 SHEET_COLUMNS = tuple(f"c{i}" for i in range(1, 8))
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table (read once per session and path)."""
+    path = f"{sf_dir}/{name}.parquet"
+    k = (id(spark), path)
+    if k not in _TABLES:
+        _TABLES[k] = spark.read.parquet(path)
+    return _TABLES[k]
+
+
+_DOMAIN: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def ingest(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Derive a domain table once per session and store it as parquet.
+
+    The reference reads its line lists, sheet, crosswalk and map from files;
+    this gives our pipelines the same footing: real columns on disk (so
+    filters and column pruning reach the scan), written in at least as many
+    files as the cluster has cores.
+    """
+    k = (id(spark), sf_dir, name)
+    if k not in _DOMAIN:
+        df = build(spark, sf_dir)
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+        _DOMAIN[k] = materialize(df, f"domain-{name}")
+    return _DOMAIN[k]
 
 
 def code6(key: Column) -> Column:
@@ -46,11 +77,12 @@ def code6(key: Column) -> Column:
 
 
 def _date_text(d: Column, ln: Column, ok: Column) -> Column:
+    iso = d.cast("string")                       # yyyy-MM-dd
     return (F.when((ln == 6) & (ok % 2 == 0), F.lit(None).cast("string"))
-            .when(ln == 5, F.date_format(d, "yyyy-MM-dd"))
-            .when(ln == 4, F.date_format(d, "yyyy/MM/dd"))
+            .when(ln == 5, iso)
+            .when(ln == 4, F.translate(iso, "-", "/"))
             .when((ln == 3) & (ok % 10 == 0), F.lit("SIN DATO"))
-            .otherwise(F.date_format(d, "yyyyMMdd")))
+            .otherwise((F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("string")))
 
 
 def _age(q: Column, ln: Column, ok: Column) -> Column:
@@ -65,7 +97,7 @@ def _common(li: DataFrame) -> DataFrame:
         F.col("l_quantity").alias("q"), F.to_date("l_shipdate").alias("d0"))
 
 
-def case_line_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_case_line_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Case line list (10 columns, upper-case names, 6th an integer age)."""
     li = _common(table(spark, sf_dir, "lineitem"))
     ln, ok = F.col("ln"), F.col("ok")
@@ -87,7 +119,7 @@ def case_line_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def death_line_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_death_line_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Death line list (10 columns, upper-case names, 3rd an integer age)."""
     li = _common(table(spark, sf_dir, "lineitem")).where(F.col("l_returnflag") == "R")
     ln, ok = F.col("ln"), F.col("ok")
@@ -116,7 +148,7 @@ def _population_cell(s: Column, base: Column, k: int) -> Column:
     return cell.otherwise(value)
 
 
-def population_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_population_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population sheet after its preamble: 7 text columns ``c1..c7`` by position.
 
     One row per supplier, plus repeated header rows and footnote rows, as a
@@ -136,7 +168,7 @@ def population_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(headers).unionByName(notes)
 
 
-def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """District crosswalk: codes ending in 8 or 9 were split from the code ending in 1."""
     sup = table(spark, sf_dir, "supplier")
     s = F.col("s_suppkey")
@@ -146,7 +178,7 @@ def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(code6(s), F.lit(" was split from "), parent).alias("notes"))
 
 
-def district_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_district_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """District map: attributes plus a unit-square polygon (WKT) per district.
 
     Districts whose key is 3 mod 25 are missing from the map.
@@ -171,3 +203,28 @@ def daily_order_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return (o.groupBy(F.to_date("o_orderdate").alias("day"))
              .agg(F.count(F.lit(1)).cast("double").alias("n_orders")))
+
+
+def case_line_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest(spark, sf_dir, "cases", build_case_line_list)
+
+
+def death_line_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest(spark, sf_dir, "deaths", build_death_line_list)
+
+
+def population_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest(spark, sf_dir, "sheet", build_population_sheet)
+
+
+def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest(spark, sf_dir, "crosswalk", build_crosswalk)
+
+
+def district_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest(spark, sf_dir, "district_map", build_district_map)
+
+
+def ingest_all(spark: SparkSession, sf_dir: str) -> None:
+    for fn in (case_line_list, death_line_list, population_sheet, crosswalk, district_map):
+        fn(spark, sf_dir)
