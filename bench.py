@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from epigrid.plans import pipelines as C  # noqa: E402
 from epigrid.session import build_session  # noqa: E402
+from epigrid.sources import fixtures as fx  # noqa: E402
 
 HEADLINE = {
     "weekly_cases": lambda s, d: C.weekly_cases_from(s, d),
@@ -45,9 +46,14 @@ def main() -> None:
                           extra={"spark.ui.showConsoleProgress": "false"})
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm):
-        for name in ("weekly_cases", "province_rates"):
+        for name in ("weekly_cases", "province_rates", "department_weekly_rates"):
             run(spark, warm, name)
-    times = {name: round(run(spark, sf_dir, name), 3) for name in HEADLINE}
+    # one-time derivation of the reference's input tables from the driver tables
+    # (the reference reads them from files); reported on its own line
+    t0 = time.perf_counter()
+    fx.ingest_all(spark, sf_dir)
+    times = {"ingest_domain_tables": round(time.perf_counter() - t0, 3)}
+    times.update({name: round(run(spark, sf_dir, name), 3) for name in HEADLINE})
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}))
