@@ -80,8 +80,9 @@ def ranked_histogram(values: DataFrame) -> DataFrame:
     hist = values.groupBy("g", "x").agg(F.count(F.lit(1)).alias("w"))
     means = values.groupBy("g").agg(F.avg("x").alias("mu"))
     hist = hist.join(means, "g").withColumn("xc", F.col("x") - F.col("mu"))
+    # Range bounds come from a seeded sample, so partition ids are reproducible;
+    # both uses below read the same (reused) range shuffle in one query.
     parts = hist.repartitionByRange("g", "x").withColumn("pid", F.spark_partition_id())
-    parts = _checkpoint(parts)
     tot = parts.groupBy("g", "pid").agg(
         F.count(F.lit(1)).alias("pn"), F.sum("w").alias("pw"),
         F.sum(F.col("w") * F.col("xc")).alias("p2"), F.sum(F.col("w") * F.col("xc") ** 2).alias("p3"))
@@ -169,7 +170,6 @@ def nested_means_breaks(values: DataFrame, k: int) -> DataFrame:
         new = means.groupBy("g").agg(F.collect_list("m").alias("ms"))
         cur = _finish(cur.join(new, "g", "left"),
                       F.concat(F.col("breaks"), F.coalesce(F.col("ms"), F.array().cast("array<double>"))))
-        cur = _checkpoint(cur)
     return cur
 
 
@@ -200,7 +200,20 @@ def kmeans_breaks(values: DataFrame, k: int, seed: int = 1, groups: Sequence[str
 
 
 # ----------------------------------------------------------------- Fisher / Jenks
-def _fisher_layer(ranked: DataFrame, prev: DataFrame, m: int, only_last: bool) -> DataFrame:
+def _passes(n: int, m: int, fanout: int) -> int:
+    """Number of narrowing passes layer ``m`` needs for ``n`` distinct values."""
+    longest, passes = n - m + 1, 0
+    while longest > 0:
+        passes += 1
+        span = longest - 1
+        if span < fanout:
+            break
+        cuts = [m + (span * t) // (fanout - 1) for t in range(fanout)]
+        longest = max(b - a - 1 for a, b in zip(cuts, cuts[1:]))
+    return passes
+
+
+def _fisher_layer(ranked: DataFrame, prev: DataFrame, m: int, only_last: bool, n_max: int) -> DataFrame:
     """One layer of the optimal-partition recursion.
 
     ``prev`` holds ``(g, idx, D, path)``: the best cost of splitting ranks
@@ -212,7 +225,8 @@ def _fisher_layer(ranked: DataFrame, prev: DataFrame, m: int, only_last: bool) -
     per segment, each over its current candidate range, then split the
     segment between probes with the candidate range narrowed to the probes'
     optima.  Each pass touches O(FANOUT * n) candidate pairs and there are
-    about log_FANOUT(n) passes.  Ties go to the smallest i.
+    about log_FANOUT(n) passes (known in advance from n).  Ties go to the
+    smallest i.  Every pass is stored, so a failure repeats one pass only.
     """
     left = ranked.join(prev, ["g", "idx"]).select(
         "g", (F.col("idx") + 1).alias("i"), F.col("c1").alias("a1"), F.col("c2").alias("a2"),
@@ -220,16 +234,13 @@ def _fisher_layer(ranked: DataFrame, prev: DataFrame, m: int, only_last: bool) -
     right = ranked.select("g", F.col("idx").alias("j"), F.col("c1").alias("b1"),
                           F.col("c2").alias("b2"), F.col("c3").alias("b3"))
     sizes = ranked.groupBy("g").agg(F.max("n").alias("n")).where(F.col("n") >= m)
-    if only_last:
-        segs = sizes.select("g", F.col("n").alias("jl"), F.col("n").alias("jr"),
-                            F.lit(m).cast("long").alias("il"), F.col("n").cast("long").alias("ir"))
-    else:
-        segs = sizes.select("g", F.lit(m).cast("long").alias("jl"), F.col("n").cast("long").alias("jr"),
-                            F.lit(m).cast("long").alias("il"), F.col("n").cast("long").alias("ir"))
+    first = F.col("n") if only_last else F.lit(m).cast("long")
+    segs = sizes.select("g", first.alias("jl"), F.col("n").cast("long").alias("jr"),
+                        F.lit(m).cast("long").alias("il"), F.col("n").cast("long").alias("ir"))
     segs = segs.withColumn("seg", F.concat_ws(":", F.col("g"), F.col("jl").cast("string")))
     done = None
     B = FISHER_FANOUT
-    while not segs.isEmpty():
+    for _ in range(1 if only_last else _passes(n_max, m, B)):
         span = F.col("jr") - F.col("jl")
         probes = F.when(span < B, F.sequence("jl", "jr")).otherwise(
             F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(B - 1)),
@@ -252,22 +263,21 @@ def _fisher_layer(ranked: DataFrame, prev: DataFrame, m: int, only_last: bool) -
             F.col("opt").alias("il"), F.lead("opt").over(wn).alias("ir"))
         segs = (nxt.where(F.col("jr").isNotNull() & (F.col("jl") <= F.col("jr")))
                    .withColumn("seg", F.concat_ws(":", F.col("g"), F.col("jl").cast("string"))))
-    return _checkpoint(done)
+    return done
 
 
-def _optimal_starts(values: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+def _optimal_starts(values: DataFrame, k: int, ranked: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Ranked histogram and, per group, the start ranks of classes 2..k."""
-    ranked = ranked_histogram(values)
-    base = ranked.select("g", "idx", "n", (F.col("c3") - F.col("c2") ** 2 / F.col("c1")).alias("D"),
-                         F.array().cast("array<long>").alias("path"))
-    layer = _checkpoint(base.select("g", "idx", "D", "path"))
-    small = ranked.where(F.col("n") < k)
+    ranked = ranked if ranked is not None else ranked_histogram(values)
+    n_max = ranked.agg(F.max("n")).first()[0] or 0       # one number: sizes the passes
+    layer = ranked.select("g", "idx", (F.col("c3") - F.col("c2") ** 2 / F.col("c1")).alias("D"),
+                          F.array().cast("array<long>").alias("path"))
     for m in range(2, k + 1):
-        layer = _fisher_layer(ranked, layer, m, only_last=(m == k))
+        layer = _fisher_layer(ranked, layer, m, only_last=(m == k), n_max=n_max)
     last = layer.join(ranked.select("g", "idx", "n"), ["g", "idx"]).where(F.col("idx") == F.col("n"))
-    # groups with at most k distinct values: every value is its own class
-    few = small.groupBy("g").agg(F.array_sort(F.collect_list("idx")).alias("all"))
-    few = few.select("g", F.slice("all", 2, k).alias("path"))
+    # groups with fewer than k distinct values: every value is its own class
+    few = (ranked.where(F.col("n") < k).groupBy("g").agg(F.array_sort(F.collect_list("idx")).alias("all"))
+                 .select("g", F.slice("all", 2, k).alias("path")))
     return ranked, last.select("g", "path").unionByName(few)
 
 
@@ -281,15 +291,15 @@ def _breaks_at(ranked: DataFrame, starts: DataFrame, as_maxima: bool) -> DataFra
     return _finish(out, F.concat(F.array("mn", "mx"), F.coalesce("v", F.array().cast("array<double>"))))
 
 
-def fisher_breaks(values: DataFrame, k: int) -> DataFrame:
+def fisher_breaks(values: DataFrame, k: int, ranked: DataFrame | None = None) -> DataFrame:
     """Exact Fisher optimum; breaks = class minima + overall max."""
-    ranked, starts = _optimal_starts(values, k)
+    ranked, starts = _optimal_starts(values, k, ranked)
     return _breaks_at(ranked, starts, as_maxima=False)
 
 
-def jenks_breaks(values: DataFrame, k: int) -> DataFrame:
+def jenks_breaks(values: DataFrame, k: int, ranked: DataFrame | None = None) -> DataFrame:
     """Exact natural breaks; breaks = overall min + class maxima."""
-    ranked, starts = _optimal_starts(values, k)
+    ranked, starts = _optimal_starts(values, k, ranked)
     return _breaks_at(ranked, starts, as_maxima=True)
 
 
@@ -299,11 +309,33 @@ METHODS = {
 }
 
 
-def class_breaks(values: DataFrame, k: int, method: str) -> DataFrame:
+RANKED_METHODS = ("quantile", "fisher", "jenks")
+
+
+def class_breaks(values: DataFrame, k: int, method: str, ranked: DataFrame | None = None) -> DataFrame:
     """Breaks of ``(g, x)`` by method name; see the module docstring."""
+    if method in RANKED_METHODS and ranked is not None:
+        return METHODS[method](values, k, ranked=ranked)
     return METHODS[method](values, k)
 
 
+def many_breaks(values: DataFrame, k: int, methods, groups: Sequence[str] | None = None) -> DataFrame:
+    """Breaks for several methods at once: ``(method, g, breaks)``, stored in one write.
+
+    Methods that need ranks share one ranked histogram.
+    """
+    ranked = ranked_histogram(values) if any(m in RANKED_METHODS for m in methods) else None
+    parts = []
+    for m in methods:
+        br = (kmeans_breaks(values, k, groups=groups) if m == "kmeans"
+              else class_breaks(values, k, m, ranked=ranked))
+        parts.append(br.select(F.lit(m).alias("method"), "g", "breaks"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return _checkpoint(out, "breaks")
+
+
 # ----------------------------------------------------------------- cut
 def cut_index(x: Column, breaks: Column, k: int) -> Column:
     """Right-closed class index 1..k, lowest break included; outside -> NULL.

@@ -8,6 +8,7 @@ dates with ``explode(sequence(lo, hi))`` in place, so the grid never shuffles.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,36 +90,76 @@ def sort_by(df: DataFrame, *cols: str) -> DataFrame:
     return df.orderBy(*cols)
 
 
+@dataclass
+class WeeklySeries:
+    """A dense key x Sunday-week series held in sparse form.
+
+    ``counts`` has one row per (key, week) with at least one event (stored
+    once); ``keys`` lists every key of the dense grid; ``lo``/``hi`` are the
+    first and last week starts (scalar subqueries).  ``dense()`` expands it;
+    aggregates over the dense grid can be taken from ``counts`` directly,
+    since the missing cells are zeros.
+    """
+
+    counts: DataFrame
+    keys: DataFrame
+    lo: Column
+    hi: Column
+    value: str
+    key: str = "ubigeo"
+
+    def dense(self) -> DataFrame:
+        """Every key with every week, zero where nothing happened.
+
+        The sparse counts of each key become one map (bounded by the number of
+        weeks in the calendar), joined to the key list; each key row then
+        expands to its full week range in place, so the grid never shuffles.
+        """
+        k, v = self.key, self.value
+        per_key = self.counts.groupBy(k).agg(F.map_from_entries(F.collect_list(F.struct("week_start", v))).alias("__m"))
+        grid = self.keys.select(k).join(per_key, k, "left")
+        weeks = grid.select(k, "__m", F.explode(F.sequence(self.lo, self.hi, WEEK())).alias("week_start"))
+        return weeks.select(k, "week_start",
+                            F.coalesce(F.try_element_at("__m", F.col("week_start")), F.lit(0).cast("bigint")).alias(v))
+
+    def known(self) -> DataFrame:
+        """Sparse counts of the grid's keys only (events of unknown keys vanish)."""
+        return self.counts.join(self.keys.select(self.key), self.key, "left_semi")
+
+    def calendar(self, lo: Column | None = None, hi: Column | None = None) -> DataFrame:
+        """The week starts between ``lo`` and ``hi`` (default: the series' own), one row each."""
+        lo = self.lo if lo is None else lo
+        hi = self.hi if hi is None else hi
+        return self.keys.sparkSession.range(1).select(F.explode(F.sequence(lo, hi, WEEK())).alias("week_start"))
+
+
+def weekly_series(events: DataFrame, keys: DataFrame, date_col: str, value: str,
+                  key: str = "ubigeo") -> WeeklySeries:
+    """Count events per (key, Sunday week) and describe the dense series.
+
+    Events are counted with a map-side partial aggregate, so a hot key is
+    reduced to at most one row per week before the shuffle.  The sparse counts
+    are stored once; the calendar bounds are read from them (``week_floor`` is
+    monotone, so the bounds of the week starts are the week starts of the
+    event-date bounds), and the bounds span all events, known keys or not.
+    """
+    counts = (events.groupBy(key, week_floor(F.col(date_col)).alias("week_start"))
+                    .agg(F.count(F.lit(1)).alias(value)))
+    counts = materialize(counts, f"weekly-{value}")
+    lo, hi = bounds_scalar(counts, "week_start")
+    return WeeklySeries(counts, keys, lo, hi, value, key)
+
+
 def weekly_counts(events: DataFrame, keys: DataFrame, date_col: str, value: str,
                   key: str = "ubigeo") -> DataFrame:
     """Dense key x Sunday-week counts (the fast path of C2/C3).
 
-    * events are counted per (key, week) with a map-side partial aggregate, so
-      a hot key is reduced to at most one row per week before the shuffle;
-    * the sparse weekly counts of each key become one map (bounded by the
-      number of weeks in the calendar), joined to the key list;
-    * each key row then expands to its full week range in place.
-
     Keys absent from ``keys`` are dropped; the calendar spans all events.
     Equal to the reference's key x day grid summed to weeks (see
     ``weekly_counts_daily_grid``), with 7x fewer generated rows and no shuffle
     of the grid.
     """
-    counts = (events.groupBy(key, week_floor(F.col(date_col)).alias("week_start"))
-                    .agg(F.count(F.lit(1)).alias(value)))
-    # The sparse counts (at most keys x weeks rows) are stored once: both the
-    # calendar bounds and the per-key maps read them, so the events are
-    # scanned a single time.  week_floor is monotone, so the bounds of the
-    # week starts are the week starts of the event-date bounds.
-    counts = materialize(counts, f"weekly-{value}")
-    lo, hi = bounds_scalar(counts, "week_start")
-    per_key = counts.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("week_start", value))).alias("__m"))
-    grid = keys.select(key).join(per_key, key, "left")
-    weeks = grid.select(key, "__m",
-                        F.explode(F.sequence(lo, hi, WEEK())).alias("week_start"))
-    return weeks.select(key, "week_start",
-                        F.coalesce(F.try_element_at("__m", F.col("week_start")), F.lit(0).cast("bigint")).alias(value))
+    return weekly_series(events, keys, date_col, value, key).dense()
 
 
 def weekly_counts_daily_grid(events: DataFrame, keys: DataFrame, date_col: str, value: str,

@@ -82,6 +82,16 @@ def valid_deaths(line_list: DataFrame, floor: str = fx.DATE_FLOOR, age=(fx.AGE_M
     return ll.where(FL.on_or_after(F.col("death_date"), floor))
 
 
+def case_series(line_list: DataFrame, population: DataFrame) -> R.WeeklySeries:
+    keys = P.distinct_keys(population, "ubigeo")
+    return R.weekly_series(valid_cases(line_list).select("ubigeo", "dx_date"), keys, "dx_date", "cases")
+
+
+def death_series(line_list: DataFrame, population: DataFrame) -> R.WeeklySeries:
+    keys = P.distinct_keys(population, "ubigeo")
+    return R.weekly_series(valid_deaths(line_list).select("ubigeo", "death_date"), keys, "death_date", "deaths")
+
+
 def weekly_cases(line_list: DataFrame, population: DataFrame, daily_grid: bool = False) -> DataFrame:
     """``ubigeo, week_start, cases`` dense over population codes x weeks."""
     keys = P.distinct_keys(population, "ubigeo")
@@ -150,6 +160,62 @@ def department_weekly_rates(cases: DataFrame, deaths: DataFrame, districts: Data
     return rates(J.join_on(counts, dep_pop, ["department"]))
 
 
+# --------------------------------------------------------------------- C4/C5/C8 from sparse counts
+# The reference aggregates the dense key x week tables.  Their missing cells
+# are zeros, so the same totals come from the sparse counts: only the grid's
+# keys count, every key still contributes its (possibly zero) group, and an
+# inner join of two series keeps the weeks both calendars share.  Nothing of
+# size keys x weeks is built.
+def _filled(grid: DataFrame, sums: DataFrame, keys: list[str], value: str) -> DataFrame:
+    return grid.join(sums, keys, "left").withColumn(value, F.coalesce(F.col(value), F.lit(0).cast("bigint")))
+
+
+def national_weekly_long_sparse(cs: R.WeeklySeries, ds: R.WeeklySeries) -> DataFrame:
+    """C4 from two series."""
+    cw = _filled(cs.calendar(), A.sum_by(cs.known(), ["week_start"], ["cases"]), ["week_start"], "cases")
+    dw = _filled(ds.calendar(), A.sum_by(ds.known(), ["week_start"], ["deaths"]), ["week_start"], "deaths")
+    weekly = J.join_reduce([cw, dw], ["week_start"])
+    long = R.pivot_longer(weekly, ["cases", "deaths"])
+    return long.withColumns({"epi_year": epi_year(F.col("week_start")),
+                             "epi_week": epi_week(F.col("week_start")),
+                             "year_week": year_week_label(F.col("week_start"))})
+
+
+def province_rates_sparse(cs: R.WeeklySeries, ds: R.WeeklySeries, districts: DataFrame,
+                          population: DataFrame) -> DataFrame:
+    """C5 from two series over the same keys."""
+    lo, hi = F.greatest(cs.lo, ds.lo), F.least(cs.hi, ds.hi)       # weeks both tables have
+
+    def per_key(series: R.WeeklySeries) -> DataFrame:
+        v = series.value
+        return series.counts.where(F.col("week_start").between(lo, hi)).groupBy("ubigeo").agg(F.sum(v).alias(v))
+
+    keys = cs.keys.select("ubigeo").where(lo <= hi)
+    tot = _filled(_filled(keys, per_key(cs), ["ubigeo"], "cases"), per_key(ds), ["ubigeo"], "deaths")
+    counts = J.join_on(tot, districts, ["ubigeo"], "left")
+    prov_counts = A.sum_by(counts, ["department", "province"], ["cases", "deaths"])
+    prov_pop = A.sum_by(J.join_on(districts, population, ["ubigeo"]), ["department", "province"], ["population"])
+    return rates(J.join_null_safe(prov_counts, prov_pop, ["department", "province"], "left"))
+
+
+def department_weekly_rates_sparse(cs: R.WeeklySeries, ds: R.WeeklySeries, districts: DataFrame,
+                                   population: DataFrame) -> DataFrame:
+    """C8 from two series."""
+    dep_pop = A.sum_by(J.join_on(districts, population, ["ubigeo"]), ["department"], ["population"])
+    dep_of_key = J.join_on(cs.keys.select("ubigeo"), districts.select("ubigeo", "department"), ["ubigeo"], "left")
+    deps = dep_of_key.select("department").distinct()
+
+    def by_department(series: R.WeeklySeries) -> DataFrame:
+        v = series.value
+        grid = deps.select("department", F.explode(F.sequence(series.lo, series.hi, R.WEEK())).alias("week_start"))
+        sums = A.sum_by(J.join_on(series.counts, dep_of_key, ["ubigeo"]), ["department", "week_start"], [v])
+        return J.join_null_safe(grid, sums, ["department", "week_start"], "left") \
+            .withColumn(v, F.coalesce(F.col(v), F.lit(0).cast("bigint")))
+
+    counts = J.join_on(by_department(cs), by_department(ds), ["department", "week_start"])
+    return rates(J.join_on(counts, dep_pop, ["department"]))
+
+
 # --------------------------------------------------------------------- C6/C7/C9
 HEATMAP_METHODS = ("quantile", "kmeans", "fisher", "geom", "arith", "em")
 
@@ -166,19 +232,20 @@ def classify(df: DataFrame, cols: list[str], methods, k: int, labels: bool = Tru
              dig_lab: int = 5, consume: bool = True) -> DataFrame:
     """Add ``{col}_{method}`` classes (labels or 1-based indices) for every column and method.
 
-    Breaks are one small row per column; each is read back as a scalar subquery,
-    so the table itself is never joined or shuffled for the classification.
+    All breaks are computed and stored together (one small row per column and
+    method), read back as scalar subqueries, so the table itself is never
+    joined or shuffled for the classification.
     """
+    br = B.many_breaks(B.long_values(df, cols), k, list(methods), groups=cols)
+    if labels:
+        lab = B._checkpoint(label_table(br.withColumn("g", F.concat_ws("|", "method", "g")), dig_lab), "labels")
     refs, out = {}, {}
     for m in methods:
-        br = B._checkpoint(breaks_for(df, cols, m, k), "breaks")
-        if labels:
-            lab = B._checkpoint(label_table(br, dig_lab), "labels")
         for c in cols:
-            refs[f"__b_{c}_{m}"] = br.where(F.col("g") == c).select("breaks").scalar()
+            refs[f"__b_{c}_{m}"] = br.where((F.col("method") == m) & (F.col("g") == c)).select("breaks").scalar()
             idx = B.cut_index(F.col(c), F.col(f"__b_{c}_{m}"), k)
             if labels:
-                refs[f"__l_{c}_{m}"] = lab.where(F.col("g") == c).select("labels").scalar()
+                refs[f"__l_{c}_{m}"] = lab.where(F.col("g") == f"{m}|{c}").select("labels").scalar()
                 out[f"{c}_{m}"] = F.element_at(F.col(f"__l_{c}_{m}"), idx)
             else:
                 out[f"{c}_{m}"] = idx
@@ -229,22 +296,30 @@ def districts_from(spark: SparkSession, sf: str) -> DataFrame:
     return districts_dim(fx.district_map(spark, sf))
 
 
-def province_rates_from(spark: SparkSession, sf: str) -> DataFrame:
+def series_from(spark: SparkSession, sf: str):
     pop = population_from(spark, sf)
-    return province_rates(weekly_cases(fx.case_line_list(spark, sf), pop),
-                          weekly_deaths(fx.death_line_list(spark, sf), pop),
-                          districts_from(spark, sf), population_year(pop))
+    return (case_series(fx.case_line_list(spark, sf), pop), death_series(fx.death_line_list(spark, sf), pop), pop)
 
 
-def department_weekly_rates_from(spark: SparkSession, sf: str) -> DataFrame:
-    pop = population_from(spark, sf)
-    return department_weekly_rates(weekly_cases(fx.case_line_list(spark, sf), pop),
-                                   weekly_deaths(fx.death_line_list(spark, sf), pop),
-                                   districts_from(spark, sf), population_year(pop))
+def province_rates_from(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:
+    cs, ds, pop = series_from(spark, sf)
+    if dense:
+        return province_rates(cs.dense(), ds.dense(), districts_from(spark, sf), population_year(pop))
+    return province_rates_sparse(cs, ds, districts_from(spark, sf), population_year(pop))
+
+
+def department_weekly_rates_from(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:
+    cs, ds, pop = series_from(spark, sf)
+    if dense:
+        return department_weekly_rates(cs.dense(), ds.dense(), districts_from(spark, sf), population_year(pop))
+    return department_weekly_rates_sparse(cs, ds, districts_from(spark, sf), population_year(pop))
 
 
-def national_weekly_long_from(spark: SparkSession, sf: str) -> DataFrame:
-    return national_weekly_long(weekly_cases_from(spark, sf), weekly_deaths_from(spark, sf))
+def national_weekly_long_from(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:
+    cs, ds, _ = series_from(spark, sf)
+    if dense:
+        return national_weekly_long(cs.dense(), ds.dense())
+    return national_weekly_long_sparse(cs, ds)
 
 
 def department_weekly_classes_from(spark: SparkSession, sf: str, labels: bool = True,

@@ -33,7 +33,7 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)   # known schema: no footer-reading job
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
