@@ -82,9 +82,28 @@ def valid_deaths(line_list: DataFrame, floor: str = fx.DATE_FLOOR, age=(fx.AGE_M
     return ll.where(FL.on_or_after(F.col("death_date"), floor))
 
 
-def case_series(line_list: DataFrame, population: DataFrame) -> R.WeeklySeries:
+def harmonise_events(events: DataFrame, cw: DataFrame) -> DataFrame:
+    """Q2 option: map 2022 district codes of events to their 2017 parents."""
+    cw = cw.select("ubigeo_2022", "ubigeo_2017")
+    return (J.left_join_renamed(events, cw, "ubigeo", "ubigeo_2022")
+             .withColumn("ubigeo", F.coalesce("ubigeo_2017", "ubigeo")).drop("ubigeo_2017"))
+
+
+def case_series(line_list: DataFrame, population: DataFrame, crosswalk: DataFrame | None = None) -> R.WeeklySeries:
     keys = P.distinct_keys(population, "ubigeo")
-    return R.weekly_series(valid_cases(line_list).select("ubigeo", "dx_date"), keys, "dx_date", "cases")
+    ev = valid_cases(line_list).select("ubigeo", "dx_date")
+    if crosswalk is not None:
+        ev = harmonise_events(ev, crosswalk)
+    return R.weekly_series(ev, keys, "dx_date", "cases")
+
+
+def dropped_events(series: R.WeeklySeries, source: str) -> DataFrame:
+    """Q1: valid events whose district code is not a population key (they vanish)."""
+    v, k = series.value, series.key
+    marked = series.counts.join(series.keys.select(k).withColumn("__known", F.lit(True)), k, "left")
+    return marked.agg(F.lit(source).alias("source"),
+                      F.coalesce(F.sum(v), F.lit(0)).cast("bigint").alias("events"),
+                      F.coalesce(F.sum(F.when(F.col("__known").isNull(), F.col(v))), F.lit(0)).cast("bigint").alias("dropped"))
 
 
 def death_series(line_list: DataFrame, population: DataFrame) -> R.WeeklySeries:

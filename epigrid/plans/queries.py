@@ -657,3 +657,37 @@ def rate_per_100k(spark, sf):
                                       F.sum("population").alias("population")))
     return dep.select("department", per_100k(F.col("cases"), F.col("population")).alias("cases"),
                       per_100k(F.col("deaths"), F.col("population")).alias("deaths"))
+
+
+
+# ============================================================ quirks Q1, Q2
+O.cte("cases_harmonised", ("cases_valid", "crosswalk"), """
+SELECT coalesce(cw.ubigeo_2017, v.ubigeo) AS ubigeo, v.dx_date FROM cases_valid v
+LEFT JOIN crosswalk cw ON v.ubigeo = cw.ubigeo_2022""")
+O.cte("weekly_cases_harmonised", ("pop_keys", "cases_harmonised"), f"""
+SELECT k.ubigeo, w.week_start, CAST(coalesce(c.cases, 0) AS BIGINT) AS cases
+FROM pop_keys k
+CROSS JOIN (SELECT CAST(unnest(generate_series({O.week('min(dx_date)')}, {O.week('max(dx_date)')}, INTERVAL 7 DAY))
+                   AS DATE) AS week_start FROM cases_harmonised) w
+LEFT JOIN (SELECT ubigeo, {O.week('dx_date')} AS week_start, count(*) AS cases FROM cases_harmonised GROUP BY 1, 2) c
+  ON c.ubigeo = k.ubigeo AND c.week_start = w.week_start""")
+
+
+@register("weekly_cases_harmonised", q("SELECT * FROM weekly_cases_harmonised", "weekly_cases_harmonised"))
+def weekly_cases_harmonised(spark, sf):
+    """Q2 option: events mapped through the crosswalk before counting (split districts kept)."""
+    pop = C.population_from(spark, sf)
+    return C.case_series(fx.case_line_list(spark, sf), pop, fx.crosswalk(spark, sf)).dense()
+
+
+@register("unknown_district_events", q("""
+SELECT 'cases' AS source, CAST(count(*) AS BIGINT) AS events,
+       CAST(count(*) FILTER (WHERE ubigeo NOT IN (SELECT ubigeo FROM pop_keys)) AS BIGINT) AS dropped FROM cases_valid
+UNION ALL
+SELECT 'deaths', CAST(count(*) AS BIGINT),
+       CAST(count(*) FILTER (WHERE ubigeo NOT IN (SELECT ubigeo FROM pop_keys)) AS BIGINT) FROM deaths_valid""",
+                                       "cases_valid", "deaths_valid", "pop_keys"))
+def unknown_district_events(spark, sf):
+    """Q1: how many valid events vanish because their code has no population row."""
+    cs, ds, _ = C.series_from(spark, sf)
+    return C.dropped_events(cs, "cases").unionByName(C.dropped_events(ds, "deaths"))

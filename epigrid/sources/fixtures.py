@@ -38,19 +38,24 @@ DEATH_COLUMNS = ("FECHA_CORTE", "FECHA_FALLECIMIENTO", "EDAD_DECLARADA", "SEXO",
 SHEET_COLUMNS = tuple(f"c{i}" for i in range(1, 8))
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
+def _cached(cache: dict, k: tuple, spark: SparkSession, make) -> DataFrame:
+    """Per-application cache; an entry made by another session is rebuilt."""
+    df = cache.get(k)
+    if df is None or df.sparkSession is not spark:
+        df = cache[k] = make()
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table (read once per session and path)."""
     path = f"{sf_dir}/{name}.parquet"
-    k = (id(spark), path)
-    if k not in _TABLES:
-        _TABLES[k] = spark.read.parquet(path)
-    return _TABLES[k]
+    return _cached(_TABLES, (spark.sparkContext.applicationId, path), spark, lambda: spark.read.parquet(path))
 
 
-_DOMAIN: dict[tuple[int, str, str], DataFrame] = {}
+_DOMAIN: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def ingest(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
@@ -61,14 +66,14 @@ def ingest(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     filters and column pruning reach the scan), written in at least as many
     files as the cluster has cores.
     """
-    k = (id(spark), sf_dir, name)
-    if k not in _DOMAIN:
+    def make() -> DataFrame:
         df = build(spark, sf_dir)
         want = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < want:
             df = df.repartition(want)
-        _DOMAIN[k] = materialize(df, f"domain-{name}")
-    return _DOMAIN[k]
+        return materialize(df, f"domain-{name}")
+
+    return _cached(_DOMAIN, (spark.sparkContext.applicationId, sf_dir, name), spark, make)
 
 
 def code6(key: Column) -> Column:
