@@ -68,6 +68,16 @@ def calendar(events: DataFrame, col: str, name: str | None = None) -> DataFrame:
     return b.select(F.explode(F.sequence("lo", "hi", DAY())).alias(name or col))
 
 
+def days_in_week(events: DataFrame, col: str) -> DataFrame:
+    """Q7 option: each Sunday week of the calendar and how many of its days the
+    calendar covers (the first and last weeks are usually partial)."""
+    lo, hi = bounds_scalar(events, col)
+    weeks = events.sparkSession.range(1).select(
+        F.explode(F.sequence(week_floor(lo), week_floor(hi), WEEK())).alias("week_start"))
+    covered = F.datediff(F.least(F.date_add("week_start", 6), hi), F.greatest(F.col("week_start"), lo)) + 1
+    return weeks.select("week_start", covered.alias("days_in_week"))
+
+
 def replace_na(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     """NULL -> constant in the named columns."""
     return df.fillna(dict(values))

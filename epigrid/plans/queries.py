@@ -691,3 +691,11 @@ def unknown_district_events(spark, sf):
     """Q1: how many valid events vanish because their code has no population row."""
     cs, ds, _ = C.series_from(spark, sf)
     return C.dropped_events(cs, "cases").unionByName(C.dropped_events(ds, "deaths"))
+
+
+
+@register("days_in_week", q(f"""SELECT {O.week('dx_date')} AS week_start, CAST(count(*) AS INTEGER) AS days_in_week
+FROM cases_days GROUP BY 1""", "cases_days"))
+def days_in_week(spark, sf):
+    """Q7 option: calendar days covered by each week of the case series."""
+    return R.days_in_week(C.valid_cases(fx.case_line_list(spark, sf)), "dx_date")
