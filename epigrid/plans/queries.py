@@ -66,7 +66,8 @@ def _order_values(spark, sf):
 
 
 def _long_breaks(br):
-    return br.select("g", F.posexplode("breaks").alias("i", "brk")).select("g", (F.col("i") + 1).alias("i"), "brk")
+    return br.select("g", F.posexplode("breaks").alias("i", "brk")).select(
+        "g", (F.col("i") + 1).cast("bigint").alias("i"), "brk")
 
 
 _BRK_SQL = "SELECT g, i, brk FROM (SELECT g, unnest(generate_series(1, len(breaks))) AS i, unnest(breaks) AS brk FROM {t})"
