@@ -324,12 +324,19 @@ def many_breaks(values: DataFrame, k: int, methods, groups: Sequence[str] | None
 
     Methods that need ranks share one ranked histogram.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     ranked = ranked_histogram(values) if any(m in RANKED_METHODS for m in methods) else None
-    parts = []
-    for m in methods:
+
+    def one(m: str) -> DataFrame:
         br = (kmeans_breaks(values, k, groups=groups) if m == "kmeans"
               else class_breaks(values, k, m, ranked=ranked))
-        parts.append(br.select(F.lit(m).alias("method"), "g", "breaks"))
+        return br.select(F.lit(m).alias("method"), "g", "breaks")
+
+    # methods with their own Spark jobs (k-means fits, Fisher passes) are
+    # independent of each other, so they are submitted concurrently
+    with ThreadPoolExecutor(max(1, len(methods))) as pool:
+        parts = list(pool.map(one, methods))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -231,5 +231,10 @@ def district_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_all(spark: SparkSession, sf_dir: str) -> None:
-    for fn in (case_line_list, death_line_list, population_sheet, crosswalk, district_map):
-        fn(spark, sf_dir)
+    """Derive every domain table; the five independent jobs are submitted together."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    fns = (case_line_list, death_line_list, population_sheet, crosswalk, district_map)
+    with ThreadPoolExecutor(len(fns)) as pool:
+        for f in [pool.submit(fn, spark, sf_dir) for fn in fns]:
+            f.result()
