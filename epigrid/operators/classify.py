@@ -185,12 +185,19 @@ def kmeans_breaks(values: DataFrame, k: int, seed: int = 1, groups: Sequence[str
     if groups is None:
         groups = [r["g"] for r in values.select("g").distinct().collect()]
     vec = VectorAssembler(inputCols=["x"], outputCol="features")
-    ranges = None
-    for gid in groups:
+
+    def cluster_ranges(gid: str) -> DataFrame:
         part = vec.transform(values.where(F.col("g") == gid))
         model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="c").fit(part)
-        rg = model.transform(part).groupBy("g", "c").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-        ranges = rg if ranges is None else ranges.unionByName(rg)
+        return model.transform(part).groupBy("g", "c").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max(1, len(groups))) as pool:      # one independent fit per group
+        fitted = list(pool.map(cluster_ranges, groups))
+    ranges = fitted[0]
+    for rg in fitted[1:]:
+        ranges = ranges.unionByName(rg)
     per = ranges.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("r"))
     mids = F.transform(F.sequence(F.lit(1), F.size("r") - 1),
                        lambda i: (F.element_at("r", i).getField("hi") + F.element_at("r", i + 1).getField("lo")) / 2)

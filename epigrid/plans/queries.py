@@ -374,14 +374,11 @@ def distinct_keys(spark, sf):
     return P.distinct_keys(C.population_from(spark, sf), "ubigeo")
 
 
-FACET_NAMES = {"cases": "Positive cases", "deaths": "Deaths"}
-
-
 @register("proj_relabel", q("""SELECT week_start, name, CASE name WHEN 'cases' THEN 'Positive cases'
   WHEN 'deaths' THEN 'Deaths' ELSE name END AS label, value FROM national_long""", "national_long"))
 def proj_relabel(spark, sf):
     long = C.national_weekly_long_from(spark, sf)
-    return long.select("week_start", "name", P.relabel(F.col("name"), FACET_NAMES).alias("label"), "value")
+    return long.select("week_start", "name", P.relabel(F.col("name"), fx.FACET_NAMES).alias("label"), "value")
 
 
 # ============================================================ filters

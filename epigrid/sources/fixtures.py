@@ -26,6 +26,7 @@ DATE_FLOOR = "2020-03-01"          # first date kept in both line lists
 AGE_MIN, AGE_MAX = 0, 123          # inclusive age bounds
 POPULATION_YEARS = (2018, 2019, 2020, 2021, 2022)
 RATE_YEAR = 2020                   # population year used as denominator
+FACET_NAMES = {"cases": "Positive cases", "deaths": "Deaths"}   # series labels
 # ---------------------------------------------------------------------------
 
 DATE_SHIFT_DAYS = 9131             # 1995-01-02 + 9131 days = 2020-01-03

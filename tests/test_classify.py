@@ -91,3 +91,14 @@ def test_interval_labels(spark):
 def test_bivariate_null_guard(spark):
     df = spark.createDataFrame([(1, 3), (None, 2)], "a int, b int")
     assert [r.c for r in df.select(B.bi_class(F.col("a"), F.col("b")).alias("c")).collect()] == ["1-3", None]
+
+
+def test_kmeans_breaks_separate_clusters(spark):
+    rnd = random.Random(4)
+    xs = [rnd.gauss(c, 0.5) for c in (0, 10, 20, 40) for _ in range(30)]
+    brk = B.kmeans_breaks(_vals(spark, xs), 4, groups=["x"]).first().breaks
+    assert len(brk) == 5 and brk == sorted(brk)
+    assert brk[0] == min(xs) and brk[-1] == max(xs)
+    # each inner break lies in the gap between two neighbouring clusters
+    for b, (lo, hi) in zip(brk[1:-1], [(5, 5), (15, 15), (30, 30)]):
+        assert abs(b - lo) < 4
