@@ -316,8 +316,14 @@ def districts_from(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def series_from(spark: SparkSession, sf: str):
+    """Case and death series over the same population keys (built concurrently)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     pop = population_from(spark, sf)
-    return (case_series(fx.case_line_list(spark, sf), pop), death_series(fx.death_line_list(spark, sf), pop), pop)
+    with ThreadPoolExecutor(2) as pool:
+        cs = pool.submit(case_series, fx.case_line_list(spark, sf), pop)
+        ds = pool.submit(death_series, fx.death_line_list(spark, sf), pop)
+        return cs.result(), ds.result(), pop
 
 
 def province_rates_from(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:

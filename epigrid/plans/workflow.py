@@ -32,8 +32,12 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, fmt: s
 
     pop = materialize(C.population_from(spark, sf_dir), "population")
     emit("interim/population_2018-2022", pop)
-    cs = C.case_series(fx.case_line_list(spark, sf_dir), pop)
-    ds = C.death_series(fx.death_line_list(spark, sf_dir), pop)
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(2) as pool:
+        fc = pool.submit(C.case_series, fx.case_line_list(spark, sf_dir), pop)
+        fd = pool.submit(C.death_series, fx.death_line_list(spark, sf_dir), pop)
+        cs, ds = fc.result(), fd.result()
     emit("processed/cases", cs.dense())
     emit("processed/deaths", ds.dense())
     emit("figures/weekly_long", C.national_weekly_long_sparse(cs, ds))
