@@ -40,3 +40,9 @@ def bounds(df: DataFrame, col: str, lo: str = "lo", hi: str = "hi") -> DataFrame
 def group_bounds(df: DataFrame, keys: Sequence[str], col: str, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """Min and max of a column per group."""
     return df.groupBy(*keys).agg(F.min(col).alias(lo), F.max(col).alias(hi))
+
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once, with their count (e.g. Q11: a crosswalk
+    child listed twice would fan out the lookup join)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

@@ -54,3 +54,11 @@ def test_relabel(spark):  # P13
     df = spark.createDataFrame([("cases",), ("deaths",), ("other",)], "name string")
     got = [r.l for r in df.select(P.relabel(F.col("name"), {"cases": "Positive cases", "deaths": "Deaths"}).alias("l")).collect()]
     assert got == ["Positive cases", "Deaths", "other"]
+
+
+def test_crosswalk_children_unique_and_many_to_one(spark):  # Q11
+    from epigrid.sources import fixtures as fx
+
+    cw = fx.crosswalk(spark, "/root/testdata/sf0.001")
+    assert A.duplicate_keys(cw, ["ubigeo_2022"]).count() == 0
+    assert cw.select("ubigeo_2017").distinct().count() < cw.count()   # several children per parent
