@@ -59,7 +59,7 @@ def _finish(df: DataFrame, arr: Column) -> DataFrame:
                      .alias("breaks"))
 
 
-def _checkpoint(df: DataFrame, name: str = "classify") -> DataFrame:
+def store(df: DataFrame, name: str = "classify") -> DataFrame:
     """Store an intermediate table in the checkpoint folder and continue from it."""
     return materialize(df, name)
 
@@ -104,7 +104,7 @@ def ranked_histogram(values: DataFrame) -> DataFrame:
         "g", "x", "w", (F.col("o_n") + F.col("r")).alias("idx"),
         (F.col("o1") + F.col("l1")).alias("c1"), (F.col("o2") + F.col("l2")).alias("c2"),
         (F.col("o3") + F.col("l3")).alias("c3"), "n", "tot")
-    return _checkpoint(ranked)
+    return store(ranked)
 
 
 # ----------------------------------------------------------------- simple methods
@@ -261,7 +261,7 @@ def _fisher_layer(ranked: DataFrame, prev: DataFrame, m: int, only_last: bool, n
                   .agg(F.min(F.struct((F.col("dprev") + sse).alias("D"), F.col("i"), F.col("path"))).alias("b"))
                   .select("g", "seg", "j", "last", F.col("b.D").alias("D"), F.col("b.i").alias("opt"),
                           F.concat(F.col("b.path"), F.array(F.col("b.i"))).alias("path")))
-        best = _checkpoint(best, "fisher-pass")
+        best = store(best, "fisher-pass")
         out = best.select("g", F.col("j").alias("idx"), "D", "path")
         done = out if done is None else done.unionByName(out)
         wn = Window.partitionBy("g", "seg").orderBy("j")
@@ -347,7 +347,7 @@ def many_breaks(values: DataFrame, k: int, methods, groups: Sequence[str] | None
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return _checkpoint(out, "breaks")
+    return store(out, "breaks")
 
 
 # ----------------------------------------------------------------- cut

@@ -257,7 +257,7 @@ def classify(df: DataFrame, cols: list[str], methods, k: int, labels: bool = Tru
     """
     br = B.many_breaks(B.long_values(df, cols), k, list(methods), groups=cols)
     if labels:
-        lab = B._checkpoint(label_table(br.withColumn("g", F.concat_ws("|", "method", "g")), dig_lab), "labels")
+        lab = B.store(label_table(br.withColumn("g", F.concat_ws("|", "method", "g")), dig_lab), "labels")
     refs, out = {}, {}
     for m in methods:
         for c in cols:
@@ -276,13 +276,13 @@ def classify(df: DataFrame, cols: list[str], methods, k: int, labels: bool = Tru
 def department_weekly_classes(rates_df: DataFrame, methods=HEATMAP_METHODS, labels: bool = True,
                               k: int = 4) -> DataFrame:
     """Department-week classes, 6 methods x 2 measures, the measures consumed."""
-    rates_df = B._checkpoint(rates_df)
+    rates_df = B.store(rates_df)
     return classify(rates_df, ["cases", "deaths"], methods, k, labels=labels)
 
 
 def province_bivariate(prates: DataFrame, k: int = 3, style: str = "jenks") -> DataFrame:
     """Bivariate class ``x-y`` of case and death rates (natural breaks, k classes)."""
-    prates = B._checkpoint(prates)
+    prates = B.store(prates)
     cls = classify(prates, ["cases", "deaths"], [style], k, labels=False, consume=False)
     return (cls.withColumn("bi_class", B.bi_class(F.col(f"cases_{style}"), F.col(f"deaths_{style}")))
                .drop(f"cases_{style}", f"deaths_{style}"))

@@ -4,6 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import across, col_range, letters_to_zero, per_100k, starts_with, to_double
+from ..functions.dates import epi_week, epi_year, parse_ymd, week_floor, year_week_label
+from ..functions.labels import label_table
+from ..operators import aggregate as A
+from ..operators import classify as B
+from ..operators import densify as R
+from ..operators import dissolve as G
+from ..operators import filters as FL
+from ..operators import joins as J
+from ..operators import project as P
+from ..session import scratch_path
+from ..sources import fixtures as fx
+from ..sources import io
+from . import oracles as O
 from . import pipelines as C
 from .catalog import register
 from .oracles import q
@@ -47,17 +61,12 @@ def department_weekly_rates(spark, sf):
 
 
 # ============================================================ class breaks, classes, maps
-from ..functions.labels import label_table  # noqa: E402
-from ..operators import classify as B  # noqa: E402
-from ..operators import dissolve as G  # noqa: E402
-from ..sources import fixtures as fx  # noqa: E402
-from . import oracles as O  # noqa: E402
 
 _EXACT = ("quantile", "fisher", "geom", "arith", "em")
 
 
 def _rates_values(spark, sf):
-    return B.long_values(B._checkpoint(C.department_weekly_rates_from(spark, sf), "rates"), ["cases", "deaths"])
+    return B.long_values(B.store(C.department_weekly_rates_from(spark, sf), "rates"), ["cases", "deaths"])
 
 
 def _order_values(spark, sf):
@@ -103,8 +112,8 @@ O.breaks_sql("rate_vals", "quantile", 4, "cut_q")
   {O.cut_sql('deaths', '(SELECT breaks FROM cut_q WHERE g = $$deaths$$)', 4)} AS deaths_class
 FROM department_rates""", "department_rates", "cut_q"), doubles=("cases", "deaths"))
 def cut_class(spark, sf):
-    rates = B._checkpoint(C.department_weekly_rates_from(spark, sf), "rates")
-    br = B._checkpoint(B.quantile_breaks(B.long_values(rates, ["cases", "deaths"]), 4), "breaks")
+    rates = B.store(C.department_weekly_rates_from(spark, sf), "rates")
+    br = B.store(B.quantile_breaks(B.long_values(rates, ["cases", "deaths"]), 4), "breaks")
     return rates.withColumns({f"{c}_class": B.cut_index(F.col(c), br.where(F.col("g") == c).select("breaks").scalar(), 4)
                               for c in ("cases", "deaths")})
 
@@ -119,7 +128,7 @@ _LAB_SQL = " UNION ALL ".join(
 
 @register("cut_label", q(_LAB_SQL, *[f"lab_l_{m}" for m in _EXACT]))
 def cut_label(spark, sf):
-    vals = B._checkpoint(_rates_values(spark, sf), "values")
+    vals = B.store(_rates_values(spark, sf), "values")
     out = None
     for m in _EXACT:
         lab = label_table(B.class_breaks(vals, 4, m)).select(
@@ -206,15 +215,6 @@ def agg_dissolve_groups(spark, sf):
 
 
 # ============================================================ sources and sinks
-from ..functions.columns import across, col_range, letters_to_zero, per_100k, starts_with, to_double  # noqa: E402
-from ..functions.dates import epi_week, epi_year, parse_ymd, week_floor, year_week_label  # noqa: E402
-from ..operators import aggregate as A  # noqa: E402
-from ..operators import densify as R  # noqa: E402
-from ..operators import filters as FL  # noqa: E402
-from ..operators import joins as J  # noqa: E402
-from ..operators import project as P  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import io  # noqa: E402
 
 CASE_TYPES = "cccccicccc"
 DEATH_TYPES = "cciccccccc"

@@ -43,7 +43,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, fmt: s
     emit("figures/weekly_long", C.national_weekly_long_sparse(cs, ds))
     districts = C.districts_from(spark, sf_dir)
     pop_year = C.population_year(pop)
-    prates = B._checkpoint(C.province_rates_sparse(cs, ds, districts, pop_year), "province-rates")
+    prates = B.store(C.province_rates_sparse(cs, ds, districts, pop_year), "province-rates")
     emit("figures/province_map", C.province_map(C.province_bivariate(prates), fx.district_map(spark, sf_dir)))
     drates = C.department_weekly_rates_sparse(cs, ds, districts, pop_year)
     emit("figures/department_weekly_classes", C.department_weekly_classes(drates))
