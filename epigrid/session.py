@@ -11,9 +11,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# scratch folders this process created, in order (kept ones are never removed)
+_CREATED: list[str] = []
+_KEPT: set[str] = set()
+
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
@@ -24,14 +29,17 @@ DEFAULT_CONF = {
 }
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", keep: bool = False):
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Cuts the lineage of iterative plans (each pass starts from stored data, so a
     lost executor only recomputes the current pass) and computes ``df`` once.
+    ``keep`` marks tables that outlive a ``scratch_scope`` (e.g. ingested inputs).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if keep:
+        _KEPT.add(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)   # known schema: no footer-reading job
 
@@ -71,4 +79,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "epigrid-scratch", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(base, "epigrid-scratch", f"{name}-{uuid.uuid4().hex}")
+    _CREATED.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the scratch folders created inside the block when it ends.
+
+    DataFrames read from those folders must not be used after the block.
+    Deletion goes through Hadoop's FileSystem, so it works on cluster storage.
+    """
+    mark = len(_CREATED)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _CREATED[mark:]:
+            if path in _KEPT:
+                continue
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            fs = p.getFileSystem(conf)
+            if fs.exists(p):
+                fs.delete(p, True)
+        del _CREATED[mark:]

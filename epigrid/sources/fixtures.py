@@ -72,7 +72,7 @@ def ingest(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         want = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < want:
             df = df.repartition(want)
-        return materialize(df, f"domain-{name}")
+        return materialize(df, f"domain-{name}", keep=True)
 
     return _cached(_DOMAIN, (spark.sparkContext.applicationId, sf_dir, name), spark, make)
 

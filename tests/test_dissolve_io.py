@@ -33,3 +33,16 @@ def test_sheet_skip_and_na_roundtrip(spark):
 def test_type_string_schema():
     s = io.type_string_schema("cDi", ["ubigeo", "week_start", "cases"])
     assert [f.dataType.simpleString() for f in s.fields] == ["string", "date", "int"]
+
+
+def test_scratch_scope_removes_only_its_own_tables(spark):
+    from epigrid.session import materialize, scratch_scope
+    from epigrid.sources import fixtures as fx
+
+    kept = fx.crosswalk(spark, "/root/testdata/sf0.001")          # ingested: survives scopes
+    with scratch_scope(spark):
+        tmp = materialize(spark.range(10), "t-scope")
+        assert tmp.count() == 10
+        path = tmp.inputFiles()[0]
+    assert not os.path.exists(path.replace("file:", ""))
+    assert kept.count() > 0
