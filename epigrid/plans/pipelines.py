@@ -256,20 +256,22 @@ def classify(df: DataFrame, cols: list[str], methods, k: int, labels: bool = Tru
     joined or shuffled for the classification.
     """
     br = B.many_breaks(B.long_values(df, cols), k, list(methods), groups=cols)
+    br = br.withColumn("key", F.concat_ws("|", "method", "g"))
+    fields = [F.first(F.when(F.col("key") == f"{m}|{c}", F.col("breaks")), ignorenulls=True).alias(f"b_{c}_{m}")
+              for m in methods for c in cols]
     if labels:
-        lab = B.store(label_table(br.withColumn("g", F.concat_ws("|", "method", "g")), dig_lab), "labels")
-    refs, out = {}, {}
+        lab = label_table(br.select(F.col("key").alias("g"), "breaks"), dig_lab).withColumnRenamed("g", "key")
+        br = br.join(lab, "key")
+        fields += [F.first(F.when(F.col("key") == f"{m}|{c}", F.col("labels")), ignorenulls=True).alias(f"l_{c}_{m}")
+                   for m in methods for c in cols]
+    # every break and label array in one stored row, read back by one scalar subquery
+    row = B.store(br.agg(F.struct(*fields).alias("all")), "class-row")
+    out = {}
     for m in methods:
         for c in cols:
-            refs[f"__b_{c}_{m}"] = br.where((F.col("method") == m) & (F.col("g") == c)).select("breaks").scalar()
-            idx = B.cut_index(F.col(c), F.col(f"__b_{c}_{m}"), k)
-            if labels:
-                refs[f"__l_{c}_{m}"] = lab.where(F.col("g") == f"{m}|{c}").select("labels").scalar()
-                out[f"{c}_{m}"] = F.element_at(F.col(f"__l_{c}_{m}"), idx)
-            else:
-                out[f"{c}_{m}"] = idx
-    # one projection holds each scalar subquery once; the classes read its columns
-    res = df.withColumns(refs).withColumns(out).drop(*refs)
+            idx = B.cut_index(F.col(c), F.col(f"__all.b_{c}_{m}"), k)
+            out[f"{c}_{m}"] = F.element_at(F.col(f"__all.l_{c}_{m}"), idx) if labels else idx
+    res = df.withColumn("__all", row.select("all").scalar()).withColumns(out).drop("__all")
     return res.drop(*cols) if consume else res
 
 

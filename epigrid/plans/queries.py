@@ -697,3 +697,9 @@ FROM cases_days GROUP BY 1""", "cases_days"))
 def days_in_week(spark, sf):
     """Q7 option: calendar days covered by each week of the case series."""
     return R.days_in_week(C.valid_cases(fx.case_line_list(spark, sf)), "dx_date")
+
+
+@register("department_weekly_classes_labels", _classes_sql(_EXACT, as_labels=True))
+def department_weekly_classes_labels(spark, sf):
+    """C9 with interval labels for the five deterministic methods (k-means excluded)."""
+    return C.department_weekly_classes_from(spark, sf, labels=True, methods=_EXACT)
