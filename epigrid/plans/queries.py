@@ -246,7 +246,7 @@ def scan_type_string(spark, sf):
     return io.read_delimited(spark, path, "cid")
 
 
-PREAMBLE = ("PERU: POBLACION ESTIMADA", "POR DISTRITO", "", "(fixture export)", "")
+PREAMBLE = ("POBLACION ESTIMADA", "POR DISTRITO", "", "(fixture export)", "")
 
 
 @register("scan_skip_preamble", q("SELECT * FROM sheet", "sheet"))
