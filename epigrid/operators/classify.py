@@ -245,7 +245,7 @@ def _fisher_layer(ranked: DataFrame, prev: DataFrame, m: int, only_last: bool, n
     segs = sizes.select("g", first.alias("jl"), F.col("n").cast("long").alias("jr"),
                         F.lit(m).cast("long").alias("il"), F.col("n").cast("long").alias("ir"))
     segs = segs.withColumn("seg", F.concat_ws(":", F.col("g"), F.col("jl").cast("string")))
-    done = None
+    done = prev.select("g", "idx", "D", "path").where(F.lit(False))   # no group has m values: empty layer
     B = FISHER_FANOUT
     for _ in range(1 if only_last else _passes(n_max, m, B)):
         span = F.col("jr") - F.col("jl")
@@ -262,8 +262,7 @@ def _fisher_layer(ranked: DataFrame, prev: DataFrame, m: int, only_last: bool, n
                   .select("g", "seg", "j", "last", F.col("b.D").alias("D"), F.col("b.i").alias("opt"),
                           F.concat(F.col("b.path"), F.array(F.col("b.i"))).alias("path")))
         best = store(best, "fisher-pass")
-        out = best.select("g", F.col("j").alias("idx"), "D", "path")
-        done = out if done is None else done.unionByName(out)
+        done = done.unionByName(best.select("g", F.col("j").alias("idx"), "D", "path"))
         wn = Window.partitionBy("g", "seg").orderBy("j")
         nxt = best.where(~F.col("last")).select(
             "g", (F.col("j") + 1).alias("jl"), (F.lead("j").over(wn) - 1).alias("jr"),

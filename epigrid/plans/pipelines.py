@@ -270,7 +270,7 @@ def classify(df: DataFrame, cols: list[str], methods, k: int, labels: bool = Tru
     for m in methods:
         for c in cols:
             idx = B.cut_index(F.col(c), F.col(f"__all.b_{c}_{m}"), k)
-            out[f"{c}_{m}"] = F.element_at(F.col(f"__all.l_{c}_{m}"), idx) if labels else idx
+            out[f"{c}_{m}"] = F.try_element_at(F.col(f"__all.l_{c}_{m}"), idx) if labels else idx
     res = df.withColumn("__all", row.select("all").scalar()).withColumns(out).drop("__all")
     return res.drop(*cols) if consume else res
 

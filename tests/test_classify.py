@@ -102,3 +102,17 @@ def test_kmeans_breaks_separate_clusters(spark):
     # each inner break lies in the gap between two neighbouring clusters
     for b, (lo, hi) in zip(brk[1:-1], [(5, 5), (15, 15), (30, 30)]):
         assert abs(b - lo) < 4
+
+
+def test_degenerate_columns(spark):
+    from epigrid.plans.pipelines import classify
+
+    const = spark.createDataFrame([(float(i % 1), 2.0 + (i % 2)) for i in range(12)], "a double, b double")
+    out = classify(const, ["a", "b"], ["quantile", "fisher", "jenks", "em", "arith", "geom"], 4).collect()
+    assert len(out) == 12
+    # a constant column has one break and no interval: no class label, never an error
+    assert all(r.a_quantile is None and r.a_fisher is None for r in out)
+    # two distinct values and four classes: each value still gets a class
+    assert {r.b_fisher for r in out} == {"[2,3]"} or len({r.b_fisher for r in out}) == 2
+    few = B.fisher_breaks(_vals(spark, [1.0, 1.0, 5.0]), 4).first().breaks
+    assert few == [1.0, 5.0]
