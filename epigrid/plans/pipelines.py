@@ -90,6 +90,10 @@ def harmonise_events(events: DataFrame, cw: DataFrame) -> DataFrame:
 
 
 def case_series(line_list: DataFrame, population: DataFrame, crosswalk: DataFrame | None = None) -> R.WeeklySeries:
+    """C2 in sparse form: case counts per (district, week) over the population codes.
+
+    With ``crosswalk``, event codes are first mapped to their parents (Q2 option).
+    """
     keys = P.distinct_keys(population, "ubigeo")
     ev = valid_cases(line_list).select("ubigeo", "dx_date")
     if crosswalk is not None:
@@ -97,6 +101,12 @@ def case_series(line_list: DataFrame, population: DataFrame, crosswalk: DataFram
     return R.weekly_series(ev, keys, "dx_date", "cases")
 
 
+def death_series(line_list: DataFrame, population: DataFrame) -> R.WeeklySeries:
+    """C3 in sparse form: death counts per (district, week) over the population codes."""
+    keys = P.distinct_keys(population, "ubigeo")
+    return R.weekly_series(valid_deaths(line_list).select("ubigeo", "death_date"), keys, "death_date", "deaths")
+
+
 def dropped_events(series: R.WeeklySeries, source: str) -> DataFrame:
     """Q1: valid events whose district code is not a population key (they vanish)."""
     v, k = series.value, series.key
@@ -106,11 +116,6 @@ def dropped_events(series: R.WeeklySeries, source: str) -> DataFrame:
                       F.coalesce(F.sum(F.when(F.col("__known").isNull(), F.col(v))), F.lit(0)).cast("bigint").alias("dropped"))
 
 
-def death_series(line_list: DataFrame, population: DataFrame) -> R.WeeklySeries:
-    keys = P.distinct_keys(population, "ubigeo")
-    return R.weekly_series(valid_deaths(line_list).select("ubigeo", "death_date"), keys, "death_date", "deaths")
-
-
 def weekly_cases(line_list: DataFrame, population: DataFrame, daily_grid: bool = False) -> DataFrame:
     """``ubigeo, week_start, cases`` dense over population codes x weeks."""
     keys = P.distinct_keys(population, "ubigeo")
