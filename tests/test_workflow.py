@@ -18,3 +18,10 @@ def test_workflow_writes_every_table(spark):
     pop = io.read_delimited(spark, paths["interim/population_2018-2022"], "cid")
     assert pop.count() == C.population_from(spark, SF).count()
     assert all(os.path.basename(p) for p in paths.values())
+
+
+def test_sinks_are_sorted(spark):
+    paths = run_all(spark, SF)
+    rows = [tuple(r) for r in io.read_delimited(spark, paths["processed/deaths"], "cDl").collect()]
+    keys = [(r[0], r[1]) for r in rows]
+    assert keys == sorted(keys)
