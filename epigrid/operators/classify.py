@@ -18,8 +18,10 @@ the rules we implement):
 * em       - nested means: split at the mean, then every part at its own
              mean, log2(k) times; the first part is closed, the others
              left-open;
-* kmeans   - 1-D k-means (Spark ML, fixed seed); breaks are the midpoints
-             between one cluster's max and the next cluster's min;
+* kmeans   - 1-D k-means solved exactly (the optimum of the k-means objective,
+             the same partition as fisher); breaks are the midpoints between one
+             cluster's max and the next cluster's min.  ``kmeans_ml`` runs Spark
+             ML's iterative k-means (fixed seed) instead;
 * fisher   - exact minimum within-class sum of squares (Fisher 1958), breaks
              at the class minima plus the overall max;
 * jenks    - the same optimum, breaks at the class maxima plus the overall min.
@@ -287,12 +289,20 @@ def _optimal_starts(values: DataFrame, k: int, ranked: DataFrame | None = None)
     return ranked, last.select("g", "path").unionByName(few)
 
 
-def _breaks_at(ranked: DataFrame, starts: DataFrame, as_maxima: bool) -> DataFrame:
-    """Turn class start ranks into break values."""
-    pos = starts.select("g", F.explode(
-        F.transform("path", lambda i: i - 1) if as_maxima else F.col("path")).alias("idx"))
+def _breaks_at(ranked: DataFrame, starts: DataFrame, kind: str) -> DataFrame:
+    """Turn class start ranks into break values.
+
+    ``kind``: ``min`` (each class's first value), ``max`` (the previous class's
+    last value) or ``mid`` (halfway between the two); the overall min and max
+    are always breaks.
+    """
+    pos = starts.select("g", F.explode("path").alias("i"))
     ends = ranked.groupBy("g").agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
-    vals = pos.join(ranked.select("g", "idx", "x"), ["g", "idx"]).groupBy("g").agg(F.collect_list("x").alias("v"))
+    at = ranked.select("g", F.col("idx").alias("i"), F.col("x").alias("xi"))
+    before = ranked.select("g", (F.col("idx") + 1).alias("i"), F.col("x").alias("xp"))
+    cut = pos.join(at, ["g", "i"]).join(before, ["g", "i"])
+    value = {"min": F.col("xi"), "max": F.col("xp"), "mid": (F.col("xp") + F.col("xi")) / 2}[kind]
+    vals = cut.groupBy("g").agg(F.collect_list(value).alias("v"))
     out = ends.join(vals, "g", "left")
     return _finish(out, F.concat(F.array("mn", "mx"), F.coalesce("v", F.array().cast("array<double>"))))
 
@@ -300,22 +310,34 @@ def _breaks_at(ranked: DataFrame, starts: DataFrame, as_maxima: bool) -> DataFra
 def fisher_breaks(values: DataFrame, k: int, ranked: DataFrame | None = None) -> DataFrame:
     """Exact Fisher optimum; breaks = class minima + overall max."""
     ranked, starts = _optimal_starts(values, k, ranked)
-    return _breaks_at(ranked, starts, as_maxima=False)
+    return _breaks_at(ranked, starts, "min")
 
 
 def jenks_breaks(values: DataFrame, k: int, ranked: DataFrame | None = None) -> DataFrame:
     """Exact natural breaks; breaks = overall min + class maxima."""
     ranked, starts = _optimal_starts(values, k, ranked)
-    return _breaks_at(ranked, starts, as_maxima=True)
+    return _breaks_at(ranked, starts, "max")
+
+
+def optimal_kmeans_breaks(values: DataFrame, k: int, ranked: DataFrame | None = None) -> DataFrame:
+    """B2: 1-D k-means solved exactly; breaks halfway between neighbouring clusters.
+
+    In one dimension the k-means objective (least within-cluster sum of
+    squares) has the same optimum as Fisher's partition (Wang & Song 2011), so
+    this is deterministic, unlike iterative k-means from random starts.
+    """
+    ranked, starts = _optimal_starts(values, k, ranked)
+    return _breaks_at(ranked, starts, "mid")
 
 
 METHODS = {
-    "quantile": quantile_breaks, "kmeans": kmeans_breaks, "fisher": fisher_breaks,
+    "quantile": quantile_breaks, "kmeans": optimal_kmeans_breaks, "kmeans_ml": kmeans_breaks, "fisher": fisher_breaks,
     "geom": geom_breaks, "arith": arith_breaks, "em": nested_means_breaks, "jenks": jenks_breaks,
 }
 
 
-RANKED_METHODS = ("quantile", "fisher", "jenks")
+RANKED_METHODS = ("quantile", "fisher", "jenks", "kmeans")
+OPTIMAL_KINDS = {"fisher": "min", "jenks": "max", "kmeans": "mid"}
 
 
 def class_breaks(values: DataFrame, k: int, method: str, ranked: DataFrame | None = None) -> DataFrame:
@@ -334,13 +356,19 @@ def many_breaks(values: DataFrame, k: int, methods, groups: Sequence[str] | None
 
     ranked = ranked_histogram(values) if any(m in RANKED_METHODS for m in methods) else None
 
+    shared = [m for m in methods if m in OPTIMAL_KINDS]
+    starts = _optimal_starts(values, k, ranked)[1] if len(shared) > 1 else None
+
     def one(m: str) -> DataFrame:
-        br = (kmeans_breaks(values, k, groups=groups) if m == "kmeans"
-              else class_breaks(values, k, m, ranked=ranked))
+        if starts is not None and m in OPTIMAL_KINDS:       # one optimal partition serves all three
+            br = _breaks_at(ranked, starts, OPTIMAL_KINDS[m])
+        elif m == "kmeans_ml":
+            br = kmeans_breaks(values, k, groups=groups)
+        else:
+            br = class_breaks(values, k, m, ranked=ranked)
         return br.select(F.lit(m).alias("method"), "g", "breaks")
 
-    # methods with their own Spark jobs (k-means fits, Fisher passes) are
-    # independent of each other, so they are submitted concurrently
+    # methods with their own Spark jobs are independent, so they are submitted concurrently
     with ThreadPoolExecutor(max(1, len(methods))) as pool:
         parts = list(pool.map(one, methods))
     out = parts[0]

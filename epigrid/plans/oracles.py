@@ -323,7 +323,7 @@ def breaks_sql(vals: str, method: str, k: int, tag: str) -> str:
         cte(tag, (vals,), f"""SELECT g, {fin.format(a="[mn, mx, m, m1, m2]")} AS breaks FROM (
   SELECT v.g, min(x) mn, max(x) mx, any_value(m) m, avg(x) FILTER (WHERE x <= m) m1, avg(x) FILTER (WHERE x > m) m2
   FROM {vals} v JOIN (SELECT g, avg(x) m FROM {vals} GROUP BY g) USING (g) GROUP BY v.g)""")
-    elif method in ("fisher", "jenks"):
+    elif method in ("fisher", "jenks", "kmeans"):
         fr = f"{tag}_r"
         cte(fr, (vals,), f"""
 SELECT g, x, w, row_number() OVER (PARTITION BY g ORDER BY x) AS idx,
@@ -345,14 +345,15 @@ SELECT g, idx, D, path FROM (
                     FROM {tag}_{m - 1} p JOIN {fr} r USING (g, idx)) a
     ON a.g = b.g AND a.idx < b.idx
   WHERE b.idx >= {m} {last}) WHERE rn = 1""")
-        shift = " - 1" if method == "jenks" else ""
+        value = {"fisher": "r.x", "jenks": "p.x", "kmeans": "(p.x + r.x) / 2"}[method]
         cte(tag, (fr, f"{tag}_{k}"), f"""
 SELECT g, list_sort(list_distinct(list(x))) AS breaks FROM (
   SELECT g, x FROM {fr} WHERE idx = 1 OR idx = n
   UNION ALL
-  SELECT r.g, r.x FROM (SELECT f.g, unnest(f.path) AS i FROM {tag}_{k} f
-                        JOIN (SELECT DISTINCT g, n FROM {fr}) USING (g) WHERE f.idx = n) s
-  JOIN {fr} r ON r.g = s.g AND r.idx = s.i{shift}) GROUP BY g""")
+  SELECT r.g, {value} FROM (SELECT f.g, unnest(f.path) AS i FROM {tag}_{k} f
+                             JOIN (SELECT DISTINCT g, n FROM {fr}) USING (g) WHERE f.idx = n) s
+  JOIN {fr} r ON r.g = s.g AND r.idx = s.i
+  JOIN {fr} p ON p.g = s.g AND p.idx = s.i - 1) GROUP BY g""")
     else:
         raise KeyError(method)
     return tag

@@ -247,7 +247,7 @@ HEATMAP_METHODS = ("quantile", "kmeans", "fisher", "geom", "arith", "em")
 def breaks_for(df: DataFrame, cols: list[str], method: str, k: int) -> DataFrame:
     """Breaks of each column of ``df`` pooled over all its rows: ``(g, breaks)``."""
     vals = B.long_values(df, cols)
-    if method == "kmeans":
+    if method == "kmeans_ml":
         return B.kmeans_breaks(vals, k, groups=cols)
     return B.class_breaks(vals, k, method)
 

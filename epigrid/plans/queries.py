@@ -99,8 +99,12 @@ _breaks_entry("breaks_fisher", "fisher", 4, _order_values, "order_vals")
 _breaks_entry("breaks_jenks", "jenks", 3, _order_values, "order_vals")
 
 
-@register("breaks_kmeans")
-def breaks_kmeans(spark, sf):
+_breaks_entry("breaks_kmeans", "kmeans", 4, _rates_values, "rate_vals")
+
+
+@register("breaks_kmeans_ml")
+def breaks_kmeans_ml(spark, sf):
+    """Spark ML's iterative k-means (fixed seed): rows-only, the answer depends on the start."""
     return _long_breaks(B.kmeans_breaks(_rates_values(spark, sf), 4, groups=["cases", "deaths"]))
 
 
@@ -154,7 +158,8 @@ def _classes_sql(methods, as_labels):
     return q(f"SELECT department, week_start, {', '.join(cols)} FROM department_rates", "department_rates", *ctes)
 
 
-@register("department_weekly_classes")
+@register("department_weekly_classes", _classes_sql(("quantile", "kmeans", "fisher", "geom", "arith", "em"),
+                                                   as_labels=True))
 def department_weekly_classes(spark, sf):
     return C.department_weekly_classes_from(spark, sf)
 

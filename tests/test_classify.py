@@ -41,8 +41,10 @@ def test_fisher_and_jenks_match_brute_force(spark, k, seed, monkeypatch):
     starts, ends = _brute(xs, k)
     fisher = B.fisher_breaks(_vals(spark, xs), k).first().breaks
     jenks = B.jenks_breaks(_vals(spark, xs), k).first().breaks
+    kmeans = B.optimal_kmeans_breaks(_vals(spark, xs), k).first().breaks
     assert fisher == pytest.approx(sorted({min(xs), *starts, max(xs)}))
     assert jenks == pytest.approx(sorted({min(xs), *ends, max(xs)}))
+    assert kmeans == pytest.approx(sorted({min(xs), *[(a + b) / 2 for a, b in zip(ends, starts)], max(xs)}))
 
 
 def test_quantile_type7(spark):

@@ -40,5 +40,5 @@ def test_entry_runs(spark):
 
 
 def test_every_key_has_an_oracle_or_is_rows_only():
-    assert set(queries()) - set(oracle_sql()) == {"breaks_kmeans", "department_weekly_classes"}
-    assert len(queries()) >= 87
+    assert set(queries()) - set(oracle_sql()) == {"breaks_kmeans_ml"}
+    assert len(queries()) >= 88
