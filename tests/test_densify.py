@@ -58,3 +58,20 @@ def test_sparse_aggregates_equal_dense_joins(spark):
         a = sorted(map(lambda r: tuple(round(v, 9) if isinstance(v, float) else v for v in r), fn(spark, sf).collect()), key=str)
         b = sorted(map(lambda r: tuple(round(v, 9) if isinstance(v, float) else v for v in r), fn(spark, sf, dense=True).collect()), key=str)
         assert a == b and len(a) > 0
+
+
+def test_unknown_codes_and_harmonised_events(spark):
+    """Q1: events of codes without population vanish and are reported; Q2: mapped through the crosswalk."""
+    from epigrid.plans import pipelines as C
+
+    ev = spark.createDataFrame([("000001", dt.date(2020, 3, 2)), ("000009", dt.date(2020, 3, 3)),
+                                ("000009", dt.date(2020, 3, 10)), ("777777", dt.date(2020, 3, 4))],
+                               "ubigeo string, dx_date date")
+    keys = spark.createDataFrame([("000001",)], "ubigeo string")
+    s = R.weekly_series(ev, keys, "dx_date", "cases")
+    rep = C.dropped_events(s, "cases").first()
+    assert (rep.events, rep.dropped) == (4, 3)
+    cw = spark.createDataFrame([("000009", "000001")], "ubigeo_2022 string, ubigeo_2017 string")
+    s2 = R.weekly_series(C.harmonise_events(ev, cw), keys, "dx_date", "cases")
+    assert C.dropped_events(s2, "cases").first().dropped == 1
+    assert s2.dense().agg(F.sum("cases")).first()[0] == 3
