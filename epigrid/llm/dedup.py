@@ -174,7 +174,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         top = np.maximum.reduceat(doc, s) if len(s) else s
         doc, first, count, h, content = doc[s], first[s], count[s], h[s], content[s]
         low_id, top_id, size = c.ids[doc], c.ids[top], count + window - 1
-        for b, i, j in bucket_slices(h, 4 * n):
+        for b, i, j in bucket_slices(h, 8 * n):
             head = np.stack([h[i:j].view(np.int64), content[i:j].view(np.int64), low_id[i:j], top_id[i:j], size[i:j]])
             out.append((b, key[0], head.tobytes(), c.buf[ranges(first[i:j], size[i:j])].tobytes()))
         return pd.DataFrame(out, columns=["shard", "chunk", "head", "body"])

@@ -2,7 +2,8 @@
 
 The scan that induces suffixes from sorted leftmost-smaller (LMS) ones goes through the
 first-symbol buckets in order and handles all suffixes of a bucket that are known so far
-at once, so the work is linear with a few array operations per bucket.
+at once, so the work is linear with a few array operations per bucket.  Positions are
+32-bit: a shard is far below 2**31 symbols.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ def _types(s: np.ndarray) -> np.ndarray:
     n = len(s)
     step = np.empty(n, np.int8)
     step[-1] = 1
-    step[:-1] = np.sign(s[1:].astype(np.int64) - s[:-1].astype(np.int64))
-    nxt = np.where(step != 0, np.arange(n), n - 1)
+    step[:-1] = (s[1:] > s[:-1]).astype(np.int8) - (s[1:] < s[:-1])
+    nxt = np.where(step != 0, np.arange(n, dtype=np.int32), np.int32(n - 1))
     return step[np.minimum.accumulate(nxt[::-1])[::-1]] > 0
 
 
@@ -27,7 +28,7 @@ def _induce(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sizes: np.ndarray)
     n, k = len(s), len(sizes)
     ends = np.cumsum(sizes)
     heads = ends - sizes
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
     small = s.astype(np.uint16) if k <= 65536 else s
     by = np.zeros(k + 1, np.int64)
     np.cumsum(np.bincount(s[lms], minlength=k), out=by[1:])
@@ -99,13 +100,13 @@ def suffix_array(s: np.ndarray, alphabet: int) -> np.ndarray:
     mark = is_s.copy()
     mark[0] = False
     mark[1:] &= ~is_s[:-1]
-    lms = np.flatnonzero(mark)
+    lms = np.flatnonzero(mark).astype(np.int32)
     sizes = np.bincount(s, minlength=alphabet)
     if len(lms) > 1:
         sa = _induce(s, is_s, lms, sizes)
         ordered = sa[mark[sa]]
         # name equal LMS substrings alike
-        end = np.full(n, n, np.int64)
+        end = np.full(n, n, np.int32)
         end[lms[:-1]] = lms[1:]
         end[lms[-1]] = lms[-1]
         length = end[ordered] - ordered + 1
@@ -138,14 +139,14 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
     compared; each following position loses one.
     """
     n = len(s)
-    phi = np.empty(n, np.int64)
+    phi = np.empty(n, np.int32)
     phi[sa[0]] = -1
     phi[sa[1:]] = sa[:-1]
     reducible = np.zeros(n, bool)
     reducible[1:] = (phi[1:] > 0) & (phi[:-1] >= 0) & (phi[1:] == phi[:-1] + 1)
     reducible[1:] &= s[phi[1:] - 1] == s[:-1]
-    base = np.flatnonzero(~reducible)
-    value = np.zeros(n, np.int64)
+    base = np.flatnonzero(~reducible).astype(np.int32)
+    value = np.zeros(n, np.int32)
     live = base[phi[base] >= 0]
     other, k = phi[live], 0
     while len(live):
@@ -155,6 +156,6 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
         live, other = live[equal], other[equal]
         k += 1
         value[live] = k
-    pos = np.arange(n)
-    last = np.maximum.accumulate(np.where(reducible, 0, pos))
+    pos = np.arange(n, dtype=np.int32)
+    last = np.maximum.accumulate(np.where(reducible, np.int32(0), pos))
     return np.maximum(0, value[last] - (pos - last))
