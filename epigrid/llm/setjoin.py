@@ -34,6 +34,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -294,16 +295,20 @@ def _sets(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _list_groups(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    undo = zstandard.ZstdDecompressor()
     sig, node, flag, size, maps = [], [], [], [], []
-    for a, b in zip(pdf["a"], pdf["b"], strict=True):
-        head = np.frombuffer(a, np.int64).reshape(5, -1)      # signature, id, flag, size, words
-        sig.append(head[0].view(U64))
-        node.append(head[1])
-        flag.append(head[2])
-        size.append(head[3])
-        ends = np.cumsum(head[4])
-        words = np.frombuffer(b, U64)
-        maps += np.split(words, ends[:-1]) if len(ends) else []
+    for a, b, c in zip(pdf["a"], pdf["b"], pdf["c"], strict=True):
+        sig.append(np.frombuffer(a, U64))
+        n = len(sig[-1])
+        raw, rows = undo.decompress(b), undo.decompress(c)
+        at = np.frombuffer(raw, np.uint32, n)
+        flag.append(np.frombuffer(raw, np.uint8, n, 4 * n))
+        k = int(at.max()) + 1
+        table = np.frombuffer(rows, np.int64, 3 * k).reshape(3, k)
+        node.append(table[0][at])
+        size.append(table[1][at])
+        own = np.split(np.frombuffer(rows, U64, -1, 24 * k), np.cumsum(table[2])[:-1])
+        maps += [own[i] for i in at.tolist()]
     forest = possible_groups(*(np.concatenate(x) for x in (sig, node, flag, size)), maps)
     return pd.DataFrame([(a, b) for a, b in forest.items() if a != b], columns=["a", "b"], dtype="int64")
 
@@ -357,12 +362,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 part = e[lo: lo + 256]
                 d = s.doc[part]
                 words |= dict(zip(part.tolist(), bitmaps(s.flat, s.first[d], s.size[d], bits_of(int(b))), strict=True))
-        doc = s.doc[entry]
-        head = np.stack([sig.view(np.int64), c.ids[doc], flag.astype(np.int64), s.size[doc], np.array([len(words[e]) for e in entry.tolist()], np.int64)])
+        press = zstandard.ZstdCompressor(level=1)
         for b, i, j in bucket_slices(sig, lists):
-            out.append((1, b, head[:, i:j].tobytes(), np.concatenate([words[e] for e in entry[i:j].tolist()]).tobytes(), None))
-        for d in np.unique(doc).tolist():
-            out.append((2, -1, np.array([c.ids[d]], np.int64).tobytes(), s.flat[s.first[d]: s.first[d] + s.size[d]].tobytes(), None))
+            mine, at = np.unique(entry[i:j], return_inverse=True)      # a set's size and bitmap once per list task
+            d = s.doc[mine]
+            table = np.stack([c.ids[d], s.size[d], np.array([len(words[e]) for e in mine.tolist()], np.int64)])
+            out.append((1, b, sig[i:j].tobytes(), press.compress(at.astype(np.uint32).tobytes() + flag[i:j].astype(np.uint8).tobytes()),
+                        press.compress(table.tobytes() + np.concatenate([words[e] for e in mine.tolist()]).tobytes())))
         return pd.DataFrame(out, columns=["kind", "list", "a", "b", "c"])
 
     answers = ask_shared(chunks, holds, n, keys_of)
@@ -372,11 +378,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     possible = sent.filter("kind = 1").groupBy("list").applyInPandas(_list_groups, "a long, b long")
     members = store(components(possible).select(F.col("node").alias("doc_id"), F.col("label").alias("comp")), "members")
 
-    def unpack_sets(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": [int(np.frombuffer(a, np.int64)[0]) for a in pdf["a"]], "words": pdf["b"]})
+    def member_sets(key, pdf: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        c = Chunk(pdf, right)
+        flat, size = shingle_sets(c.buf, c.starts, c.lens)
+        end = np.cumsum(size)
+        return pd.DataFrame([(i, flat[e - n: e].tobytes()) for i, e, n in zip(c.ids.tolist(), end.tolist(), size.tolist(), strict=True)],
+                            columns=["doc_id", "words"])
 
-    sets = sent.filter("kind = 2").select("a", "b").mapInPandas(unpack_sets, "doc_id long, words binary")
+    wanted = holds.join(members.select("doc_id"), "doc_id", "left_semi").select("chunk", "doc_id", "dig")
+    sets = chunks.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInPandas(member_sets, "doc_id long, words binary")
+    sets = store(sets, "sets")
     count = members.groupBy("comp").agg(F.count("*").alias("n"))
     total = members.count()
     sized = members.join(count, "comp")
