@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from .common import store
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 40))).first())
+def _is_forest_of_stars(e: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and none if it has larger ones."""
+    ends = e.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        e.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    per = ends.groupBy("x").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return per.filter("up > 1 OR (up > 0 AND down > 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,19 +25,12 @@ def components(edges: DataFrame) -> DataFrame:
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     e = store(e, "edges")
-    state = _state(e)
-    while state[0]:
+    while not _is_forest_of_stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.inline(F.when(
-            F.col("v") == F.col("m"), F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v"))))
-            .otherwise(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))))
+        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         e = store(small.filter("u <> v").distinct(), "edges")
-        now = _state(e)
-        if now == state:
-            break
-        state = now
-    stars = e.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label")
-    return stars.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+    return e.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
+        e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

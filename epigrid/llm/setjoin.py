@@ -35,7 +35,7 @@ import math
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Chunk, ask_shared, bucket_slices, chunk_count, chunk_of, first_copies, first_rows, packed, prepared, shared_mask
@@ -321,7 +321,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = prepared(docs, id_col, text_col)
     rows = rows.withColumn("doc_id", F.when(F.col("doc_id") == 2**63 - 1, F.lit(NULLS) + F.pmod(F.xxhash64("dig"), F.lit(2**41))).otherwise(F.col("doc_id")))
     n = chunk_count(rows)
-    lists = max(12, n // 8)
+    lists = max(24, n // 4)
     ids = rows.select("doc_id", "dig")
     firsts = store(first_copies(ids), "firsts")
     holds = first_rows(firsts, n)
@@ -376,7 +376,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         send, "kind int, list int, a binary, b binary, c binary"), "signatures")
 
     possible = sent.filter("kind = 1").groupBy("list").applyInPandas(_list_groups, "a long, b long")
-    members = store(components(possible).select(F.col("node").alias("doc_id"), F.col("label").alias("comp")), "members")
+    found = components(possible).select(F.col("node").alias("doc_id"), F.col("label").alias("comp"))
+    members = store(found.join(found.groupBy("comp").agg(F.count("*").alias("n")), "comp"), "members")
 
     def member_sets(key, pdf: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         c = Chunk(pdf, right)
@@ -388,31 +389,36 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted = holds.join(members.select("doc_id"), "doc_id", "left_semi").select("chunk", "doc_id", "dig")
     sets = chunks.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInPandas(member_sets, "doc_id long, words binary")
     sets = store(sets, "sets")
-    count = members.groupBy("comp").agg(F.count("*").alias("n"))
-    total = members.count()
-    sized = members.join(count, "comp")
+    total, in_large = members.agg(F.count("*"), F.count(F.when(F.col("n") > block, 1))).first()
     bins = pieces_for(total, 512, 24)
-    small = sized.filter(F.col("n") <= block).select(
-        F.concat(F.lit("s"), F.pmod(F.xxhash64("comp"), F.lit(bins))).alias("key"), "doc_id", "comp", F.col("doc_id").alias("label"))
-    large = sized.filter(F.col("n") > block)
-    numbered = store(_blocks(large, F.col("doc_id"), block), "blocks")
-    first = numbered.select("comp", "doc_id", "blk", F.explode(F.when(F.col("blk") == 0, F.sequence(F.lit(0), F.greatest(F.col("blks") - 1, F.lit(0))))
-                                                              .otherwise(F.array("blk"))).alias("to"))
+    dealt = lambda col, parts: F.pmod(F.xxhash64(col), parts)
+    small = members.filter(F.col("n") <= block).select(
+        F.concat(F.lit("s"), dealt("comp", F.lit(bins))).alias("key"), "doc_id", "comp", F.col("doc_id").alias("label"))
+    blocks = F.ceil(F.col("n") / block)
+    large = members.filter(F.col("n") > block).withColumn("blk", dealt("doc_id", blocks))
+    first = large.select("comp", "doc_id", F.explode(
+        F.when(F.col("blk") == 0, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array("blk"))).alias("to"))
     first = first.select(F.concat_ws("-", F.lit("f"), "comp", "to").alias("key"), "doc_id", "comp", F.col("doc_id").alias("label"))
     links = store(_sets(small.unionByName(first), sets), "links")
-    if not numbered.isEmpty():
-        rest = numbered.select("comp", "doc_id").join(components(links).withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        rest = rest.select("comp", "doc_id", F.coalesce("label", "doc_id").alias("label"))
+    if in_large:
+        known = components(links).select(F.col("node").alias("doc_id"), "label")
+        rest = large.select("comp", "doc_id").join(known, "doc_id", "left").select("comp", "doc_id", F.coalesce("label", "doc_id").alias("label"))
         weight = rest.groupBy("comp", "label").agg(F.count("*").alias("w"))
-        rest = _blocks(rest.join(weight, ["comp", "label"]), F.struct(-F.col("w"), F.col("label"), F.col("doc_id")), block)
-        rest = store(rest.select("comp", "doc_id", "label", "blk", "blks"), "rest")
+        few = weight.filter(F.col("w") <= block).groupBy("comp").agg(F.sum("w").alias("few"))
+        weight = weight.join(few, "comp", "left")
+        # large components fill blocks of their own; documents of small ones share blocks
+        own = F.concat_ws("-", F.lit("a"), "label", dealt("doc_id", F.ceil(F.col("w") / block)))
+        shared = F.concat_ws("-", F.lit("b"), dealt("label", F.ceil(F.col("few") / block)))
+        rest = store(rest.join(weight, ["comp", "label"]).select(
+            "comp", "doc_id", "label", F.when(F.col("w") > block, own).otherwise(shared).alias("blk")), "rest")
         kinds = rest.groupBy("comp", "blk").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
         one, two = kinds.alias("x"), kinds.alias("y")
         pairs = (one.join(two, (F.col("x.comp") == F.col("y.comp")) & (F.col("x.blk") <= F.col("y.blk")))
                  .filter((F.col("x.lo") != F.col("x.hi")) | (F.col("y.lo") != F.col("y.hi")) | (F.col("x.lo") != F.col("y.lo")))
                  .select(F.col("x.comp").alias("comp"), F.concat_ws("-", F.lit("p"), "x.comp", "x.blk", "y.blk").alias("key"),
                          F.explode(F.array_distinct(F.array("x.blk", "y.blk"))).alias("blk")))
-        links = links.unionByName(_sets(pairs.join(rest, ["comp", "blk"]).select("key", "doc_id", "comp", "label"), sets))
+        more = _sets(pairs.join(rest, ["comp", "blk"]).select("key", "doc_id", "comp", "label"), sets)
+        links = links.unionByName(more)
     final = components(links)
 
     def unpack_sizes(batches):
@@ -428,19 +434,3 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     out = ids.join(named, "dig").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     stays = (F.col("component_id") == F.col("doc_id")).alias("stays")
     return out.select(real("doc_id").alias("doc_id"), "n_shingles", real("component_id").alias("component_id"), "dig", stays)
-
-
-def _blocks(large: DataFrame, order, block: int) -> DataFrame:
-    """Members of large groups numbered into blocks (blk of blks).
-
-    Numbers come from a range partition by (group, order) and running partition counts, so
-    no group meets in one task; a partition's edge only makes blocks a little uneven.
-    """
-    parts = max(1, large.count() // (16 * block)) if not large.isEmpty() else 1
-    spread = store(large.withColumn("o", order).repartitionByRange(parts, "comp", "o").withColumn("pid", F.spark_partition_id()), "spread")
-    here = Window.partitionBy("pid", "comp").orderBy("o")
-    numbered = spread.withColumn("r", F.floor((F.row_number().over(here) - 1) / block))
-    blocks = numbered.select("comp", "pid", "r").distinct()
-    ranked = blocks.withColumn("blk", (F.row_number().over(Window.partitionBy("comp").orderBy("pid", "r")) - 1).cast("int")) \
-        .withColumn("blks", F.count("*").over(Window.partitionBy("comp")).cast("int"))
-    return numbered.join(ranked, ["comp", "pid", "r"]).drop("pid", "r", "o")
