@@ -62,7 +62,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     hits = store(hits, "hits")
     item_words = items.select("item_id", words(F.col("text")).alias("item")).distinct()
     by_doc = hits.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "shift")).alias("at"))   # of one document
-    found = (rows.join(by_doc, "doc_id").select("doc_id", words(F.col("text")).alias("doc"), F.explode("at").alias("at"))
+    # always by shuffle, so that the plan is the same at every size
+    found = (rows.join(by_doc.hint("merge"), "doc_id").select("doc_id", words(F.col("text")).alias("doc"), F.explode("at").alias("at"))
              .select("doc_id", "doc", F.col("at.item_id").alias("item_id"), F.col("at.shift").alias("shift")))
     def best_window(same: Column) -> Column:
         return F.array_max(F.transform(F.sequence(F.lit(0), F.greatest(F.size(same) - WINDOW, F.lit(0))),
