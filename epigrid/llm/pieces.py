@@ -1,11 +1,11 @@
 """SentencePiece encoding and decoding through a relational lattice.
 
-Texts are cut into words (a run of spaces with what follows; at most 64 spaces and 192
-other characters).  The distinct words of the corpus become a lattice: their substrings up
-to the longest piece are exploded and equi-joined to the piece table, the edges are grouped
-by word, and Spark's higher-order ``aggregate`` folds Viterbi over the end positions: best
-sum of piece scores, ties to the later start.  Characters that no piece covers fall
-back to the byte pieces of their UTF-8 form, so decoding gives back every text exactly.
+Every space starts a word, as in SentencePiece; words of over 192 characters are cut.
+The distinct words of the corpus become a lattice: their substrings up to the longest
+piece are exploded and equi-joined to the piece table, the edges are grouped by word, and
+Spark's higher-order ``aggregate`` folds Viterbi over them in order of their ends: best sum
+of piece scores, ties to the later start.  Characters that no piece covers fall back to the
+byte pieces of their UTF-8 form, so decoding gives back every text exactly.
 
 The vocabulary's scores are read as in SentencePiece's unigram model.  (For a vocabulary
 that was trained by merging, the library's own encoder applies merges instead and may split
@@ -39,7 +39,8 @@ from .words import let
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-WORD = re.compile(f" {{0,64}}[^ {SPACE}]{{1,192}}| {{1,64}}|{SPACE}")
+LONGEST = 192
+_PART = re.compile(f"[^{SPACE}]{{1,{LONGEST}}}|{SPACE}")
 
 
 class Vocabulary:
@@ -56,6 +57,9 @@ class Vocabulary:
                 self.text[i] = piece.replace(SPACE, " ").encode()
                 self.rows.append((piece, i, model.get_score(i)))
         self.longest = max(len(p) for p, _, _ in self.rows)
+        self.scores = [0.0] * n
+        for _, i, score in self.rows:
+            self.scores[i] = score
         self.fallback = min(s for _, _, s in self.rows if s > -1e8) - 10.0
 
     def table(self, spark: SparkSession) -> DataFrame:
@@ -67,35 +71,64 @@ class Vocabulary:
 
 
 def words_of(text: str) -> list[str]:
-    """The words of a text with its leading space; their concatenation is ' ' + text."""
-    return WORD.findall(" " + text) if text else []
+    """Keys of a text's words: the word itself where a space stands before it (the text's first word counts as such).
+
+    A part with no space before it (the rest of a cut word, or what follows a literal
+    U+2581) is U+2581 and the part; a literal U+2581 is that character alone.
+    """
+    if not text:
+        return []
+    words = text.split(" ")
+    if SPACE not in text and max(map(len, words)) <= LONGEST:
+        return words
+    out = []
+    for w in words:
+        parts = _PART.findall(w)
+        if not parts or parts[0] == SPACE:
+            out.append("")
+        else:
+            out.append(parts.pop(0))
+        out += [p if p == SPACE else SPACE + p for p in parts]
+    return out
+
 
+def lattice_word(key: str) -> str:
+    return key[1:] if key[:1] == SPACE else SPACE + key
 
-def lattice_ids(words: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """(word, ids) of distinct words (spaces as U+2581); a negative id -1 - c stands for the bytes of character c."""
+
+def lattice_ids(words: DataFrame, vocab: Vocabulary, partitions: int) -> DataFrame:
+    """(word, ids) of distinct words (a space before them as U+2581); a negative id -1 - c stands for the bytes of character c."""
     spark = words.sparkSession
-    subs = F.flatten(F.transform(F.sequence(F.lit(0), F.length("word") - 1), lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(vocab.longest), F.length("word") - i)),
-        lambda n: F.struct(i.alias("start"), (i + n).alias("end"), F.col("word").substr(i + 1, n).alias("piece")))))
+    # a fixed number: a word's lattice is a hundred times its size, which adaptive coalescing cannot see;
     # one partitioning by word carries through the broadcast join to the grouping
-    edges = words.repartition("word").select("word", F.inline(subs)).join(F.broadcast(vocab.table(spark)), "piece", "left")
-    edges = edges.filter("id IS NOT NULL OR end - start = 1").select("word", F.struct(
-        "end", "start", F.coalesce("score", F.lit(vocab.fallback)).alias("score"), F.coalesce("id", -1 - F.ascii("piece")).alias("id")).alias("e"))
+    starts = words.repartition(partitions, "word").select("word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+    subs = starts.select("word", "start", F.explode(F.sequence(
+        F.lit(1), F.least(F.lit(vocab.longest), F.length("word") - F.col("start")))).alias("n")).select(
+        "word", "start", "n", F.col("word").substr(F.col("start") + 1, F.col("n")).alias("piece"))
+    # an edge in one number, in order of ends, then starts: end, start, and the id of a piece or (from 2**22 on) a character
+    edge = (F.col("start") + F.col("n")).cast("long") * (1 << 40) + F.col("start").cast("long") * (1 << 24)
+    edges = subs.join(F.broadcast(vocab.table(spark).select("piece", "id")), "piece", "left").filter("id IS NOT NULL OR n = 1").select(
+        "word", (edge + F.coalesce("id", F.ascii("piece") + (1 << 22))).alias("e"))
     by_word = edges.groupBy("word").agg(F.collect_list("e").alias("edges"))
+    scores = F.split(F.lit(",".join(map(repr, vocab.scores))), ",").cast("array<double>")      # folded to a constant
 
-    def step(best, end):
-        here = F.transform(F.filter("edges", lambda e: e["end"] == end), lambda e: F.struct(
-            (F.get(best, e["start"])["score"] + e["score"]).alias("score"), e["start"].alias("start"), e["id"].alias("id")))
+    def step(best, end):     # best[p]: (score, start and id of the last piece) of the best path to position p
+        here = F.transform(F.filter("edges", lambda e: F.shiftright(e, 40) == end), lambda e: F.struct(
+            (F.get(best, F.shiftright(e, 24).bitwiseAND(0xFFFF).cast("int"))["score"]
+             + F.coalesce(F.get(scores, e.bitwiseAND(0xFFFFFF).cast("int")), F.lit(vocab.fallback))).alias("score"),
+            e.bitwiseAND((1 << 40) - 1).alias("last")))
         return F.concat(best, F.array(F.array_max(here)))
 
-    nothing = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start"), F.lit(0).alias("id")))
+    nothing = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("last")))
     ends = F.sequence(F.lit(1), F.length("word"))
     best = F.aggregate(ends, nothing, step)
 
     def back(best):
         def one(state, _):
-            at = F.get(best, state["at"])
-            return F.when(state["at"] > 0, F.struct(at["start"].alias("at"), F.concat(F.array(at["id"]), state["ids"]).alias("ids"))).otherwise(state)
+            last = F.get(best, state["at"])["last"]
+            name = last.bitwiseAND(0xFFFFFF).cast("int")
+            here = F.when(name < 1 << 22, name).otherwise((1 << 22) - 1 - name)
+            return F.when(state["at"] > 0, F.struct(F.shiftright(last, 24).cast("int").alias("at"), F.concat(F.array(here), state["ids"]).alias("ids"))).otherwise(state)
         begin = F.struct(F.length("word").alias("at"), F.array().cast("array<int>").alias("ids"))
         return F.aggregate(ends, begin, one)["ids"]
 
@@ -112,13 +145,12 @@ def _texts(pdf: pd.DataFrame) -> list[tuple[int, str]]:
     return out
 
 
-def _by_bucket(words: set[str], buckets: int) -> dict[int, list[str]]:
-    """Distinct words of the lattice by bucket, in order."""
+def _by_bucket(keys: set[str], buckets: int) -> dict[int, list[str]]:
+    """Distinct keys by bucket, in order; a literal U+2581 needs no lattice."""
     out: dict[int, list[str]] = {}
-    for w in words:
-        if w != SPACE:
-            w = w.replace(" ", SPACE)
-            out.setdefault(zlib.crc32(w.encode()) % buckets, []).append(w)
+    for k in keys:
+        if k != SPACE:
+            out.setdefault(zlib.crc32(lattice_word(k).encode()) % buckets, []).append(k)
     return {b: sorted(x) for b, x in out.items()}
 
 
@@ -135,7 +167,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         for _, t in _texts(pdf):
             words.update(words_of(t))
         press = zstandard.ZstdCompressor(level=3)
-        return pd.DataFrame([(b, key[0], press.compress(" ".join(x).encode())) for b, x in sorted(_by_bucket(words, buckets).items())],
+        return pd.DataFrame([(b, key[0], press.compress(" ".join(map(lattice_word, x)).encode())) for b, x in sorted(_by_bucket(words, buckets).items())],
                             columns=["bucket", "chunk", "words"])
 
     asked = chunks.groupBy("chunk").applyInPandas(ask, "bucket int, chunk int, words binary")
@@ -146,7 +178,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
             words.update(undo.decompress(w).decode().split(" "))
         return pd.DataFrame({"word": sorted(words)})
 
-    lexicon = lattice_ids(asked.groupBy("bucket").applyInPandas(distinct, "word string"), vocab)
+    lexicon = lattice_ids(asked.groupBy("bucket").applyInPandas(distinct, "word string"), vocab, 2 * n)
     lexicon = lexicon.withColumn("bucket", F.pmod(F.crc32(F.encode("word", "UTF-8")), F.lit(buckets)).cast("int"))
     byte_id = vocab.byte_id
 
@@ -172,7 +204,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         index[SPACE] = 0
         for r in right.itertuples():
             for w in by[r.bucket]:
-                index[w.replace(SPACE, " ")] = len(index)
+                index[w] = len(index)
             counts.append(np.frombuffer(r.counts, np.int32).astype(np.int64))
             flat.append(np.frombuffer(undo.decompress(r.ids), np.int32))
         count, flat = np.concatenate(counts), np.concatenate(flat)
