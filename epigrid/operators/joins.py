@@ -1,6 +1,7 @@
 """Joins (J1-J9).  The physical strategy (broadcast, sort-merge, shuffled hash)
-is left to Catalyst and AQE: a side is broadcast only when its measured size is
-under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, otherwise it is shuffled."""
+is left to Catalyst and AQE.  A side is broadcast when its estimated size (static) or
+measured size (at run time) is under the session's threshold; the static estimate does
+not see the growth of an ``explode``.  Otherwise both sides are shuffled."""
 
 from __future__ import annotations
 

@@ -51,7 +51,7 @@ SELECT '20240208' AS FECHA_CORTE,
        {_AGE} AS EDAD,
        CASE WHEN l_partkey % 2 = 0 THEN 'MASCULINO' ELSE 'FEMENINO' END AS SEXO,
        {_DATE_TEXT.format(d=f'(d0 + {SHIFT})')} AS FECHA_RESULTADO,
-       CASE WHEN ln = 7 THEN NULL ELSE lpad(CAST(l_suppkey AS VARCHAR), 6, '0') END AS UBIGEO,
+       CASE WHEN ln = 7 THEN NULL ELSE repeat('0', greatest(0, 6 - length(CAST(l_suppkey AS VARCHAR)))) || CAST(l_suppkey AS VARCHAR) END AS UBIGEO,
        CAST(l_orderkey AS VARCHAR) AS ID_PERSONA
 FROM {_LI}""")
 
@@ -64,7 +64,7 @@ SELECT '20240208' AS FECHA_CORTE,
        'DEP_' || CAST(l_suppkey % 5 AS VARCHAR) AS DEPARTAMENTO,
        CASE WHEN ln = 1 AND ok % 9 = 0 THEN NULL ELSE 'PROV_R' END AS PROVINCIA,
        CASE WHEN l_linestatus = 'O' AND ln = 2 THEN {SENT} ELSE 'DIST_' || l_linestatus END AS DISTRITO,
-       CASE WHEN ln = 7 THEN NULL ELSE lpad(CAST(l_suppkey AS VARCHAR), 6, '0') END AS UBIGEO,
+       CASE WHEN ln = 7 THEN NULL ELSE repeat('0', greatest(0, 6 - length(CAST(l_suppkey AS VARCHAR)))) || CAST(l_suppkey AS VARCHAR) END AS UBIGEO,
        'U' || CAST(l_orderkey AS VARCHAR) AS UUID
 FROM {_LI} WHERE l_returnflag = 'R'""")
 
@@ -85,7 +85,7 @@ def _cell(k: int) -> str:
 
 _YEARS = (2018, 2019, 2020, 2021, 2022)
 cte("sheet", (), f"""
-SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS c1, s_name AS c2, {', '.join(_cell(k) for k in range(5))}
+SELECT repeat('0', greatest(0, 6 - length(CAST(s_suppkey AS VARCHAR)))) || CAST(s_suppkey AS VARCHAR) AS c1, s_name AS c2, {', '.join(_cell(k) for k in range(5))}
 FROM supplier
 UNION ALL
 SELECT 'UBIGEO', 'DISTRITO', {', '.join(f"'POBLACION {y}'" for y in _YEARS)} FROM supplier WHERE s_suppkey % 50 = 1
@@ -93,14 +93,14 @@ UNION ALL
 SELECT 'Nota ' || CAST(s_suppkey AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL FROM supplier WHERE s_suppkey % 40 = 3""")
 
 cte("crosswalk", (), """
-SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS ubigeo_2022,
-       lpad(CAST(s_suppkey - s_suppkey % 10 + 1 AS VARCHAR), 6, '0') AS ubigeo_2017,
-       lpad(CAST(s_suppkey AS VARCHAR), 6, '0') || ' was split from '
-         || lpad(CAST(s_suppkey - s_suppkey % 10 + 1 AS VARCHAR), 6, '0') AS notes
+SELECT repeat('0', greatest(0, 6 - length(CAST(s_suppkey AS VARCHAR)))) || CAST(s_suppkey AS VARCHAR) AS ubigeo_2022,
+       repeat('0', greatest(0, 6 - length(CAST(s_suppkey - s_suppkey % 10 + 1 AS VARCHAR)))) || CAST(s_suppkey - s_suppkey % 10 + 1 AS VARCHAR) AS ubigeo_2017,
+       repeat('0', greatest(0, 6 - length(CAST(s_suppkey AS VARCHAR)))) || CAST(s_suppkey AS VARCHAR) || ' was split from '
+         || repeat('0', greatest(0, 6 - length(CAST(s_suppkey - s_suppkey % 10 + 1 AS VARCHAR)))) || CAST(s_suppkey - s_suppkey % 10 + 1 AS VARCHAR) AS notes
 FROM supplier WHERE s_suppkey % 10 IN (8, 9)""")
 
 cte("district_map", (), """
-SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS ubigeo, r_name AS dep, n_name AS prov, s_name AS distr,
+SELECT repeat('0', greatest(0, 6 - length(CAST(s_suppkey AS VARCHAR)))) || CAST(s_suppkey AS VARCHAR) AS ubigeo, r_name AS dep, n_name AS prov, s_name AS distr,
        'POLYGON ((' || x || ' ' || y || ', ' || (x + 1) || ' ' || y || ', ' || (x + 1) || ' ' || (y + 1)
        || ', ' || x || ' ' || (y + 1) || ', ' || x || ' ' || y || '))' AS geometry
 FROM (SELECT *, CAST(s_suppkey % 10 AS BIGINT) AS x, CAST(s_suppkey // 10 AS BIGINT) AS y FROM supplier) s

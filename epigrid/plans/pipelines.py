@@ -180,8 +180,8 @@ def department_weekly_rates(cases: DataFrame, deaths: DataFrame, districts: Data
     dep_pop = A.sum_by(J.join_on(districts, population, ["ubigeo"]), ["department"], ["population"])
     dc = A.sum_by(J.join_on(cases, districts, ["ubigeo"], "left"), ["department", "week_start"], ["cases"])
     dd = A.sum_by(J.join_on(deaths, districts, ["ubigeo"], "left"), ["department", "week_start"], ["deaths"])
-    counts = J.join_on(dc, dd, ["department", "week_start"])
-    return rates(J.join_on(counts, dep_pop, ["department"]))
+    counts = J.join_null_safe(dc, dd, ["department", "week_start"], "inner")
+    return rates(J.join_null_safe(counts, dep_pop, ["department"], "inner"))
 
 
 # --------------------------------------------------------------------- C4/C5/C8 from sparse counts
@@ -236,8 +236,8 @@ def department_weekly_rates_sparse(cs: R.WeeklySeries, ds: R.WeeklySeries, distr
         return J.join_null_safe(grid, sums, ["department", "week_start"], "left") \
             .withColumn(v, F.coalesce(F.col(v), F.lit(0).cast("bigint")))
 
-    counts = J.join_on(by_department(cs), by_department(ds), ["department", "week_start"])
-    return rates(J.join_on(counts, dep_pop, ["department"]))
+    counts = J.join_null_safe(by_department(cs), by_department(ds), ["department", "week_start"], "inner")
+    return rates(J.join_null_safe(counts, dep_pop, ["department"], "inner"))
 
 
 # --------------------------------------------------------------------- C6/C7/C9

@@ -468,11 +468,11 @@ def join_inner_single(spark, sf):
 
 
 @register("join_inner_multi", q("""SELECT c.ubigeo, c.week_start, c.cases, d.deaths FROM weekly_cases c
-  JOIN weekly_deaths d ON c.ubigeo = d.ubigeo AND c.week_start = d.week_start""", "weekly_cases", "weekly_deaths"))
+  JOIN weekly_deaths d ON c.ubigeo IS NOT DISTINCT FROM d.ubigeo AND c.week_start = d.week_start""", "weekly_cases", "weekly_deaths"))
 def join_inner_multi(spark, sf):
     pop = C.population_from(spark, sf)
-    return J.join_on(C.weekly_cases(fx.case_line_list(spark, sf), pop),
-                     C.weekly_deaths(fx.death_line_list(spark, sf), pop), ["ubigeo", "week_start"])
+    return J.join_null_safe(C.weekly_cases(fx.case_line_list(spark, sf), pop),
+                            C.weekly_deaths(fx.death_line_list(spark, sf), pop), ["ubigeo", "week_start"], "inner")
 
 
 @register("join_reduce", q("SELECT * FROM national_wide", "national_wide"))
@@ -652,10 +652,10 @@ def cast_year(spark, sf):
 @register("rate_per_100k", q(f"""SELECT department, {O.rate('cases', 'population')} AS cases,
   {O.rate('deaths', 'population')} AS deaths FROM (
   SELECT department, sum(cases) AS cases, sum(deaths) AS deaths, sum(population) AS population
-  FROM province_counts_pop WHERE department IS NOT NULL GROUP BY department)""", "province_counts_pop"),
+  FROM province_counts_pop GROUP BY department)""", "province_counts_pop"),
           doubles=("cases", "deaths"))
 def rate_per_100k(spark, sf):
-    dep = (_province_counts_pop(spark, sf).where(F.col("department").isNotNull())
+    dep = (_province_counts_pop(spark, sf)
            .groupBy("department").agg(F.sum("cases").alias("cases"), F.sum("deaths").alias("deaths"),
                                       F.sum("population").alias("population")))
     return dep.select("department", per_100k(F.col("cases"), F.col("population")).alias("cases"),

@@ -53,7 +53,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
-        conf.setdefault("spark.driver.memory", "16g")
+        conf.setdefault("spark.driver.memory", "4g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -71,11 +71,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="epigrid-ckpt-")
+        configured = _own_folder(sc)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def _own_folder(sc) -> str:
+    """Where to store when ``spark.checkpoint.dir`` is unset: never a machine-local folder on a cluster."""
+    if sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        return tempfile.mkdtemp(prefix="epigrid-ckpt-")
+    home = sc._jvm.org.apache.hadoop.fs.FileSystem.get(sc._jsc.hadoopConfiguration()).getHomeDirectory().toString()
+    if home.startswith("file:"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{home}/epigrid-checkpoints-{uuid.uuid4().hex}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the checkpoint directory."""
     base = ensure_checkpoint_dir(spark)

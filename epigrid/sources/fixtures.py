@@ -78,8 +78,9 @@ def ingest(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
 
 
 def code6(key: Column) -> Column:
-    """Six-digit district code with leading zeros."""
-    return F.lpad(key.cast("string"), 6, "0")
+    """District code of at least six digits: leading zeros, never cut."""
+    text = key.cast("string")
+    return F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(0), 6 - F.length(text))), text)
 
 
 def _date_text(d: Column, ln: Column, ok: Column) -> Column:

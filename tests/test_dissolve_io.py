@@ -46,3 +46,35 @@ def test_scratch_scope_removes_only_its_own_tables(spark):
         path = tmp.inputFiles()[0]
     assert not os.path.exists(path.replace("file:", ""))
     assert kept.count() > 0
+
+
+def test_dissolve_all_rings_and_parts(spark):
+    from epigrid.operators.dissolve import attach_geometry
+
+    hole = "POLYGON ((0 0, 3 0, 3 3, 0 3, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))"
+    two = "MULTIPOLYGON (((9 9, 10 9, 10 10, 9 10, 9 9)), ((20 20, 21 20, 21 21, 20 21, 20 20)))"
+    rows = [("H", hole), ("M", two), ("E", "POLYGON EMPTY"), ("E", None), (None, _cell(50, 50))]
+    out = dissolve_boundary(spark.createDataFrame(rows, "prov string, geometry string"), "prov")
+    counts = {r.prov: r.n for r in out.groupBy("prov").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {"H": 8, "M": 8, None: 4}
+    attrs = spark.createDataFrame([("E", 1), (None, 2)], "prov string, v int")
+    got = {(r.prov, r.v): r.n for r in attach_geometry(attrs, out, "prov").groupBy("prov", "v").agg(F.count("x1").alias("n")).collect()}
+    assert got == {("E", 1): 0, (None, 2): 4}
+
+
+def test_long_codes_are_not_cut(spark):
+    from epigrid.sources.fixtures import code6
+
+    df = spark.createDataFrame([(7,), (1000000,), (1000007,)], "k long")
+    assert [r[0] for r in df.select(code6(F.col("k"))).collect()] == ["000007", "1000000", "1000007"]
+
+
+def test_null_department_keeps_its_rates(spark):
+    from epigrid.plans.pipelines import department_weekly_rates
+
+    cases = spark.createDataFrame([("a", "2020-03-01", 5), ("b", "2020-03-01", 7)], "ubigeo string, week_start string, cases long")
+    deaths = cases.withColumnRenamed("cases", "deaths")
+    districts = spark.createDataFrame([("a", None), ("b", "B")], "ubigeo string, department string")
+    population = spark.createDataFrame([("a", 100.0), ("b", 100.0)], "ubigeo string, population double")
+    out = department_weekly_rates(cases, deaths, districts, population)
+    assert {r.department for r in out.collect()} == {None, "B"}
