@@ -88,13 +88,16 @@ class Chunk:
 
 def bucket_slices(keys: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
     """(bucket, from, to) of sorted 64-bit keys dealt by range into n buckets."""
+    if not len(keys):
+        return
     b = ((keys >> U64(32)) * U64(n)) >> U64(32)
-    edge = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1]))) if len(b) else np.zeros(0, np.int64)
+    edge = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1])))
     for s, e in zip(edge, np.append(edge[1:], len(b)), strict=True):
         yield int(b[s]), int(s), int(e)
 
 
 ASK = "bucket int, chunk int, keys binary, flags binary"
+# doc_id is never null here: pandas would turn the column to floats, which cannot hold large ids
 ANSWER = "chunk int, kind int, bucket int, doc_id long, dig binary, a binary, b binary"
 
 
@@ -130,8 +133,8 @@ def ask_shared(chunks: DataFrame, firsts: DataFrame, buckets: int, keys_of) -> D
         for chunk, bucket, k in zip(pdf["chunk"], pdf["bucket"], keys, strict=True):
             mine = of[at: at + len(k)]
             at += len(k)
-            out.append((chunk, 1, bucket, None, None, np.packbits(shared[mine]).tobytes(), level[mine[shared[mine]]].tobytes()))
-        return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "doc_id", "dig", "a", "b"]).astype({"doc_id": "Int64"})
+            out.append((chunk, 1, bucket, 0, None, np.packbits(shared[mine]).tobytes(), level[mine[shared[mine]]].tobytes()))
+        return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "doc_id", "dig", "a", "b"])
 
     asked = chunks.groupBy("chunk").cogroup(firsts.groupBy("chunk")).applyInPandas(ask, ASK)
     return asked.groupBy("bucket").applyInPandas(answer, ANSWER)

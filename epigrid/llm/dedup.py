@@ -181,7 +181,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def shard(key, pdf: pd.DataFrame) -> pd.DataFrame:
         if key[0] < 0:
-            return pd.DataFrame([(c, 3, 0, None, None, h, None) for c, h in zip(pdf["chunk"], pdf["head"], strict=True)], columns=COLS).astype({"doc_id": "Int64"})
+            return pd.DataFrame([(c, 3, 0, 0, None, h, None) for c, h in zip(pdf["chunk"], pdf["head"], strict=True)], columns=COLS)
         heads = [np.frombuffer(h, np.int64).reshape(5, -1) for h in pdf["head"]]
         index, bodies, low, which = {}, [], [], []
         for head, body in zip(heads, pdf["body"], strict=True):
@@ -216,9 +216,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             use = smallest[mine] < head[3]          # else no document of the chunk loses a byte here
             if use.any():
                 got = mine[use]
-                out.append((chunk, 2, key[0], None, None, np.concatenate([head[:2, use].ravel(), count[got]]).tobytes(),
+                out.append((chunk, 2, key[0], 0, None, np.concatenate([head[:2, use].ravel(), count[got]]).tobytes(),
                             minima[ranges(offset[got], count[got])].tobytes()))
-        return pd.DataFrame(out, columns=COLS).astype({"doc_id": "Int64"})
+        return pd.DataFrame(out, columns=COLS)
 
     def finish(key, pdf: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         c = Chunk(pdf, right[right["kind"] == 0])
@@ -256,7 +256,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             row = (None if i == NO_ID else i, e - s, lost, int(edge[s:e].sum()), hashlib.sha256(left).hexdigest(), dig,
                    left.decode("utf-8", "ignore") if lost and with_text else None)
             out += [row] * c.times[k]
-        return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "dig", "kept"]).astype({"doc_id": "Int64"})
+        got = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "dig", "kept"])
+        return got.assign(doc_id=pd.array([r[0] for r in out], dtype="Int64"))
 
     sent = chunks.groupBy("chunk").cogroup(holds.unionByName(answers).groupBy("chunk")).applyInPandas(send, PIECE)
     minima = sent.groupBy("shard").applyInPandas(shard, ANSWER)

@@ -215,7 +215,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
             ids = flat[ranges(first[at], count[at])]
             same = b"".join([piece[k] for k in ids.tolist()])[1:] == t.encode()
             out.append((None if i == NO_ID else i, len(ids), ids, same))
-        return pd.DataFrame(out, columns=["doc_id", "n_tokens", "token_ids", "round_trip"]).astype({"doc_id": "Int64"})
+        got = pd.DataFrame(out, columns=["doc_id", "n_tokens", "token_ids", "round_trip"])
+        return got.assign(doc_id=pd.array([r[0] for r in out], dtype="Int64"))
 
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         finish, "doc_id long, n_tokens int, token_ids array<int>, round_trip boolean")

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Chunk, ask_shared, bucket_slices, chunk_count, chunk_of, first_copies, first_rows, packed, prepared, shared_mask
-from .common import RangeHash, U64, mix64, pieces_for, ranges, store
+from .common import RangeHash, U64, mix64, pieces_for, ranges, runs, store
 from .graph import components
 
 SHINGLE, REGION, BLOCK = 5, 1 << 17, 256
@@ -206,8 +206,8 @@ def possible_groups(sig: np.ndarray, node: np.ndarray, flag: np.ndarray, size: n
         return root
 
     order = np.argsort(sig, kind="stable")
-    start = np.flatnonzero(np.concatenate(([True], sig[order][1:] != sig[order][:-1]))) if len(sig) else []
-    for s, e in zip(start, np.append(start[1:], len(sig)), strict=True):
+    start, _ = runs(sig[order])
+    for s, e in zip(start, np.append(start, len(sig))[1:], strict=True):
         if e - s < 2:
             continue
         at = order[s:e]
