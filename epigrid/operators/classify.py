@@ -42,6 +42,7 @@ from ..session import materialize
 
 # Candidate points evaluated per segment in one pass of the Fisher search.
 FISHER_FANOUT = 64
+FISHER_BLOCK = 256     # ranks per join block
 
 
 # ----------------------------------------------------------------- helpers
@@ -82,9 +83,8 @@ def ranked_histogram(values: DataFrame) -> DataFrame:
     hist = values.groupBy("g", "x").agg(F.count(F.lit(1)).alias("w"))
     means = values.groupBy("g").agg(F.avg("x").alias("mu"))
     hist = hist.join(means, "g").withColumn("xc", F.col("x") - F.col("mu"))
-    # Range bounds come from a seeded sample, so partition ids are reproducible;
-    # both uses below read the same (reused) range shuffle in one query.
-    parts = hist.repartitionByRange("g", "x").withColumn("pid", F.spark_partition_id())
+    # stored once with its partition id: both uses below see the same split, whatever is re-planned or recomputed
+    parts = store(hist.repartitionByRange("g", "x").withColumn("pid", F.spark_partition_id()), "histogram")
     tot = parts.groupBy("g", "pid").agg(
         F.count(F.lit(1)).alias("pn"), F.sum("w").alias("pw"),
         F.sum(F.col("w") * F.col("xc")).alias("p2"), F.sum(F.col("w") * F.col("xc") ** 2).alias("p3"))
@@ -236,41 +236,64 @@ def _fisher_layer(ranked: DataFrame, prev: DataFrame, m: int, only_last: bool, n
     optima.  Each pass touches O(FANOUT * n) candidate pairs and there are
     about log_FANOUT(n) passes (known in advance from n).  Ties go to the
     smallest i.  Every pass is stored, so a failure repeats one pass only.
+
+    Candidates start from the ranked rows, which are distributed: a segment's
+    range of i is cut at multiples of ``FISHER_BLOCK`` ranks and meets the rows
+    of each block in a sort-merge join; each row then faces the segment's
+    probes.  The least cost comes first, the smallest i at that cost second, so
+    both aggregates hash plain numbers and partial results are combined before
+    the shuffle.
     """
-    left = ranked.join(prev, ["g", "idx"]).select(
+    left = store(ranked.join(prev, ["g", "idx"]).select(
         "g", (F.col("idx") + 1).alias("i"), F.col("c1").alias("a1"), F.col("c2").alias("a2"),
-        F.col("c3").alias("a3"), F.col("D").alias("dprev"), "path")
+        F.col("c3").alias("a3"), F.col("D").alias("dprev"), "path"), "fisher-layer")
+    block = lambda c: F.floor(F.col(c) / FISHER_BLOCK)
+    rows = left.drop("path").withColumn("blk", block("i"))
     right = ranked.select("g", F.col("idx").alias("j"), F.col("c1").alias("b1"),
                           F.col("c2").alias("b2"), F.col("c3").alias("b3"))
     sizes = ranked.groupBy("g").agg(F.max("n").alias("n")).where(F.col("n") >= m)
     first = F.col("n") if only_last else F.lit(m).cast("long")
     segs = sizes.select("g", first.alias("jl"), F.col("n").cast("long").alias("jr"),
                         F.lit(m).cast("long").alias("il"), F.col("n").cast("long").alias("ir"))
-    segs = segs.withColumn("seg", F.concat_ws(":", F.col("g"), F.col("jl").cast("string")))
     done = prev.select("g", "idx", "D", "path").where(F.lit(False))   # no group has m values: empty layer
     B = FISHER_FANOUT
+    w = F.col("p.b1") - F.col("a1")
+    cost = F.col("dprev") + (F.col("p.b3") - F.col("a3")) - (F.col("p.b2") - F.col("a2")) ** 2 / w
+
+    def candidates(points: DataFrame, *extra: str) -> DataFrame:
+        """Every (probe, start) pair to weigh, with its cost ``c``."""
+        seg = (points.groupBy("g", "seg", "last", "il", "ir")
+                     .agg(F.collect_list(F.struct("j", "b1", "b2", "b3", *extra)).alias("probes")))   # at most B
+        pieces = seg.withColumn("blk", F.explode(F.sequence(block("il"), block("ir"))))
+        met = (pieces.hint("merge").join(rows, ["g", "blk"])
+                     .where((F.col("i") >= F.col("il")) & (F.col("i") <= F.col("ir"))))
+        return (met.select("g", "seg", "last", "i", "a1", "a2", "a3", "dprev", F.explode("probes").alias("p"))
+                   .where(F.col("i") <= F.col("p.j"))
+                   .select("g", "seg", "last", "i", F.col("p.j").alias("j"), cost.alias("c"),
+                           *[F.col(f"p.{e}").alias(e) for e in extra]))
+
     for _ in range(1 if only_last else _passes(n_max, m, B)):
         span = F.col("jr") - F.col("jl")
         probes = F.when(span < B, F.sequence("jl", "jr")).otherwise(
             F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(B - 1)),
                                          lambda t: F.col("jl") + F.floor(span * t / (B - 1)).cast("long"))))
-        pts = segs.select("g", "seg", (span < B).alias("last"), "il", "ir", F.explode(probes).alias("j"))
-        cand = pts.select("g", "seg", "j", "last", F.explode(F.sequence("il", F.least("ir", "j"))).alias("i"))
-        ev = cand.join(left, ["g", "i"]).join(right, ["g", "j"])
-        w = F.col("b1") - F.col("a1")
-        sse = (F.col("b3") - F.col("a3")) - (F.col("b2") - F.col("a2")) ** 2 / w
-        best = (ev.groupBy("g", "seg", "j", "last")
-                  .agg(F.min(F.struct((F.col("dprev") + sse).alias("D"), F.col("i"), F.col("path"))).alias("b"))
-                  .select("g", "seg", "j", "last", F.col("b.D").alias("D"), F.col("b.i").alias("opt"),
-                          F.concat(F.col("b.path"), F.array(F.col("b.i"))).alias("path")))
+        pts = (segs.select("g", F.col("jl").alias("seg"), (span < B).alias("last"), "il", "ir",
+                           F.explode(probes).alias("j"))
+                   .hint("merge").join(right, ["g", "j"]))
+        least = candidates(pts).groupBy("g", "seg", "j").agg(F.min("c").alias("D"))
+        at = candidates(pts.hint("merge").join(least, ["g", "seg", "j"]), "D").where(F.col("c") == F.col("D"))
+        won = at.groupBy("g", "seg", "last", "j", "D").agg(F.min("i").alias("opt"))
+        paths = left.select("g", F.col("i").alias("opt"), "path")
+        best = (won.hint("merge").join(paths, ["g", "opt"])
+                   .select("g", "seg", "j", "last", "D", "opt",
+                           F.concat("path", F.array("opt")).alias("path")))
         best = store(best, "fisher-pass")
         done = done.unionByName(best.select("g", F.col("j").alias("idx"), "D", "path"))
         wn = Window.partitionBy("g", "seg").orderBy("j")
         nxt = best.where(~F.col("last")).select(
             "g", (F.col("j") + 1).alias("jl"), (F.lead("j").over(wn) - 1).alias("jr"),
             F.col("opt").alias("il"), F.lead("opt").over(wn).alias("ir"))
-        segs = (nxt.where(F.col("jr").isNotNull() & (F.col("jl") <= F.col("jr")))
-                   .withColumn("seg", F.concat_ws(":", F.col("g"), F.col("jl").cast("string"))))
+        segs = nxt.where(F.col("jr").isNotNull() & (F.col("jl") <= F.col("jr")))
     return done
 
 
