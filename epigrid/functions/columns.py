@@ -29,10 +29,6 @@ def col_range(first: str, last: str) -> Selector:
     return pick
 
 
-def except_(*names: str) -> Selector:
-    return lambda cols: [c for c in cols if c not in names]
-
-
 def select_names(df: DataFrame, selector: Selector | Sequence[str]) -> list[str]:
     if callable(selector):
         return selector(df.columns)

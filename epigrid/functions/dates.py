@@ -9,27 +9,41 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Year-month-day layouts accepted by the line-list parser: eight digits
-# (yyyyMMdd) or year, month and day separated by '-', '/' or '.', with one- or
-# two-digit month and day.  Anything else, or an impossible date, gives NULL.
-_DIGITS, _SEPS = "0123456789", "/."
-_COMPACT_SHAPE = "########"
-_SEPARATED_SHAPES = ("####-##-##", "####-#-##", "####-##-#", "####-#-#")
+# Year-month-day layouts accepted by the line-list parser, after trimming: eight or six digits
+# (yyyyMMdd, yyMMdd), or year, month and day separated by '-', '/', '.', '_' or a blank.  The year has
+# four or two digits (00-68 is 20xx, 69-99 is 19xx), the month one or two digits or an English
+# abbreviation.  Anything else, or an impossible date, gives NULL.
+_DIGITS, _LETTERS, _SEPS = "0123456789", "abcdefghijklmnopqrstuvwxyz", "/._ "
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+_COMPACT_SHAPES = ("########", "######")
+_DAY_SHAPES = ("-##-##", "-#-##", "-##-#", "-#-#")
+_NAMED_SHAPES = ("-aaa-##", "-aaa-#")
 
 
 def parse_ymd(text: Column) -> Column:
     """Text -> date, NULL when the text is not a valid year-month-day.
 
-    The layout is recognised from the text's shape (digits -> ``#``,
-    separators -> ``-``, a character translation, no regular expression),
-    rewritten as ``yyyy-M-d`` and validated by one ``try_cast``, which rejects
-    impossible calendar dates.
+    The layout is recognised from the text's shape (digits -> ``#``, letters
+    -> ``a``, separators -> ``-``, a character translation, no regular
+    expression), rewritten as ``yyyy-M-d`` and validated by one ``try_cast``,
+    which rejects impossible calendar dates.
     """
-    shape = F.translate(text, _DIGITS + _SEPS, "#" * len(_DIGITS) + "-" * len(_SEPS))
-    iso = (F.when(shape == _COMPACT_SHAPE,
-                  F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)))
-            .when(shape.isin(*_SEPARATED_SHAPES), F.translate(text, _SEPS, "-" * len(_SEPS))))
-    return iso.try_cast("date")
+    t = F.lower(F.trim(text))
+    shape = F.translate(t, _DIGITS + _LETTERS + _SEPS,
+                        "#" * len(_DIGITS) + "a" * len(_LETTERS) + "-" * len(_SEPS))
+    dashed = F.translate(t, _SEPS, "-" * len(_SEPS))
+    year_len = F.when(F.substring(shape, 3, 1) == "-", 2).otherwise(4)
+    named_at = F.instr(F.lit(_MONTHS), F.substring(t, year_len + 2, F.lit(3)))
+    named = F.when(named_at % 3 == 1, ((named_at + 2) / 3).cast("int").cast("string"))
+    plain = F.when(shape == _COMPACT_SHAPES[0], F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2)))
+    plain = (plain.when(shape == _COMPACT_SHAPES[1], F.concat_ws("-", F.substring(t, 1, 2), F.substring(t, 3, 2), F.substring(t, 5, 2)))
+                  .when(shape.isin(*[y + s for y in ("####", "##") for s in _DAY_SHAPES]), dashed)
+                  .when(shape.isin(*[y + s for y in ("####", "##") for s in _NAMED_SHAPES]),
+                        F.concat(F.substring(t, F.lit(1), year_len), F.lit("-"), named, F.lit("-"),
+                                 F.substring(t, year_len + 6, F.lit(2)))))
+    short = F.substring(plain, 3, 1) == "-"
+    century = F.when(F.substring(plain, 1, 2) >= "69", "19").otherwise("20")
+    return F.when(short, F.concat(century, plain)).otherwise(plain).try_cast("date")
 
 
 def week_floor(d: Column) -> Column:

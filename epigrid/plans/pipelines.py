@@ -244,14 +244,6 @@ def department_weekly_rates_sparse(cs: R.WeeklySeries, ds: R.WeeklySeries, distr
 HEATMAP_METHODS = ("quantile", "kmeans", "fisher", "geom", "arith", "em")
 
 
-def breaks_for(df: DataFrame, cols: list[str], method: str, k: int) -> DataFrame:
-    """Breaks of each column of ``df`` pooled over all its rows: ``(g, breaks)``."""
-    vals = B.long_values(df, cols)
-    if method == "kmeans_ml":
-        return B.kmeans_breaks(vals, k, groups=cols)
-    return B.class_breaks(vals, k, method)
-
-
 def classify(df: DataFrame, cols: list[str], methods, k: int, labels: bool = True,
              dig_lab: int = 5, consume: bool = True) -> DataFrame:
     """Add ``{col}_{method}`` classes (labels or 1-based indices) for every column and method.

@@ -12,7 +12,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -123,6 +123,3 @@ def write_with_preamble(df: DataFrame, path: str, preamble: Sequence[str], sep:
 
     lines.mapInPandas(with_head, "value string").write.mode("overwrite").text(path)
     return path
-
-
-Reader = Callable[[SparkSession, str], DataFrame]

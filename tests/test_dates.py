@@ -9,6 +9,10 @@ def test_parse_ymd_layouts(spark):
     rows = [("20200306", dt.date(2020, 3, 6)), ("2020-3-6", dt.date(2020, 3, 6)),
             ("2020/03/06", dt.date(2020, 3, 6)), ("2020.03.06", dt.date(2020, 3, 6)),
             ("20201345", None), ("2020-02-30", None), ("SIN DATO", None), (None, None),
+            (" 20200306", dt.date(2020, 3, 6)), ("2020-03-06 ", dt.date(2020, 3, 6)),
+            ("2020 03 06", dt.date(2020, 3, 6)), ("2020_03_06", dt.date(2020, 3, 6)),
+            ("20-03-06", dt.date(2020, 3, 6)), ("99/1/2", dt.date(1999, 1, 2)), ("200306", dt.date(2020, 3, 6)),
+            ("2020-Mar-06", dt.date(2020, 3, 6)), ("20 dec 6", dt.date(2020, 12, 6)), ("2020-anf-06", None),
             ("2020-03-06x", None), ("2020", None), ("2020-03", None), ("2020-03-06 10:00", None)]
     df = spark.createDataFrame([(t,) for t, _ in rows], "t string")
     got = {r.t: r.d for r in df.select("t", parse_ymd(F.col("t")).alias("d")).collect()}
