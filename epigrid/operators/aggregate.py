@@ -46,3 +46,13 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count (e.g. Q11: a crosswalk
     child listed twice would fan out the lookup join)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """``df`` as a lookup table: fails the job when a key occurs twice (Q11).
+
+    NULL keys match nothing in a lookup, so they may repeat.
+    """
+    twice = (F.count(F.lit(1)) > 1) & F.col(key).isNotNull()
+    error = F.raise_error(F.concat(F.lit(f"{key} is listed more than once: "), F.col(key).cast("string")))
+    return df.groupBy(key).agg(*[F.when(twice, error).otherwise(F.max(c)).alias(c) for c in df.columns if c != key])

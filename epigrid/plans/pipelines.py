@@ -35,8 +35,11 @@ def clean_sheet(sheet: DataFrame) -> DataFrame:
 
 
 def harmonise(named: DataFrame, cw: DataFrame) -> DataFrame:
-    """J1 + X8: attach the 2017 parent code; districts without one keep their own."""
-    cw = cw.select(*starts_with("ubigeo")(cw.columns))
+    """J1 + X8: attach the 2017 parent code; districts without one keep their own.
+
+    A child listed twice would count its population twice, so it is an error.
+    """
+    cw = A.one_per_key(cw.select(*starts_with("ubigeo")(cw.columns)), "ubigeo_2022")
     joined = J.left_join_renamed(named, cw, "ubigeo", "ubigeo_2022")
     return joined.withColumn("ubigeo_2017", F.coalesce("ubigeo_2017", "ubigeo"))
 

@@ -62,3 +62,12 @@ def test_crosswalk_children_unique_and_many_to_one(spark):  # Q11
     cw = fx.crosswalk(spark, "/root/testdata/sf0.001")
     assert A.duplicate_keys(cw, ["ubigeo_2022"]).count() == 0
     assert cw.select("ubigeo_2017").distinct().count() < cw.count()   # several children per parent
+
+
+def test_a_child_listed_twice_is_an_error(spark):  # Q11
+    import pytest
+
+    once = spark.createDataFrame([("a", "x"), ("b", None), (None, "y"), (None, "z")], "k string, p string")
+    assert {(r.k, r.p) for r in A.one_per_key(once, "k").where("k IS NOT NULL").collect()} == {("a", "x"), ("b", None)}
+    with pytest.raises(Exception, match="listed more than once: a"):
+        A.one_per_key(once.union(once.limit(1)), "k").collect()
