@@ -1,7 +1,9 @@
 """SentencePiece encoding and decoding through a relational lattice.
 
-Every space starts a word, as in SentencePiece; words of over 192 characters are cut.
-The distinct words of the corpus become a lattice: their substrings up to the longest
+A word is a run of spaces with what follows it up to the next space.  No piece holds a
+space after another character (a vocabulary with such a piece is refused), so no piece
+crosses from one word into the next, and the best paths of the words make up the best
+path of the whole text.  The distinct words of the corpus become a lattice: their substrings up to the longest
 piece are exploded and equi-joined to the piece table, the edges are grouped by word, and
 Spark's higher-order ``aggregate`` folds Viterbi over them in order of their ends: best sum
 of piece scores, ties to the later start.  Characters that no piece covers fall back to the
@@ -40,7 +42,8 @@ from .words import let
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 LONGEST = 192
-_PART = re.compile(f"[^{SPACE}]{{1,{LONGEST}}}|{SPACE}")
+_WORD = re.compile(" +[^ ]*")
+_LITERAL = re.compile(f"({SPACE})")
 
 
 class Vocabulary:
@@ -56,6 +59,9 @@ class Vocabulary:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.text[i] = piece.replace(SPACE, " ").encode()
                 self.rows.append((piece, i, model.get_score(i)))
+        across = [p for p, _, _ in self.rows if SPACE in p.lstrip(SPACE)]
+        if across:
+            raise ValueError(f"pieces over several words: {across[:3]}")
         self.longest = max(len(p) for p, _, _ in self.rows)
         self.scores = [0.0] * n
         for _, i, score in self.rows:
@@ -71,29 +77,28 @@ class Vocabulary:
 
 
 def words_of(text: str) -> list[str]:
-    """Keys of a text's words: the word itself where a space stands before it (the text's first word counts as such).
+    """Keys of a text's words: the word without the first space of its run (the text's first word has one before it, too).
 
-    A part with no space before it (the rest of a cut word, or what follows a literal
-    U+2581) is U+2581 and the part; a literal U+2581 is that character alone.
+    What follows a literal U+2581 without a space is U+2581 and the word; a literal
+    U+2581 is that character alone.
     """
     if not text:
         return []
-    words = text.split(" ")
-    if SPACE not in text and max(map(len, words)) <= LONGEST:
+    if SPACE not in text and "  " not in text and text[0] != " ":
+        return text.split(" ")
+    words = [w[1:] for w in _WORD.findall(" " + text)]
+    if SPACE not in text:
         return words
     out = []
     for w in words:
-        parts = _PART.findall(w)
-        if not parts or parts[0] == SPACE:
-            out.append("")
-        else:
-            out.append(parts.pop(0))
-        out += [p if p == SPACE else SPACE + p for p in parts]
+        first, *parts = _LITERAL.split(w)
+        out.append(first)
+        out += [p if p == SPACE else SPACE + p for p in parts if p]
     return out
 
 
 def lattice_word(key: str) -> str:
-    return key[1:] if key[:1] == SPACE else SPACE + key
+    return key[1:] if key[:1] == SPACE else SPACE + key.replace(" ", SPACE)
 
 
 def lattice_ids(words: DataFrame, vocab: Vocabulary, partitions: int) -> DataFrame:
