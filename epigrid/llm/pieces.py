@@ -6,15 +6,17 @@ crosses from one word into the next, and the best paths of the words make up the
 path of the whole text.  The distinct words of the corpus become a lattice: their substrings up to the longest
 piece are exploded and equi-joined to the piece table, the edges are grouped by word, and
 Spark's higher-order ``aggregate`` folds Viterbi over them in order of their ends: best sum
-of piece scores, ties to the later start.  Characters that no piece covers fall back to the
+of piece scores, ties to the later start.  Words of over 192 characters (texts without
+spaces) would make rows of quadratic size; the chunk that holds one folds the same Viterbi
+over it position by position, whole and in linear time (``Fold``).  Characters that no piece covers fall back to the
 byte pieces of their UTF-8 form, so decoding gives back every text exactly.
 
 The vocabulary's scores are read as in SentencePiece's unigram model.  (For a vocabulary
 that was trained by merging, the library's own encoder applies merges instead and may split
 a word differently; decoding is the same.)
 
-Chunks ask for the words they hold and get their ids back, so each distinct word is
-worked out once and no task holds the corpus' vocabulary.  The piece table is bounded
+Chunks ask for the words they hold and get their ids back, so each distinct word of up to
+192 characters is worked out once and no task holds the corpus' vocabulary.  The piece table is bounded
 by the vocabulary file and broadcast.
 
 Defined results: null and empty texts have no tokens; a literal U+2581 is written as its
@@ -24,6 +26,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -41,7 +44,7 @@ from .words import let
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-LONGEST = 192
+LONGEST = 192       # characters of a word that goes through the relational lattice
 _WORD = re.compile(" +[^ ]*")
 _LITERAL = re.compile(f"({SPACE})")
 
@@ -101,6 +104,41 @@ def lattice_word(key: str) -> str:
     return key[1:] if key[:1] == SPACE else SPACE + key.replace(" ", SPACE)
 
 
+def is_long(key: str) -> bool:
+    return len(key) > LONGEST
+
+
+class Fold:
+    """Viterbi over one word of any length, with the scores and ties of ``lattice_ids``."""
+
+    def __init__(self, rows: list[tuple[str, int, float]], fallback: float, byte_id: list[int]):
+        self.pieces = {p: (i, s) for p, i, s in rows}
+        self.begins = {p[:n] for p, _, _ in rows for n in range(1, len(p) + 1)}
+        self.fallback, self.byte_id = fallback, byte_id
+
+    def __call__(self, word: str) -> np.ndarray:
+        n, pieces, begins = len(word), self.pieces, self.begins
+        best, start, name = [-math.inf] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+        best[0] = 0.0
+        for s in range(n):
+            e, here = s + 1, best[s]
+            part = word[s]
+            i, score = pieces.get(part, (-1, self.fallback))
+            if here + score >= best[e]:         # a later start wins a tie
+                best[e], start[e], name[e] = here + score, s, i
+            while part in begins and e < n:
+                e += 1
+                part = word[s:e]
+                got = pieces.get(part)
+                if got is not None and here + got[1] >= best[e]:
+                    best[e], start[e], name[e] = here + got[1], s, got[0]
+        out, e = [], n
+        while e:
+            out += [name[e]] if name[e] >= 0 else [self.byte_id[b] for b in reversed(word[start[e]].encode())]
+            e = start[e]
+        return np.array(out[::-1], np.int32)
+
+
 def lattice_ids(words: DataFrame, vocab: Vocabulary, partitions: int) -> DataFrame:
     """(word, ids) of distinct words (a space before them as U+2581); a negative id -1 - c stands for the bytes of character c."""
     spark = words.sparkSession
@@ -151,10 +189,10 @@ def _texts(pdf: pd.DataFrame) -> list[tuple[int, str]]:
 
 
 def _by_bucket(keys: set[str], buckets: int) -> dict[int, list[str]]:
-    """Distinct keys by bucket, in order; a literal U+2581 needs no lattice."""
+    """Distinct keys by bucket, in order; a literal U+2581 needs no lattice, long words are folded by their chunk."""
     out: dict[int, list[str]] = {}
     for k in keys:
-        if k != SPACE:
+        if k != SPACE and not is_long(k):
             out.setdefault(zlib.crc32(lattice_word(k).encode()) % buckets, []).append(k)
     return {b: sorted(x) for b, x in out.items()}
 
@@ -198,13 +236,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         return pd.DataFrame(out, columns=["chunk", "bucket", "counts", "ids"])
 
     answers = asked.groupBy("bucket").cogroup(lexicon.groupBy("bucket")).applyInPandas(answer, "chunk int, bucket int, counts binary, ids binary")
-    piece = vocab.text
+    piece, scored, fallback = vocab.text, vocab.rows, vocab.fallback
 
     def finish(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         undo = zstandard.ZstdDecompressor()
         texts = _texts(left)
         split = [words_of(t) for _, t in texts]
-        by = _by_bucket(set().union(*split) if split else set(), buckets)
+        words = set().union(*split) if split else set()
+        by = _by_bucket(words, buckets)
         index, counts, flat = {}, [np.full(1, 3, np.int64)], [np.array([byte_id[b] for b in SPACE.encode()], np.int32)]
         index[SPACE] = 0
         for r in right.itertuples():
@@ -212,6 +251,13 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
                 index[w] = len(index)
             counts.append(np.frombuffer(r.counts, np.int32).astype(np.int64))
             flat.append(np.frombuffer(undo.decompress(r.ids), np.int32))
+        long = list(filter(is_long, words))
+        if long:
+            fold = Fold(scored, fallback, byte_id)
+            for w in long:
+                index[w] = len(index)
+                flat.append(fold(lattice_word(w)))
+                counts.append(np.array([len(flat[-1])], np.int64))
         count, flat = np.concatenate(counts), np.concatenate(flat)
         first = np.cumsum(count) - count
         out = []

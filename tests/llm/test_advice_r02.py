@@ -32,3 +32,12 @@ def test_runs_of_spaces(spark):
     texts = ["if x:\n        return the value", "  two", "end  ", "   ", "a.  b   c    d", " " * 40 + "x" + " " * 17, "▁  ▁x ▁", "one two", "a ▁  b"]
     for r in pieces.encode(docs_of(spark, texts)).collect():
         assert r.token_ids == whole_text_ids(texts[r.doc_id], v) and r.round_trip, texts[r.doc_id]
+
+
+def test_words_of_any_length(spark):
+    v = pieces.Vocabulary()
+    rng = random.Random(4)
+    letters = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400)) for _ in range(12)]
+    texts = letters + ["漢字仮名交じり文中国" * 60, "line\n" * 200, " " * 700 + "x", "a " + "🙂é" * 150 + " ▁" + "ab" * 200, "the" * 25000]
+    for r in pieces.encode(docs_of(spark, texts)).collect():
+        assert r.token_ids == whole_text_ids(texts[r.doc_id], v) and r.round_trip, texts[r.doc_id][:50]
