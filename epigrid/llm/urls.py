@@ -7,9 +7,10 @@ host is a block example when one of its words is in the stated seed list of
 unwanted words, and an allow example otherwise; each distinct (host, path word)
 counts once, so no single host outweighs the rest.
 
-Counts run over the whole table.  What reaches the driver is bounded by two model
-parameters: the ``vocab`` most frequent name parts and the ``vocab`` most frequent
-(word, label) counts.
+Counts run over the whole table and stay Spark tables: every name part of up to 24
+letters is a dictionary word, and every (word, label) count weighs in.  Costs of
+dictionary words meet the substrings of the distinct name parts in a join, log odds the
+words of the distinct hosts and paths.  Only totals reach the driver.
 
 Defined results: a null url, or one without ``://``, has empty host and path, fits
 no rule and is scored on no words, so the class prior decides (allow unless most
@@ -20,14 +21,14 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import store
+
 # fixed values: the rules of the contract, (host, path prefix, verdict)
 RULES = (
     ("com", "/", "allow"),
@@ -47,7 +48,7 @@ PLAIN_WORDS = ("art", "blog", "book", "books", "city", "club", "daily", "data",
 #: unwanted only beside another word of the list (a farm alone is no spam farm)
 WEAK_WORDS = ("farm",)
 
-VOCAB = 50_000
+SEEDS = frozenset((*BLOCK_WORDS, *PLAIN_WORDS))
 LONGEST = 24        # letters of a dictionary word
 
 
@@ -103,103 +104,93 @@ def segment(part: str, cost: dict[str, float], total: float) -> list[str]:
 
 
 class Segmenter:
-    def __init__(self, counts: dict[str, int]):
-        seeds = {w: 1 for w in (*BLOCK_WORDS, *PLAIN_WORDS)}
-        known = {w: c + seeds.get(w, 0) for w, c in (counts | {w: counts.get(w, 0) for w in seeds}).items()}
-        # a part that other known words spell out counts as those words
-        total = max(2, sum(known.values()))
-        self.total = math.log(total)
-        self.seeds = {w: max(1.0, math.log(total) / 2) for w in seeds}
-        self.cost = {w: math.log(total) - math.log(c) + 1.0 for w, c in known.items()}
-        for w, c in self.seeds.items():
-            self.cost[w] = min(self.cost[w], c)
-        self.memo: dict[str, list[str]] = {}
-
-    def part(self, part: str) -> list[str]:
-        got = self.memo.get(part)
-        if got is None:
-            if len(self.memo) > 200_000:
-                self.memo.clear()
-            spelled = segment(part, self.seeds, math.inf) if len(part) <= 10 * LONGEST else None
-            got = self.memo[part] = spelled if spelled and "" not in spelled and all(w in self.seeds for w in spelled) else segment(part, self.cost, self.total)
-        return got
-
-    def host(self, host: str) -> list[str]:
-        return [w for p in re.split(r"[\W_]+", host) if p for w in self.part(p)]
-
-    def path(self, path: str) -> list[str]:
-        return ["/" + ("<num>" if p.isdigit() else p) for p in re.split(r"[\W_]+", path.lower()) if p]
-
-
-def weak_label(words: list[str]) -> int:
-    hits = [w for w in words if w in BLOCK_WORDS]
-    return int(len(hits) > len([w for w in hits if w in WEAK_WORDS]))
+    """Splits name parts by a dictionary with ``total`` occurrences, the seeds' among them."""
 
+    def __init__(self, total: int):
+        self.total = math.log(max(2, total))
+        self.seeds = {w: max(1.0, self.total / 2) for w in SEEDS}
 
-def _count_words(seg: Segmenter):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            got: Counter = Counter()
-            for host, word in zip(pdf["host"], pdf["word"], strict=True):
-                words = seg.host(host)
-                label = weak_label(words)
-                if word is None:
-                    got.update((w, label) for w in set(words))
-                    got[("", label)] += 1
-                else:
-                    got[("/" + word, label)] += 1
-            yield pd.DataFrame([(w, y, c) for (w, y), c in got.items()], columns=["word", "label", "n"])
-    return run
-
-
-def _weights(rows) -> tuple[dict[str, float], float]:
-    """Log odds of block against allow per word (add-one smoothing), and of the prior."""
-    by = {0: Counter(), 1: Counter()}
-    for r in rows:
-        by[r["label"]][r["word"]] += r["n"]
-    hosts = {y: by[y].pop("", 0) for y in by}
-    vocab = set(by[0]) | set(by[1])
-    size = {y: sum(c.values()) + len(vocab) for y, c in by.items()}
-    odds = {w: math.log((by[1][w] + 1) / size[1]) - math.log((by[0][w] + 1) / size[0]) for w in vocab}
-    odds |= {w: max(odds.get(w, 0.0), 4.0) for w in BLOCK_WORDS if w not in WEAK_WORDS}   # the seeds are examples themselves
-    return odds, math.log((hosts[1] + 1) / (hosts[0] + 2))
+    def part(self, part: str, counts: dict[str, int]) -> list[str]:
+        """``counts`` has the dictionary words among the part's substrings."""
+        # a part that other known words spell out counts as those words
+        spelled = segment(part, self.seeds, math.inf) if len(part) <= 10 * LONGEST else None
+        if spelled and "" not in spelled and all(w in self.seeds for w in spelled):
+            return spelled
+        cost = {w: self.total - math.log(c + (w in self.seeds)) + 1.0 for w, c in counts.items()}
+        cost |= {w: min(cost.get(w, math.inf), c) for w, c in self.seeds.items()}
+        return segment(part, cost, self.total)
 
 
-def _verdicts(seg: Segmenter, odds: dict[str, float], prior: float):
+def _split(seg: Segmenter):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            memo: dict[str, tuple[str, float]] = {}
-            words, score = [], []
-            for host, path in zip(pdf["host"], pdf["path"], strict=True):
-                if host not in memo:
-                    ws = seg.host(host)
-                    memo[host] = (" ".join(ws), prior + sum(odds.get(w, 0.0) for w in ws))
-                text, s = memo[host]
-                words.append(text)
-                score.append(s + sum(odds.get(w, 0.0) for w in seg.path(path)))
-            pdf["host_words"], pdf["log_odds"] = words, score
-            pdf["verdict"] = pdf["verdict"].where(pdf["verdict"].notna(), ["block" if s > 0 else "allow" for s in score])
-            yield pdf
+            words = [seg.part(p, {r["word"]: r["n"] for r in known} if known is not None else {})
+                     for p, known in zip(pdf["part"], pdf["known"], strict=True)]
+            yield pd.DataFrame({"part": pdf["part"], "words": words})
     return run
 
 
-def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, vocab: int = VOCAB) -> DataFrame:
+def weak_label(words: Column) -> Column:
+    return F.size(F.filter(words, lambda w: w.isin(*BLOCK_WORDS))) > F.size(F.filter(words, lambda w: w.isin(*WEAK_WORDS)))
+
+
+def words_of_hosts(hosts: DataFrame) -> DataFrame:
+    """(host, words, label) of distinct hosts."""
+    parts = hosts.select("host", F.posexplode(name_parts(F.col("host"))).alias("at", "part")).filter("part <> ''")
+    counts = store(parts.filter(F.length("part") <= LONGEST).groupBy(F.col("part").alias("word")).agg(F.count("*").alias("n")), "name-parts")
+    seg = Segmenter((counts.agg(F.sum("n")).first()[0] or 0) + len(SEEDS))
+    each = parts.select("part").distinct()
+    starts = each.select("part", F.explode(F.sequence(F.lit(1), F.length("part"))).alias("start"))
+    subs = starts.select("part", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("part") - F.col("start") + 1))).alias("len"))
+    known = (subs.select("part", F.col("part").substr(F.col("start"), F.col("len")).alias("word")).join(counts, "word")
+             .groupBy("part").agg(F.collect_set(F.struct("word", "n")).alias("known")))      # at most 24 words a letter
+    split = each.join(known, "part", "left").mapInPandas(_split(seg), "part string, words array<string>")
+    words = (parts.join(split, "part").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("at", "words"))).alias("w"))
+             .select("host", F.flatten(F.col("w")["words"]).alias("words")))
+    words = hosts.join(words, "host", "left").select("host", F.coalesce("words", F.array().cast("array<string>")).alias("words"))
+    return store(words.withColumn("label", weak_label(F.col("words")).cast("int")), "host-words")
+
+
+def path_words(path: Column) -> Column:
+    """Words of a path, each after a slash; numbers are one word."""
+    return F.transform(F.filter(F.split(F.lower(path), r"[^\p{L}\p{N}]+"), lambda w: w != ""),
+                       lambda w: F.concat(F.lit("/"), F.when(w.rlike("^[0-9]+$"), F.lit("<num>")).otherwise(w)))
+
+
+def word_odds(words: DataFrame, urls: DataFrame) -> tuple[DataFrame, float]:
+    """(word, odds): log odds of block against allow of every word (add-one smoothing), and those of the prior."""
+    seen = urls.filter("host <> ''").select("host", F.explode(F.array_distinct(path_words(F.col("path")))).alias("word")).distinct()
+    examples = words.select(F.explode(F.array_distinct("words")).alias("word"), "label").unionByName(
+        seen.join(words.select("host", "label"), "host").select("word", "label"))
+    counts = store(examples.groupBy("word").agg(F.sum(1 - F.col("label")).alias("allow"), F.sum("label").alias("block")), "url-words")
+    size, allow, block = counts.agg(F.count("*"), F.sum("allow"), F.sum("block")).first()
+    hosts, unwanted = words.agg(F.count("*"), F.sum("label")).first()
+    shift = math.log((allow or 0) + size or 1) - math.log((block or 0) + size or 1)
+    odds = F.log(F.col("block") + 1) - F.log(F.col("allow") + 1) + F.lit(shift)
+    seeds = [w for w in BLOCK_WORDS if w not in WEAK_WORDS]      # the seeds are examples themselves
+    odds = F.when(F.col("word").isin(*seeds), F.greatest(odds, F.lit(4.0))).otherwise(odds)
+    return counts.select("word", odds.alias("odds")), math.log(((unwanted or 0) + 1) / (hosts - (unwanted or 0) + 2))
+
+
+def _sums(rows: DataFrame, key: str, words: Column, odds: DataFrame, name: str) -> DataFrame:
+    """(key, sum of the odds of its words), added in the order of the words; unknown words count 0."""
+    got = rows.select(key, F.posexplode(words).alias("at", "word")).join(odds, "word").groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct("at", "odds"))).alias("w"))
+    return got.select(key, F.aggregate(F.col("w")["odds"], F.lit(0.0), lambda x, y: x + y).alias(name))
+
+
+def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, host_words, log_odds) of every url."""
     url = F.col("url")
-    judged = (pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
+    judged = (pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))
               .select("page_id", host_of(url).alias("host"), path_of(url).alias("path")))
-    hosts = judged.filter("host <> ''").select("host").distinct()
-    counts = {r["w"]: r["n"] for r in hosts.select(F.explode(name_parts(F.col("host"))).alias("w"))
-              .filter((F.length("w") > 0) & (F.length("w") <= LONGEST)).groupBy("w").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "w").limit(vocab).collect()}     # bounded by the vocabulary parameter
-    seg = Segmenter(counts)
-    path_words = F.explode(F.array_distinct(F.transform(F.filter(F.split(F.lower("path"), r"[^\p{L}\p{N}]+"), lambda w: w != ""),
-                                                        lambda w: F.when(w.rlike("^[0-9]+$"), F.lit("<num>")).otherwise(w))))
-    seen = judged.filter("host <> ''").select("host", path_words.alias("word")).distinct()
-    examples = hosts.select("host", F.lit(None).cast("string").alias("word")).unionByName(seen)
-    rows = (examples.mapInPandas(_count_words(seg), "word string, label int, n long").groupBy("word", "label")
-            .agg(F.sum("n").alias("n")).orderBy(F.col("word") != "", F.desc("n"), "word").limit(2 * vocab).collect())
-    odds, prior = _weights(rows)
+    words = words_of_hosts(judged.filter("host <> ''").select("host").distinct())
+    odds, prior = word_odds(words, judged)
+    hosts = words.join(_sums(words, "host", F.col("words"), odds, "of_host"), "host", "left").select("host", F.concat_ws(" ", "words").alias("host_words"), "of_host")
+    paths = _sums(judged.select("path").distinct(), "path", path_words(F.col("path")), odds, "of_path")
     rule, verdict = rule_columns(rules)
-    return (judged.select("*", rule.alias("rule"), verdict.alias("verdict"))
-            .mapInPandas(_verdicts(seg, odds, prior), "page_id long, host string, path string, rule string, verdict string, host_words string, log_odds double"))
+    scored = judged.join(hosts, "host", "left").join(paths, "path", "left")
+    log_odds = F.lit(prior) + F.coalesce("of_host", F.lit(0.0)) + F.coalesce("of_path", F.lit(0.0))
+    return scored.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), F.coalesce("host_words", F.lit("")).alias("host_words"),
+                         log_odds.alias("log_odds")).withColumn(
+        "verdict", F.coalesce("verdict", F.when(F.col("log_odds") > 0, "block").otherwise("allow")))
