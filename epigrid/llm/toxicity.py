@@ -6,8 +6,7 @@ and unlabelled ones.  The risk is ``pi R_P+ + max(0, R_U- - pi R_P-)`` with the
 prior ``pi`` taken from the labelled training rows; when the bracket falls below zero
 the step goes against it, so the model cannot explain the unlabelled texts away.  A
 soft threshold keeps weights of uninformative features at zero, so long texts gather no
-noise.  A second pass drops the unlabelled texts' hidden positives by nothing but this
-risk: their labels are never read.
+noise.  The unlabelled texts' labels are never read.
 
 The training sample is bounded by ``positives`` and ``unlabelled`` rows, taken in order
 of a hash of their id; scoring reads every whole text of the table.
