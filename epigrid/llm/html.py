@@ -6,8 +6,8 @@ a presentation (the sequence of child elements) and a content (the text of the w
 branch, so a node's content already holds that of the nodes below it).  With m
 distinct pages, the importance of either is its entropy over log(m); the composite
 importance of a branch weighs presentation 0.1 and content 0.9.  Branches that show
-nearly the same thing on all pages of a host (importance below 0.2 on at least 8
-distinct pages and on at least a hundredth of them) are removed from each page.
+nearly the same thing on all pages that have them (importance below 0.2 on at least 8
+distinct pages of the host, however many other pages it has) are removed from each page.
 
 Markup says the rest: scripts, styles, navigation, asides, forms, footers, page
 headers, hidden parts, and parts whose class, id or role names an advert, notice,
@@ -17,8 +17,8 @@ tree removes containers only, never paragraphs or headings, and never a branch w
 half of the text: pages that repeat one article keep it.
 
 Scale: votes are pre-aggregated per (host, node, presentation, content), so a host
-with a third of all pages is combined map-side.  A host's removable nodes are at most
-a hundred times the nodes of a page; they meet the pages in a salted join.
+with a third of all pages is combined map-side.  Removable nodes are a stored table that
+meets each page's own nodes by (host, node), so a page's list holds none but its own.
 
 Defined results: null html is empty and gives empty text; a null url has no host and
 takes no part in the tree; unclosed or stray tags are read as browsers do in the
@@ -37,9 +37,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import store
 from .urls import host_of
 
-NOISE, LEAST_PAGES, LEAST_SHARE, SALT = 0.2, 8, 0.01, 16
+NOISE, LEAST_PAGES = 0.2, 8
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
@@ -230,6 +231,11 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["host", "page", "node", "style", "content"])
 
 
+def _nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pd.DataFrame({"host": pdf["host"], "key": pdf["key"], "nodes": [list(dict.fromkeys(Page(h).keys()[1:])) for h in pdf["html"]]})
+
+
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         texts = [Page(h or "").text(frozenset(x) if x is not None and len(x) else frozenset())
@@ -255,12 +261,12 @@ def style_tree(pages: DataFrame) -> DataFrame:
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
-    rows = rows.withColumn("host", host_of(F.col("url")))
+    rows = rows.withColumn("host", host_of(F.col("url"))).withColumn("key", F.unhex(F.md5(F.col("html").cast("binary"))))
     tree = style_tree(rows)
-    of_host = rows.filter("host <> '' AND html IS NOT NULL").groupBy("host").agg(F.count("*").alias("all_pages"))
-    noise = (tree.filter((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < NOISE)).join(of_host, "host")
-             .filter(F.col("pages") >= LEAST_SHARE * F.col("all_pages")).groupBy("host").agg(F.collect_set("node").alias("noise"))
-             .select("host", "noise", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALT)).cast("int"))
-    return (salted.join(noise, ["host", "salt"], "left").select("page_id", "url", "html", "noise")
+    # stored, so that its size is known when the join is planned
+    noise = store(tree.filter((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < NOISE)).select("host", "node"), "noise")
+    own = (rows.filter("host <> '' AND html IS NOT NULL").select("host", "key", "html")
+           .mapInPandas(_nodes, "host string, key binary, nodes array<long>").select("host", "key", F.explode("nodes").alias("node")))
+    found = own.join(noise, ["host", "node"]).groupBy("host", "key").agg(F.collect_set("node").alias("noise"))
+    return (rows.join(found, ["host", "key"], "left").select("page_id", "url", "html", "noise")
             .mapInPandas(_texts, "page_id long, url string, text string, n_chars long"))

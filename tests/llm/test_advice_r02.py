@@ -3,7 +3,7 @@
 import math
 import random
 
-from epigrid.llm import pieces, urls
+from epigrid.llm import html, pieces, urls
 
 
 def docs_of(spark, texts):
@@ -55,3 +55,16 @@ def test_url_counts_are_whole(spark):
     only = math.log(2 / (block + size)) - math.log(1 / (allow + size))
     assert math.isclose(got[-2] - got[-4], rare, abs_tol=1e-9)
     assert math.isclose(got[-3] - got[-1], only - rare, abs_tol=1e-9)
+
+
+def test_boilerplate_of_a_small_section_and_beside_copies(spark):
+    def page(k, kind):
+        return f"<body><div class='{kind}'><p>Read the {kind} every day</p></div><div class='t{kind}'><p>{kind} text number {k} is here</p></div></body>"
+
+    section = [(k, f"http://hot.org/{k}", page(k, "few")) for k in range(10)]
+    hot = section + [(100 + k, f"http://hot.org/{100 + k}", page(k, "many")) for k in range(1200)]
+    copies = [(5000 + k, f"http://copied.org/{k}", page(k % 20 if k < 40 else 0, "many")) for k in range(2001)]
+    got = {r.page_id: r.text for r in html.extract_text(spark.createDataFrame(hot + copies, "page_id long, url string, html string")).collect()}
+    alone = {r.page_id: r.text for r in html.extract_text(spark.createDataFrame(section, "page_id long, url string, html string")).collect()}
+    assert alone[3] == got[3] == "few text number 3 is here"
+    assert got[103] == got[5003] == "many text number 3 is here" and got[7000] == "many text number 0 is here"
