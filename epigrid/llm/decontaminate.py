@@ -81,8 +81,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents in which an item is found; rows with a null id stay."""
-    return docs.join(find_leaks(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """``docs`` without the rows in whose text an item is found; each row is judged by its own id and text, null ids too."""
+    text = F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256)
+    rows = docs.withColumn("_row", F.concat_ws(":", text, F.col("doc_id").cast("string")))
+    leaks = find_leaks(rows, benchmark, id_col="_row").select(F.col("doc_id").alias("_row")).distinct()
+    return rows.join(leaks, "_row", "left_anti").select(docs.columns)
 
 
 #: the same rows from equal words alone, without hashes: every alignment with enough equal words in a window

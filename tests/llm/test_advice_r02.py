@@ -3,7 +3,7 @@
 import math
 import random
 
-from epigrid.llm import html, pieces, urls
+from epigrid.llm import decontaminate, html, pieces, urls
 
 
 def docs_of(spark, texts):
@@ -68,3 +68,11 @@ def test_boilerplate_of_a_small_section_and_beside_copies(spark):
     alone = {r.page_id: r.text for r in html.extract_text(spark.createDataFrame(section, "page_id long, url string, html string")).collect()}
     assert alone[3] == got[3] == "few text number 3 is here"
     assert got[103] == got[5003] == "many text number 3 is here" and got[7000] == "many text number 0 is here"
+
+
+def test_leaks_are_judged_by_row(spark):
+    item = " ".join(f"b{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, "x " + item), (None, "clean"), (7, item + " y"), (7, "also clean"), (8, None)]
+    got = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {tuple(r) for r in got} == {(None, "clean"), (7, "also clean"), (8, None)} and len(got) == 3
