@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, dedup, html, licenses, pieces, quality, setjoin, topk, toxicity, urls
+from . import decontaminate, dedup, html, licenses, periods, phrases, pieces, quality, resample, setjoin, topk, toxicity, urls
 from .common import table
 
 
@@ -50,6 +52,30 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.jaccard_components(table(spark, sf_dir, "documents")).drop("dig", "stays")
 
 
+def op11_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = phrases.repeated_phrases(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def planted_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The query's input: a tenth of the documents (by crc32 of the id; null as empty text) end in a periodic tail."""
+    h, n = zlib.crc32(b"" if doc_id is None else str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digests(periods.periodic_runs(table(spark, sf_dir, "documents"), rewrite=planted_tail))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 TOPK_SQL = """
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q FROM embeddings
@@ -79,10 +105,13 @@ SELECT r.x AS doc_id, n.n AS n_shingles, min(m) AS component_id FROM r JOIN n ON
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_array_dedup, op2_toxicity, op3_license_scan, op4_benchmark_decontamination, op5_html_extraction,
-        op6_sentencepiece, op7_topk_search, op8_url_filter, op9_quality, op10_jaccard_join)
+        op6_sentencepiece, op7_topk_search, op8_url_filter, op9_quality, op10_jaccard_join, op11_phrase_automata, op12_periodic_runs,
+        op13_importance_resampling)
 }
 ORACLE_SQL = {
     "op4_benchmark_decontamination": decontaminate.SQL,
     "op7_topk_search": TOPK_SQL,
     "op10_jaccard_join": JACCARD_SQL,
+    "op11_phrase_automata": phrases.SQL,
+    "op13_importance_resampling": resample.SQL,
 }
