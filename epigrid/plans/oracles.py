@@ -286,6 +286,43 @@ SELECT province, x1, y1, x2, y2 FROM (
     UNION ALL SELECT prov, x, y, x, y + 1 FROM dm)
   GROUP BY ALL) WHERE k % 2 = 1""")
 
+# bricks: districts three cells wide, every other row moved by one cell, so that rows share no inner vertices
+cte("brick_cells", ("district_map",), """
+SELECT dep AS g, 3 * x + y % 2 + k AS x, y FROM (
+  SELECT dep, CAST(regexp_extract(geometry, 'POLYGON \\(\\((\\d+) (\\d+),', 1) AS BIGINT) AS x,
+         CAST(regexp_extract(geometry, 'POLYGON \\(\\((\\d+) (\\d+),', 2) AS BIGINT) AS y FROM district_map), range(3) t(k)""")
+cte("square_cells", ("dm",), "SELECT prov AS g, x, y FROM dm")
+
+
+def polygons_sql(cells: str, tag: str) -> str:
+    """Register CTE ``{tag}`` = (g, n_polygons, n_rings, n_points, area) of the union of unit cells.
+
+    Polygons are components of cells that share sides.  Around each polygon the Euler number of its
+    open inside gives the outlines and holes before splitting; each vertex where a polygon meets
+    itself splits off one ring more.
+    """
+    cte(f"{tag}_c", (cells,), f"""
+WITH RECURSIVE r AS (
+  SELECT g, x, y, 1000000 * x + y AS m FROM {cells}
+  UNION SELECT c.g, c.x, c.y, r.m FROM r JOIN {cells} c ON c.g = r.g AND abs(c.x - r.x) + abs(c.y - r.y) = 1)
+SELECT g, x, y, min(m) AS m FROM r GROUP BY g, x, y""")
+    cte(f"{tag}_v", (f"{tag}_c",), f"""
+SELECT g, x + a AS vx, y + b AS vy, count(*) AS k, sum(a + 2 * b) AS s, min(m) = max(m) AS one
+FROM {tag}_c, range(2) s(a), range(2) t(b) GROUP BY ALL""")
+    cte(tag, (f"{tag}_c", f"{tag}_v"), f"""
+SELECT g, n_polygons, 2 * n_polygons - (f - coalesce(e, 0) + v) + p AS n_rings, n_points, CAST(f AS DOUBLE) AS area
+FROM (SELECT g, count(DISTINCT m) AS n_polygons, count(*) AS f FROM {tag}_c GROUP BY g)
+LEFT JOIN (SELECT a.g, count(*) AS e FROM {tag}_c a JOIN {tag}_c b
+           ON a.g = b.g AND ((b.x = a.x + 1 AND b.y = a.y) OR (b.x = a.x AND b.y = a.y + 1)) GROUP BY a.g) USING (g)
+JOIN (SELECT g, count(*) FILTER (k = 4) AS v, count(*) FILTER (k = 2 AND s = 3 AND one) AS p,
+             CAST(sum(CASE WHEN k IN (1, 3) THEN 1 WHEN k = 2 AND s = 3 THEN 2 ELSE 0 END) AS BIGINT) AS n_points
+      FROM {tag}_v GROUP BY g) USING (g)""")
+    return tag
+
+
+polygons_sql("square_cells", "province_shapes")
+polygons_sql("brick_cells", "department_shapes")
+
 # ---- class breaks ---------------------------------------------------------------------
 cte("rate_vals", ("department_rates",), """
 SELECT 'cases' AS g, cases AS x FROM department_rates WHERE cases IS NOT NULL AND NOT isnan(cases)

@@ -15,6 +15,7 @@ from ..functions.labels import label_table
 from ..operators import aggregate as A
 from ..operators import classify as B
 from ..operators import dissolve as G
+from ..operators import polygons as PG
 from ..operators import densify as R
 from ..operators import filters as FL
 from ..operators import joins as J
@@ -300,6 +301,16 @@ def province_map(bivariate: DataFrame, district_map: DataFrame) -> DataFrame:
     return G.attach_geometry(bivariate, province_boundaries(district_map), "province")
 
 
+def province_polygons(district_map: DataFrame) -> DataFrame:
+    """G1 + A8 as whole geometries: one MULTIPOLYGON text per province."""
+    return PG.dissolve_polygons(district_map, "prov", name="province")
+
+
+def province_polygon_map(bivariate: DataFrame, district_map: DataFrame) -> DataFrame:
+    """C7 ready to draw: province classes with their geometry, joined by name (Q5)."""
+    return G.attach_geometry(bivariate, province_polygons(district_map), "province")
+
+
 # --------------------------------------------------------------------- fixture wiring
 def population_from(spark: SparkSession, sf: str) -> DataFrame:
     return population_long(fx.population_sheet(spark, sf), fx.crosswalk(spark, sf))

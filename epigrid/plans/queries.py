@@ -13,6 +13,7 @@ from ..operators import densify as R
 from ..operators import dissolve as G
 from ..operators import filters as FL
 from ..operators import joins as J
+from ..operators import polygons as PG
 from ..operators import project as P
 from ..session import scratch_path
 from ..sources import fixtures as fx
@@ -198,6 +199,29 @@ def dissolve_boundary(spark, sf):
     return C.province_boundaries(fx.district_map(spark, sf))
 
 
+_SHAPE = ("n_polygons", "n_rings", "n_points", "area")
+
+
+@register("dissolve_polygons", q("SELECT g AS province, n_polygons, n_rings, n_points, area FROM province_shapes", "province_shapes"))
+def dissolve_polygons(spark, sf):
+    """G1 as whole geometries: one MULTIPOLYGON per province, told by its counts and area."""
+    return C.province_polygons(fx.district_map(spark, sf)).select("province", *_SHAPE)
+
+
+@register("dissolve_t_junctions", q("SELECT g AS department, n_polygons, n_rings, n_points, area FROM department_shapes", "department_shapes"))
+def dissolve_t_junctions(spark, sf):
+    """G1 where neighbours share no vertices: districts as bricks, every other row moved by a third of a brick."""
+    bricks = fx.brick_map(fx.district_map(spark, sf))
+    return PG.dissolve_polygons(bricks, "dep", name="department").select("department", *_SHAPE)
+
+
+@register("province_polygon_map", q("""SELECT b.*, g.n_polygons, g.n_rings, g.n_points, g.area FROM province_bi b
+  LEFT JOIN province_shapes g ON b.province = g.g""", "province_bi", "province_shapes"), doubles=("cases", "deaths"))
+def province_polygon_map(spark, sf):
+    """C7 with one drawable geometry per row (its counts and area stand for it here)."""
+    return C.province_polygon_map(C.province_bivariate_from(spark, sf), fx.district_map(spark, sf)).drop("geometry")
+
+
 @register("map_ready_table", q("""SELECT b.province, b.bi_class, g.x1, g.y1, g.x2, g.y2 FROM province_bi b
   LEFT JOIN boundaries g ON b.province = g.province""", "province_bi", "boundaries"))
 def map_ready_table(spark, sf):

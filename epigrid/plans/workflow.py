@@ -48,7 +48,9 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, fmt: s
     districts = C.districts_from(spark, sf_dir)
     pop_year = C.population_year(pop)
     prates = B.store(C.province_rates_sparse(cs, ds, districts, pop_year), "province-rates")
-    emit("figures/province_map", C.province_map(C.province_bivariate(prates), fx.district_map(spark, sf_dir)))
+    bivariate = B.store(C.province_bivariate(prates), "province-bivariate")
+    emit("figures/province_map", C.province_map(bivariate, fx.district_map(spark, sf_dir)))
+    emit("figures/province_polygons", C.province_polygon_map(bivariate, fx.district_map(spark, sf_dir)), ("department", "province"))
     drates = C.department_weekly_rates_sparse(cs, ds, districts, pop_year)
     emit("figures/department_weekly_classes", C.department_weekly_classes(drates), ("department", "week_start"))
     return paths

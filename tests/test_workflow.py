@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 def test_workflow_writes_every_table(spark):
     paths = run_all(spark, SF)
     assert set(paths) == {"interim/population_2018-2022", "processed/cases", "processed/deaths",
-                          "figures/weekly_long", "figures/province_map", "figures/department_weekly_classes"}
+                          "figures/weekly_long", "figures/province_map", "figures/province_polygons", "figures/department_weekly_classes"}
     cases = io.read_delimited(spark, paths["processed/cases"], "cDl")   # the reference's "cDi" reload
     assert cases.columns == ["ubigeo", "week_start", "cases"]
     assert cases.count() == C.weekly_cases_from(spark, SF).count()
