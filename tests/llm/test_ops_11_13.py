@@ -227,3 +227,9 @@ def test_one_row_for_each_row(spark, op):
     assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in ODD + big)
     assert OPS[op](table_of(spark, [])).count() == 0
     assert OPS[op](table_of(spark, [(None, None)])).count() == 1
+
+
+def test_every_key_has_an_oracle_or_a_brute_force_test():
+    rows_only = {"op1_suffix_array_dedup", "op2_toxicity", "op3_license_scan", "op5_html_extraction", "op6_sentencepiece", "op8_url_filter", "op9_quality",
+                 "op12_periodic_runs"}
+    assert set(queries.QUERIES) - set(queries.ORACLE_SQL) == rows_only and len(queries.QUERIES) == 13
