@@ -6,8 +6,8 @@ C's ``%.{digits}g``: fixed notation when the decimal exponent is in
 neighbouring breaks print the same, one more digit is used, up to 12 (R's
 ``cut(dig.lab = 5)`` rule).
 
-Java's ``%g`` keeps trailing zeros, so the rule is built from ``%.Nf`` with
-a computed ``N``.  Everything is a Spark expression over the breaks array.
+Digits come from the exact decimal expansion of each break (``digits.py``), rounded
+with ties to even as C rounds them.  Everything is a Spark expression over the breaks array.
 """
 
 from __future__ import annotations
@@ -15,38 +15,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .digits import exact_digits, let, round_digits
+
 MAX_DIGITS = 12
 
 
 def _strip(s: Column) -> Column:
-    no_zeros = F.regexp_replace(s, "0+$", "")
-    return F.when(s.contains("."), F.regexp_replace(no_zeros, "\\.$", "")).otherwise(s)
+    return F.regexp_replace(s, "0+$", "")
+
 
+def _text(x: Column, rounded: Column, digits: Column) -> Column:
+    """``x`` in C's ``%g`` layout, given its rounded digits."""
+    def lay(r: Column) -> Column:
+        s, e = r["n"].cast("string"), r["e"]
+        point = lambda frac: F.when(frac == "", "").otherwise(F.concat(F.lit("."), frac))
+        power = F.abs(e).cast("string")
+        sci = F.concat(F.substring(s, 1, 1), point(_strip(F.substring(s, F.lit(2), digits))), F.lit("e"), F.when(e < 0, "-").otherwise("+"),
+                       F.when(F.length(power) < 2, F.concat(F.lit("0"), power)).otherwise(power))
+        large = F.concat(F.substring(s, F.lit(1), e + 1), point(_strip(F.substring(s, e + 2, digits))))
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), _strip(s))
+        return F.concat(F.when(x < 0, "-").otherwise(""), F.when((e < -4) | (e >= digits), sci).when(e >= 0, large).otherwise(small))
 
-def _fixed(x: Column, decimals: Column) -> Column:
-    return F.printf(F.concat(F.lit("%."), decimals.cast("string"), F.lit("f")), x)
+    plain = F.isnan(x) | (F.abs(x) == float("inf"))
+    return F.when(plain, x.cast("string")).when(x == 0, F.lit("0")).otherwise(let(rounded, lay))
 
 
 def format_g(x: Column, digits) -> Column:
-    """``x`` with ``digits`` significant digits, C ``%g`` style (digits: int or Column)."""
-    d = digits if isinstance(digits, Column) else F.lit(digits)
-    a = F.abs(x)
-    e0 = F.floor(F.log10(a))
-    mant = F.round(a / F.pow(F.lit(10.0), e0 - (d - 1)))
-    e = (e0 + F.when(mant >= F.pow(F.lit(10.0), d), 1).otherwise(0)).cast("int")
-    sci_m = _strip(_fixed(x / F.pow(F.lit(10.0), e), d - 1))
-    sci = F.concat(sci_m, F.lit("e"), F.when(e < 0, "-").otherwise("+"), F.lpad(F.abs(e).cast("string"), 2, "0"))
-    return (F.when(x == 0, F.lit("0"))
-             .when((e < -4) | (e >= d), sci)
-             .otherwise(_strip(_fixed(x, d - 1 - e))))
+    """``x`` with ``digits`` significant digits, as C's ``%g`` prints it (digits: int or Column)."""
+    d = (digits if isinstance(digits, Column) else F.lit(digits)).cast("int")
+    return let(x.cast("double"), lambda v: _text(v, round_digits(exact_digits(v), d), d))
 
 
 def break_texts(breaks: Column, dig_lab: int = 5) -> Column:
     """The breaks as text, with the fewest digits >= ``dig_lab`` that keep neighbours apart."""
-    cands = F.transform(F.sequence(F.lit(dig_lab), F.lit(MAX_DIGITS)),
-                        lambda d: F.transform(breaks, lambda b: format_g(b, d)))
-    fine = F.filter(cands, lambda t: F.size(F.array_distinct(t)) == F.size(t))
-    return F.coalesce(F.try_element_at(fine, F.lit(1)), F.element_at(cands, -1))
+    def choose(known: Column) -> Column:
+        cands = F.transform(F.sequence(F.lit(dig_lab), F.lit(MAX_DIGITS)),
+                            lambda d: F.transform(known, lambda b: _text(b["x"], round_digits(b["d"], d), d)))
+        return let(cands, lambda c: F.coalesce(
+            F.try_element_at(F.filter(c, lambda t: F.size(F.array_distinct(t)) == F.size(t)), F.lit(1)), F.element_at(c, -1)))
+
+    return let(F.transform(breaks, lambda b: F.struct(b.alias("x"), exact_digits(b).alias("d"))), choose)
 
 
 def interval_labels_from_texts(texts: Column) -> Column:

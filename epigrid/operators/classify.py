@@ -38,11 +38,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.digits import bits_double, double_bits
 from ..session import materialize
+from .partition import optimal_starts
 
-# Candidate points evaluated per segment in one pass of the Fisher search.
-FISHER_FANOUT = 64
-FISHER_BLOCK = 256     # ranks per join block
+RADIX = 16      # bits of a double that one counting pass of the quantiles settles
 
 
 # ----------------------------------------------------------------- helpers
@@ -110,16 +110,56 @@ def ranked_histogram(values: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- simple methods
+def order_statistics(values: DataFrame, wanted: Sequence[tuple[str, Column]]) -> DataFrame:
+    """(g, slot, n, x): the values at 1-based ranks, by radix selection.
+
+    ``wanted`` names slots and gives their rank as a column of ``n``, the number of values
+    of the group.  Doubles sort like their 64 bits once negative ones are turned round, so
+    four counting passes settle 16 bits each: values under the prefixes still in question are
+    counted by their next 16 bits (at most 65,536 counts a prefix), and each slot goes on
+    with the bucket that holds its rank.  Only counts are shuffled, never values.
+    """
+    bits = double_bits(F.col("x") + 0.0)
+    top = F.lit(2**63 - 1)
+    keyed = values.select("g", F.when(bits < 0, bits.bitwiseXOR(top)).otherwise(bits).alias("u"))
+    state = None
+    for left in range(64 - RADIX, -1, -RADIX):
+        pre = F.shiftright("u", left)
+        if state is None:
+            count = store(keyed.groupBy("g", pre.alias("pre")).agg(F.count("*").alias("w")), "radix").withColumn("up", F.lit(0).cast("long"))
+            total = count.groupBy("g").agg(F.sum("w").alias("n"))
+            slots = F.array(*[F.struct(F.lit(name).alias("slot"), rank.cast("long").alias("r")) for name, rank in wanted])
+            state = total.select("g", "n", F.explode(slots).alias("s")).select("g", "n", "s.slot", "s.r", F.lit(0).cast("long").alias("up"))
+        else:
+            asked = state.select("g", "up").distinct()      # stored: its size is known when the join is planned
+            under = keyed.withColumn("up", F.shiftright("u", left + RADIX)).join(asked, ["g", "up"], "left_semi")
+            count = under.groupBy("g", "up", pre.alias("pre")).agg(F.count("*").alias("w"))
+        before = F.coalesce(F.sum("w").over(Window.partitionBy("g", "up").orderBy("pre").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        placed = count.withColumn("before", before)
+        met = state.join(placed, ["g", "up"]).where((F.col("before") < F.col("r")) & (F.col("r") <= F.col("before") + F.col("w")))
+        state = store(met.select("g", "n", "slot", (F.col("r") - F.col("before")).alias("r"), F.col("pre").alias("up")), "radix")
+    u = F.col("up")
+    return state.select("g", "slot", "n", bits_double(F.when(u < 0, u.bitwiseXOR(top)).otherwise(u)).alias("x"))
+
+
 def quantile_breaks(values: DataFrame, k: int, ranked: DataFrame | None = None) -> DataFrame:
-    """B1: type-7 quantiles at 0, 1/k, ..., 1, exact."""
-    r = ranked if ranked is not None else ranked_histogram(values)
+    """B1: type-7 quantiles at 0, 1/k, ..., 1, exact.
+
+    Read off the ranks where a caller has them anyway, else by radix selection.
+    """
+    place = lambda n, t: (F.col(n) - 1) * F.lit(t / k) + 1
     aggs = []
-    for t in range(k + 1):
-        h = (F.col("tot") - 1) * F.lit(t / k) + 1
-        for name, pos in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-            covers = (F.col("c1") - F.col("w") < pos) & (pos <= F.col("c1"))
-            aggs.append(F.max(F.when(covers, F.col("x"))).alias(f"{name}{t}"))
-        aggs.append(F.first(h - F.floor(h)).alias(f"f{t}"))
+    if ranked is None:
+        wanted = [(f"{name}{t}", cut(place("n", t))) for t in range(k + 1) for name, cut in (("lo", F.floor), ("hi", F.ceil))]
+        r, total = order_statistics(values, wanted), "n"
+        aggs += [F.max(F.when(F.col("slot") == name, F.col("x"))).alias(name) for name, _ in wanted]
+    else:
+        r, total = ranked, "tot"
+        for t in range(k + 1):
+            for name, pos in (("lo", F.floor(place("tot", t))), ("hi", F.ceil(place("tot", t)))):
+                covers = (F.col("c1") - F.col("w") < pos) & (pos <= F.col("c1"))
+                aggs.append(F.max(F.when(covers, F.col("x"))).alias(f"{name}{t}"))
+    aggs += [F.first(place(total, t) - F.floor(place(total, t))).alias(f"f{t}") for t in range(k + 1)]
     a = r.groupBy("g").agg(*aggs)
     qs = [F.col(f"lo{t}") + F.col(f"f{t}") * (F.col(f"hi{t}") - F.col(f"lo{t}")) for t in range(k + 1)]
     return _finish(a, F.array(*qs))
@@ -209,107 +249,13 @@ def kmeans_breaks(values: DataFrame, k: int, seed: int = 1, groups: Sequence[str
 
 
 # ----------------------------------------------------------------- Fisher / Jenks
-def _passes(n: int, m: int, fanout: int) -> int:
-    """Number of narrowing passes layer ``m`` needs for ``n`` distinct values."""
-    longest, passes = n - m + 1, 0
-    while longest > 0:
-        passes += 1
-        span = longest - 1
-        if span < fanout:
-            break
-        cuts = [m + (span * t) // (fanout - 1) for t in range(fanout)]
-        longest = max(b - a - 1 for a, b in zip(cuts, cuts[1:]))
-    return passes
-
-
-def _fisher_layer(ranked: DataFrame, prev: DataFrame, m: int, only_last: bool, n_max: int) -> DataFrame:
-    """One layer of the optimal-partition recursion.
-
-    ``prev`` holds ``(g, idx, D, path)``: the best cost of splitting ranks
-    1..idx into m-1 classes and the start ranks of classes 2..m-1.  Returns the
-    same for m classes, ``D_m(j) = min_i D_{m-1}(i-1) + SSE(i..j)``.
-
-    The optimal start ``i`` never decreases as ``j`` grows, so instead of
-    pairing every j with every i we evaluate ``FISHER_FANOUT`` probe points
-    per segment, each over its current candidate range, then split the
-    segment between probes with the candidate range narrowed to the probes'
-    optima.  Each pass touches O(FANOUT * n) candidate pairs and there are
-    about log_FANOUT(n) passes (known in advance from n).  Ties go to the
-    smallest i.  Every pass is stored, so a failure repeats one pass only.
-
-    Candidates start from the ranked rows, which are distributed: a segment's
-    range of i is cut at multiples of ``FISHER_BLOCK`` ranks and meets the rows
-    of each block in a sort-merge join; each row then faces the segment's
-    probes.  The least cost comes first, the smallest i at that cost second, so
-    both aggregates hash plain numbers and partial results are combined before
-    the shuffle.
-    """
-    left = store(ranked.join(prev, ["g", "idx"]).select(
-        "g", (F.col("idx") + 1).alias("i"), F.col("c1").alias("a1"), F.col("c2").alias("a2"),
-        F.col("c3").alias("a3"), F.col("D").alias("dprev"), "path"), "fisher-layer")
-    block = lambda c: F.floor(F.col(c) / FISHER_BLOCK)
-    rows = left.drop("path").withColumn("blk", block("i"))
-    right = ranked.select("g", F.col("idx").alias("j"), F.col("c1").alias("b1"),
-                          F.col("c2").alias("b2"), F.col("c3").alias("b3"))
-    sizes = ranked.groupBy("g").agg(F.max("n").alias("n")).where(F.col("n") >= m)
-    first = F.col("n") if only_last else F.lit(m).cast("long")
-    segs = sizes.select("g", first.alias("jl"), F.col("n").cast("long").alias("jr"),
-                        F.lit(m).cast("long").alias("il"), F.col("n").cast("long").alias("ir"))
-    done = prev.select("g", "idx", "D", "path").where(F.lit(False))   # no group has m values: empty layer
-    B = FISHER_FANOUT
-    w = F.col("p.b1") - F.col("a1")
-    cost = F.col("dprev") + (F.col("p.b3") - F.col("a3")) - (F.col("p.b2") - F.col("a2")) ** 2 / w
-
-    def candidates(points: DataFrame, *extra: str) -> DataFrame:
-        """Every (probe, start) pair to weigh, with its cost ``c``."""
-        seg = (points.groupBy("g", "seg", "last", "il", "ir")
-                     .agg(F.collect_list(F.struct("j", "b1", "b2", "b3", *extra)).alias("probes")))   # at most B
-        pieces = seg.withColumn("blk", F.explode(F.sequence(block("il"), block("ir"))))
-        met = (pieces.hint("merge").join(rows, ["g", "blk"])
-                     .where((F.col("i") >= F.col("il")) & (F.col("i") <= F.col("ir"))))
-        return (met.select("g", "seg", "last", "i", "a1", "a2", "a3", "dprev", F.explode("probes").alias("p"))
-                   .where(F.col("i") <= F.col("p.j"))
-                   .select("g", "seg", "last", "i", F.col("p.j").alias("j"), cost.alias("c"),
-                           *[F.col(f"p.{e}").alias(e) for e in extra]))
-
-    for _ in range(1 if only_last else _passes(n_max, m, B)):
-        span = F.col("jr") - F.col("jl")
-        probes = F.when(span < B, F.sequence("jl", "jr")).otherwise(
-            F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(B - 1)),
-                                         lambda t: F.col("jl") + F.floor(span * t / (B - 1)).cast("long"))))
-        pts = (segs.select("g", F.col("jl").alias("seg"), (span < B).alias("last"), "il", "ir",
-                           F.explode(probes).alias("j"))
-                   .hint("merge").join(right, ["g", "j"]))
-        least = candidates(pts).groupBy("g", "seg", "j").agg(F.min("c").alias("D"))
-        at = candidates(pts.hint("merge").join(least, ["g", "seg", "j"]), "D").where(F.col("c") == F.col("D"))
-        won = at.groupBy("g", "seg", "last", "j", "D").agg(F.min("i").alias("opt"))
-        paths = left.select("g", F.col("i").alias("opt"), "path")
-        best = (won.hint("merge").join(paths, ["g", "opt"])
-                   .select("g", "seg", "j", "last", "D", "opt",
-                           F.concat("path", F.array("opt")).alias("path")))
-        best = store(best, "fisher-pass")
-        done = done.unionByName(best.select("g", F.col("j").alias("idx"), "D", "path"))
-        wn = Window.partitionBy("g", "seg").orderBy("j")
-        nxt = best.where(~F.col("last")).select(
-            "g", (F.col("j") + 1).alias("jl"), (F.lead("j").over(wn) - 1).alias("jr"),
-            F.col("opt").alias("il"), F.lead("opt").over(wn).alias("ir"))
-        segs = nxt.where(F.col("jr").isNotNull() & (F.col("jl") <= F.col("jr")))
-    return done
-
-
 def _optimal_starts(values: DataFrame, k: int, ranked: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Ranked histogram and, per group, the start ranks of classes 2..k."""
     ranked = ranked if ranked is not None else ranked_histogram(values)
-    n_max = ranked.agg(F.max("n")).first()[0] or 0       # one number: sizes the passes
-    layer = ranked.select("g", "idx", (F.col("c3") - F.col("c2") ** 2 / F.col("c1")).alias("D"),
-                          F.array().cast("array<long>").alias("path"))
-    for m in range(2, k + 1):
-        layer = _fisher_layer(ranked, layer, m, only_last=(m == k), n_max=n_max)
-    last = layer.join(ranked.select("g", "idx", "n"), ["g", "idx"]).where(F.col("idx") == F.col("n"))
     # groups with fewer than k distinct values: every value is its own class
     few = (ranked.where(F.col("n") < k).groupBy("g").agg(F.array_sort(F.collect_list("idx")).alias("all"))
                  .select("g", F.slice("all", 2, k).alias("path")))
-    return ranked, last.select("g", "path").unionByName(few)
+    return ranked, optimal_starts(ranked, k).unionByName(few)
 
 
 def _breaks_at(ranked: DataFrame, starts: DataFrame, kind: str) -> DataFrame:
@@ -377,7 +323,7 @@ def many_breaks(values: DataFrame, k: int, methods, groups: Sequence[str] | None
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    ranked = ranked_histogram(values) if any(m in RANKED_METHODS for m in methods) else None
+    ranked = ranked_histogram(values) if any(m in OPTIMAL_KINDS for m in methods) else None
 
     shared = [m for m in methods if m in OPTIMAL_KINDS]
     starts = _optimal_starts(values, k, ranked)[1] if len(shared) > 1 else None

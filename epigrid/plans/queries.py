@@ -18,6 +18,7 @@ from ..operators import project as P
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import io
+from ..sources.workbook import read_workbook, write_workbooks
 from . import oracles as O
 from . import pipelines as C
 from .catalog import register
@@ -285,6 +286,24 @@ def scan_skip_preamble(spark, sf):
     return io.read_sheet(spark, path, skip=5, names=fx.SHEET_COLUMNS)
 
 
+@register("scan_workbook", q("SELECT * FROM sheet", "sheet"))
+def scan_workbook(spark, sf):
+    """S5 from workbooks: the population sheet as four .xlsx files, each with the preamble."""
+    path = write_workbooks(fx.population_sheet(spark, sf).repartition(4), scratch_path(spark, "sheet-xlsx"), PREAMBLE)
+    return read_workbook(spark, path, fx.SHEET_COLUMNS, skip=5)
+
+
+_BROKEN = "CASE WHEN c1 LIKE '%3' THEN c2 || chr(10) || 'de \"' || c1 || '\"' || chr(10) WHEN c1 LIKE '%7' THEN '\"' || c2 ELSE c2 END"
+
+
+@register("scan_quoted_breaks", q(f"SELECT c1, {_BROKEN} AS c2, c3, c4, c5, c6, c7 FROM sheet", "sheet"))
+def scan_quoted_breaks(spark, sf):
+    """S5 with quotes and line breaks inside cells; some records cross the file splits."""
+    sheet = fx.population_sheet(spark, sf).withColumn("c2", F.expr(_BROKEN))
+    path = io.write_with_preamble(sheet.repartition(4), scratch_path(spark, "sheet-breaks"), PREAMBLE)
+    return io.read_sheet(spark, path, skip=5, names=fx.SHEET_COLUMNS)
+
+
 @register("scan_dimension", q("SELECT * FROM district_map", "district_map"))
 def scan_dimension(spark, sf):
     path = io.write_table(fx.district_map(spark, sf), scratch_path(spark, "districts-parquet"), fmt="parquet")

@@ -15,11 +15,12 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import Selector, select_names
+from ..session import materialize
 
 TYPE_LETTERS: dict[str, T.DataType] = {
     "c": T.StringType(), "i": T.IntegerType(), "d": T.DoubleType(), "D": T.DateType(),
@@ -70,24 +71,70 @@ def read_line_list(spark: SparkSession, path: str, types: str, sep: str = ";") -
     return read_delimited(spark, path, types, sep=sep)
 
 
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, file, block, row): the lines of text files with their split and their order in it."""
+    return (spark.read.option("lineSep", "\n").text(path)
+                 .select("value", F.col("_metadata.file_path").alias("file"),
+                         F.col("_metadata.file_block_start").alias("block"),
+                         F.monotonically_increasing_id().alias("row")))
+
+
+def quoted_records(lines: DataFrame) -> DataFrame:
+    """(value): whole records from the lines of delimited text, where quoted cells may hold line breaks.
+
+    A line break ends a record when the quotes before it in the file are even in number, so
+    lines with an odd number of quotes open and close records in turn.  One small pass counts
+    them in every file split; a running sum over a file's splits gives the state in which each
+    split begins.  Only the odd lines are numbered (a split's at a time) and paired; the lines
+    from an opening to its closing line are brought together by an equi-join on their row, at
+    and across split borders.  All other lines pass through where they were read.  A quote
+    that is never closed holds the rest of its file, as in a whole-file read.
+
+    ``lines`` has value, file, block and row, as a text scan numbers them.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    odd = (quotes % 2 == 1).cast("long")
+    out = lambda df: df.select(F.regexp_replace("value", r"\r$", "").alias("value"))
+    splits = materialize(lines.groupBy("file", "block").agg(F.sum(odd).alias("k"), F.min("row").alias("lo"), F.max("row").alias("hi")), "splits")
+    if splits.where("k > 0").isEmpty():
+        return out(lines)
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begin = splits.withColumn("begin", F.coalesce(F.sum("k").over(earlier), F.lit(0))).where("k > 0").select("file", "block", "begin")
+    turn = F.col("begin") + F.row_number().over(Window.partitionBy("file", "block").orderBy("row"))
+    marks = materialize(lines.where(odd == 1).select("file", "block", "row").join(begin, ["file", "block"])
+                        .select("file", "block", "row", turn.alias("turn")), "quotes")
+    rec = F.floor((F.col("turn") + 1) / 2).alias("rec")
+    opened = marks.where("turn % 2 = 1").select("file", rec, F.col("block").alias("b1"), F.col("row").alias("r1"))
+    closed = marks.where("turn % 2 = 0").select("file", rec, F.col("block").alias("b2"), F.col("row").alias("r2"))
+    spans = opened.join(closed, ["file", "rec"], "left")
+    # most records lie in one split; at most one crosses each border
+    inner = spans.where("b1 = b2").select("rec", F.explode(F.sequence("r1", "r2")).alias("row"))
+    border = spans.where("b2 IS NULL OR b1 <> b2").join(splits, "file").where("block >= b1 AND (b2 IS NULL OR block <= b2)")
+    first = F.when(F.col("block") == F.col("b1"), F.col("r1")).otherwise(F.col("lo"))
+    last = F.when(F.col("block") == F.col("b2"), F.col("r2")).otherwise(F.col("hi"))
+    members = materialize(inner.unionByName(border.select("rec", F.explode(F.sequence(first, last)).alias("row"))), "records")
+    marked = lines.join(members, "row", "left")
+    parts = marked.where("rec IS NOT NULL").groupBy("file", "rec").agg(F.array_sort(F.collect_list(F.struct("block", "row", "value"))).alias("l"))
+    joined = parts.select(F.array_join(F.transform("l", lambda v: v["value"]), "\n").alias("value"))
+    return out(marked.where("rec IS NULL").select("value").unionByName(joined))
+
+
 def read_sheet(spark: SparkSession, path: str, skip: int, names: Sequence[str], sep: str = ",") -> DataFrame:
     """Headerless sheet export; drop the first ``skip`` lines of every file.
 
     Each file's first split is identified by ``_metadata.file_block_start = 0``;
     line positions inside it come from ``monotonically_increasing_id``, which
     numbers the rows of one input partition consecutively.  Only the first
-    ``skip`` rows of each file are dropped; the rest is parsed with
-    ``from_csv`` on the executors.
+    ``skip`` lines of each file are dropped; the rest is put together into records
+    (quoted cells may hold line breaks) and parsed with ``from_csv`` on the executors.
     """
-    lines = (spark.read.text(path)
-                  .select("value", F.col("_metadata.file_path").alias("__f"),
-                          F.col("_metadata.file_block_start").alias("__b"),
-                          F.monotonically_increasing_id().alias("__r")))
-    starts = lines.where(F.col("__b") == 0).groupBy("__f").agg(F.min("__r").alias("__r0"))
-    body = (lines.join(starts, "__f", "left")
-                 .where((F.col("__b") > 0) | (F.col("__r") - F.col("__r0") >= skip)))
+    lines = _numbered_lines(spark, path)
+    starts = lines.where(F.col("block") == 0).groupBy("file").agg(F.min("row").alias("r0"))
+    body = (lines.join(starts, "file", "left")
+                 .where((F.col("block") > 0) | (F.col("row") - F.col("r0") >= skip)).drop("r0"))
     schema = ", ".join(f"`{n}` STRING" for n in names)
-    parsed = body.select(F.from_csv("value", schema, {"sep": sep, "nullValue": "NA"}).alias("__row"))
+    options = {"sep": sep, "nullValue": "NA", "escape": '"'}
+    parsed = quoted_records(body).select(F.from_csv("value", schema, options).alias("__row"))
     return _na_to_null(parsed.select("__row.*"))
 
 

@@ -35,7 +35,7 @@ def _brute(xs, k):
 
 @pytest.mark.parametrize("k,seed", [(3, 1), (4, 2), (4, 3)])
 def test_fisher_and_jenks_match_brute_force(spark, k, seed, monkeypatch):
-    monkeypatch.setattr(B, "FISHER_FANOUT", 4)    # force several narrowing passes on small data
+    monkeypatch.setattr(B.optimal_starts, "__defaults__", (4,))    # force several pruning rounds on small data
     rnd = random.Random(seed)
     xs = [round(rnd.expovariate(0.3), 1) for _ in range(40)]
     starts, ends = _brute(xs, k)
