@@ -105,13 +105,26 @@ def scratch_scope(spark: SparkSession):
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _CREATED[mark:]:
-            if path in _KEPT:
-                continue
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            fs = p.getFileSystem(conf)
-            if fs.exists(p):
-                fs.delete(p, True)
-        del _CREATED[mark:]
+        remove_scratch(spark, _CREATED[mark:])
+
+
+def scratch_mark() -> int:
+    """How many scratch folders there are; ``scratch_since`` lists those created after it."""
+    return len(_CREATED)
+
+
+def scratch_since(mark: int) -> list[str]:
+    return [p for p in _CREATED[mark:] if p not in _KEPT]
+
+
+def remove_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Remove scratch folders of this session, but for kept ones; nothing may read from them any more."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in [p for p in paths if p not in _KEPT]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+        if path in _CREATED:
+            _CREATED.remove(path)
