@@ -18,7 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once below ``spark.checkpoint.dir`` and read back."""
+    """``df`` written once below ``spark.checkpoint.dir`` and read back.
+
+    From then on the session lets Spark remove the shuffle files of a job when the job ends:
+    what follows reads the stored table, and a chain of such jobs would fill the disks.
+    """
+    df.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return materialize(df, f"llm-{name}")
 
 

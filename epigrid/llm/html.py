@@ -268,5 +268,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     own = (rows.filter("host <> '' AND html IS NOT NULL").select("host", "key", "html")
            .mapInPandas(_nodes, "host string, key binary, nodes array<long>").select("host", "key", F.explode("nodes").alias("node")))
     found = own.join(noise, ["host", "node"]).groupBy("host", "key").agg(F.collect_set("node").alias("noise"))
-    return (rows.join(found, ["host", "key"], "left").select("page_id", "url", "html", "noise")
-            .mapInPandas(_texts, "page_id long, url string, text string, n_chars long"))
+    # ids travel as text: pandas would turn a column with nulls to floats, which cannot hold large ids
+    return (rows.join(found, ["host", "key"], "left").select(F.col("page_id").cast("string").alias("page_id"), "url", "html", "noise")
+            .mapInPandas(_texts, "page_id string, url string, text string, n_chars long")
+            .withColumn("page_id", F.col("page_id").cast("long")))

@@ -21,8 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import RangeHash, crc_mod, ranges
 from .nets import Adam, sigmoid
@@ -34,7 +36,29 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 def passages(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(features of all passages, number of passages of each text)."""
-    raw = [(t or "").encode("utf-8", "replace") for t in texts]
+    return byte_passages([(t or "").encode("utf-8", "replace") for t in texts])
+
+
+def sliced_passages(raw: bytes, most: int) -> Iterator[np.ndarray]:
+    """The features of one long text's passages, worked out slice by slice.
+
+    A slice reads back over the three words before it and on to the end of its last word, so
+    each passage comes out as if the text were read at once.
+    """
+    step = max(PASSAGE, most // PASSAGE * PASSAGE)
+    spaces = [bytes([c]) for c in np.flatnonzero(_SPACE)]
+    for a in range(0, len(raw), step):
+        b, lo = min(len(raw), a + step), a
+        for _ in range(3):
+            while lo and _SPACE[raw[lo - 1]]:
+                lo -= 1
+            lo = 1 + max(raw.rfind(c, 0, lo) for c in spaces)
+        hi = min((k for k in (raw.find(c, b) for c in spaces) if k >= 0), default=len(raw)) if b < len(raw) and not _SPACE[raw[b - 1]] else b
+        lo = lo // PASSAGE * PASSAGE
+        yield byte_passages([raw[lo:hi]])[0][(a - lo) // PASSAGE: -(-(b - lo) // PASSAGE)]
+
+
+def byte_passages(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     size = np.array([len(r) for r in raw], np.int64)
     count = np.maximum(1, -(-size // PASSAGE))
     buf = np.frombuffer(b"".join(raw), np.uint8)
@@ -115,10 +139,7 @@ def mil_scores(net: dict[str, np.ndarray], texts: list[str | None], most: int =
             size += len(texts[k] or "")
             k += 1
         if len(group) == 1 and size > most:     # a very long text goes through the encoder in slices
-            raw = group[0].encode("utf-8", "replace")
-            step = most // PASSAGE * PASSAGE
-            parts = [passages([raw[i: i + step].decode("utf-8", "ignore")])[0] for i in range(0, len(raw), step)]
-            H = np.concatenate([np.tanh(x @ net["W"] + net["b"]) for x in parts])
+            H = np.concatenate([np.tanh(x @ net["W"] + net["b"]) for x in sliced_passages(group[0].encode("utf-8", "replace"), most)])
             count = np.array([len(H)])
         else:
             x, count = passages(group)
@@ -152,20 +173,27 @@ def train_quality(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 3,
-                   held_out: int = 1, train_rows: int = TRAIN_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row, with the columns named in ``keep``."""
-    rows = docs.withColumns({"doc_id": F.col(id_col), "text": F.col(text_col).cast("string")})
-    labels = labels.select(F.col(id_col).alias("doc_id"), "quality")
-    net = train_quality(rows, labels, folds, held_out, train_rows)
+                   held_out: int = 1, train_rows: int = TRAIN_ROWS, keep: tuple[str, ...] | None = None, prefix: str = "") -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row.
+
+    With ``keep`` the columns named there take the place of doc_id, unchanged; ``prefix`` goes
+    before the names of the other three.
+    """
+    doc, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    net = train_quality(docs.select(doc.alias("doc_id"), text.alias("text")), labels.select(F.col(id_col).alias("doc_id"), "quality"), folds, held_out, train_rows)
     model = docs.sparkSession.sparkContext.broadcast(net)
-    extra = [c for c in keep if c not in ("doc_id",)]
-    schema = "".join(f", `{c}` {dict(rows.dtypes)[c]}" for c in extra)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            s = mil_scores(model.value, list(pdf["text"])) if model.value is not None else np.ones(len(pdf))
-            out = pdf[["doc_id", "held_out"]].assign(score=s, predicted=(s >= 0.5).astype(np.int32))
-            yield pd.concat([out, pdf[extra]], axis=1)
-
-    cols = ["doc_id", (crc_mod("doc_id", folds) == held_out).alias("held_out"), "text", *[c for c in extra if c != "text"]]
-    return rows.select(*cols).mapInPandas(score, f"doc_id long, held_out boolean, score double, predicted int{schema}")
+    names = [f"{prefix}{c}" for c in ("held_out", "score", "predicted")]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(k, 1024) for b in batches for k in range(0, b.num_rows, 1024)):
+            kept = batch.num_columns - 2
+            texts = batch.column(kept).to_pylist()
+            s = mil_scores(model.value, texts) if model.value is not None else np.ones(len(texts))
+            columns = [*batch.columns[:kept], batch.column(kept + 1), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:kept], *names])
+
+    own = [F.col(f"`{c}`") for c in keep] if keep is not None else [doc.alias("doc_id")]
+    fold = crc_mod(id_col, folds) == held_out
+    rows = docs.select(*own, text.alias(f"{prefix}text_"), fold.alias(f"{prefix}fold_"))
+    schema = T.StructType([*rows.schema.fields[:-2], *(T.StructField(n, t) for n, t in zip(names, (T.BooleanType(), T.DoubleType(), T.IntegerType()), strict=True))])
+    return rows.mapInArrow(score, schema)

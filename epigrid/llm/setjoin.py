@@ -20,12 +20,14 @@ plus one.
    are split: all blocks meet the first one, then only blocks that still hold different
    components meet each other, so every pair that could join two components is compared.
 
-Components come from the exact links.  Equal texts are one node throughout.
+Components come from the exact links.  A node is a distinct text, numbered by its chunk and
+its place there; ids come in at the end, when the texts of one id are joined.
 
 Defined results: null, empty and wordless texts have an empty set and link with nothing; a
-null id is larger than all others, and a component of nulls alone has a null id; rows that
-share one id are one document for linking; repeated rows stay repeated; an empty table
-gives no rows; other columns are ignored.  Shingles are compared by 64-bit hash.
+null id is larger than all others (the id 2**63 - 1 stands for it), its rows are documents of
+their own, and a component of nulls alone has a null id; rows that share one id are one
+document for linking, whatever their texts; repeated rows stay repeated; an empty table gives
+no rows; other columns are ignored.  Shingles are compared by 64-bit hash.
 """
 
 from __future__ import annotations
@@ -38,12 +40,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import Chunk, ask_shared, bucket_slices, chunk_count, chunk_of, first_copies, first_rows, packed, prepared, shared_mask
+from .chunks import NO_ID, Chunk, ask_shared, bucket_slices, chunk_count, chunk_of, first_copies, first_rows, packed, prepared, shared_mask
 from .common import RangeHash, U64, mix64, pieces_for, ranges, runs, store
 from .graph import components
 
 SHINGLE, REGION, BLOCK = 5, 1 << 17, 256
-NULLS = 2**63 - 1 - 2**41       # ids from here on stand for null ids
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
@@ -193,8 +194,12 @@ class Signatures:
         return keep[self.part]
 
 
-def possible_groups(sig: np.ndarray, node: np.ndarray, flag: np.ndarray, size: np.ndarray, maps: list[np.ndarray]) -> dict[int, int]:
-    """Parent of each node in the forest of pairs that share a signature and pass the bitmaps."""
+def possible_groups(sig: np.ndarray, node: np.ndarray, flag: np.ndarray, size: np.ndarray, first: np.ndarray, width: np.ndarray,
+                    pool: np.ndarray) -> dict[int, int]:
+    """Parent of each node in the forest of pairs that share a signature and pass the bitmaps.
+
+    An entry's bitmap is ``pool[first: first + width]``; entries of one signature are of one band and width.
+    """
     parent: dict[int, int] = {}
 
     def find(x):
@@ -217,7 +222,7 @@ def possible_groups(sig: np.ndarray, node: np.ndarray, flag: np.ndarray, size: n
         at = at[np.argsort(node[at], kind="stable")]
         if len({find(int(x)) for x in node[at]}) == 1:
             continue
-        words = np.stack([maps[k] for k in at])
+        words = pool[first[at][:, None] + np.arange(width[at[0]])]
         sz, fl = size[at], flag[at]
         rest = np.arange(len(at))
         while len(rest):
@@ -285,43 +290,48 @@ def exact_links(ids: np.ndarray, sets: list[np.ndarray], label: np.ndarray | Non
 def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
     out = []
     for _, g in pdf.groupby("comp", sort=False):
-        g = g.drop_duplicates("doc_id")
-        out += exact_links(g["doc_id"].to_numpy(np.int64), [np.frombuffer(x, U64) for x in g["words"]], g["label"].to_numpy(np.int64))
+        g = g.drop_duplicates("node")
+        out += exact_links(g["node"].to_numpy(np.int64), [np.frombuffer(x, U64) for x in g["words"]], g["label"].to_numpy(np.int64))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
 def _sets(members: DataFrame, sets: DataFrame) -> DataFrame:
-    return members.join(sets, "doc_id").groupBy("key").applyInPandas(_verify, "a long, b long")
+    return members.join(sets, "node").groupBy("key").applyInPandas(_verify, "a long, b long")
 
 
 def _list_groups(key, pdf: pd.DataFrame) -> pd.DataFrame:
     undo = zstandard.ZstdDecompressor()
-    sig, node, flag, size, maps = [], [], [], [], []
+    entries, held = [[] for _ in range(6)], 0
+    pool = np.empty(sum(zstandard.frame_content_size(c) for c in pdf["c"]) // 8, U64)     # room for all bitmaps, a little too large
     for a, b, c in zip(pdf["a"], pdf["b"], pdf["c"], strict=True):
-        sig.append(np.frombuffer(a, U64))
-        n = len(sig[-1])
+        n = len(a) // 8
         raw, rows = undo.decompress(b), undo.decompress(c)
         at = np.frombuffer(raw, np.uint32, n)
-        flag.append(np.frombuffer(raw, np.uint8, n, 4 * n))
         k = int(at.max()) + 1
         table = np.frombuffer(rows, np.int64, 3 * k).reshape(3, k)
-        node.append(table[0][at])
-        size.append(table[1][at])
-        own = np.split(np.frombuffer(rows, U64, -1, 24 * k), np.cumsum(table[2])[:-1])
-        maps += [own[i] for i in at.tolist()]
-    forest = possible_groups(*(np.concatenate(x) for x in (sig, node, flag, size)), maps)
+        first = held + np.cumsum(table[2]) - table[2]
+        columns = (np.frombuffer(a, U64), table[0][at], np.frombuffer(raw, np.uint8, n, 4 * n), table[1][at].astype(np.int32), first[at], table[2][at].astype(np.int32))
+        for into, x in zip(entries, columns, strict=True):
+            into.append(x)
+        bits = np.frombuffer(rows, U64, -1, 24 * k)
+        pool[held: held + len(bits)] = bits
+        held += len(bits)
+    flat = []
+    while entries:
+        flat.append(np.concatenate(entries.pop(0)))
+    forest = possible_groups(*flat, pool)
     return pd.DataFrame([(a, b) for a, b in forest.items() if a != b], columns=["a", "b"], dtype="int64")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, dig, stays) of every row.
 
-    ``dig`` is the digest of its text; ``stays`` marks the document that its component is named after.
+    ``dig`` is the digest of its text; ``stays`` marks the id and text that stand for its
+    component, and all rows that link with nothing because they have no words.
     """
     rows = prepared(docs, id_col, text_col)
-    rows = rows.withColumn("doc_id", F.when(F.col("doc_id") == 2**63 - 1, F.lit(NULLS) + F.pmod(F.xxhash64("dig"), F.lit(2**41))).otherwise(F.col("doc_id")))
     n = chunk_count(rows)
-    lists = max(24, n // 4)
+    lists = n
     ids = rows.select("doc_id", "dig")
     firsts = store(first_copies(ids), "firsts")
     holds = first_rows(firsts, n)
@@ -343,7 +353,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def send(key, pdf: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         c = Chunk(pdf, right[right["kind"] == 0])
         s = signed(c)
-        out = [(0, -1, c.ids.tobytes(), np.array(s.size, np.int64).tobytes(), b"".join(d for _, d in c.keys))]
+        out = [(0, key[0], c.ids.tobytes(), np.array(s.size, np.int64).tobytes(), b"".join(d for _, d in c.keys))]
         keys = np.unique(s.sig)
         shared, level = shared_mask(right, keys, n)
         at = np.searchsorted(keys, s.sig)
@@ -366,7 +376,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         for b, i, j in bucket_slices(sig, lists):
             mine, at = np.unique(entry[i:j], return_inverse=True)      # a set's size and bitmap once per list task
             d = s.doc[mine]
-            table = np.stack([c.ids[d], s.size[d], np.array([len(words[e]) for e in mine.tolist()], np.int64)])
+            table = np.stack([(int(key[0]) << 32) + d, s.size[d], np.array([len(words[e]) for e in mine.tolist()], np.int64)])
             out.append((1, b, sig[i:j].tobytes(), press.compress(at.astype(np.uint32).tobytes() + flag[i:j].astype(np.uint8).tobytes()),
                         press.compress(table.tobytes() + np.concatenate([words[e] for e in mine.tolist()]).tobytes())))
         return pd.DataFrame(out, columns=["kind", "list", "a", "b", "c"])
@@ -376,61 +386,73 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         send, "kind int, list int, a binary, b binary, c binary"), "signatures")
 
     possible = sent.filter("kind = 1").groupBy("list").applyInPandas(_list_groups, "a long, b long")
-    found = components(possible).select(F.col("node").alias("doc_id"), F.col("label").alias("comp"))
+    found = components(possible).withColumnRenamed("label", "comp")
     members = store(found.join(found.groupBy("comp").agg(F.count("*").alias("n")), "comp"), "members")
 
     def member_sets(key, pdf: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         c = Chunk(pdf, right)
         flat, size = shingle_sets(c.buf, c.starts, c.lens)
         end = np.cumsum(size)
-        return pd.DataFrame([(i, flat[e - n: e].tobytes()) for i, e, n in zip(c.ids.tolist(), end.tolist(), size.tolist(), strict=True)],
-                            columns=["doc_id", "words"])
+        node = dict(zip(zip(right["doc_id"], right["dig"], strict=True), right["node"], strict=True))
+        return pd.DataFrame([(node[k], flat[e - n: e].tobytes()) for k, e, n in zip(c.keys, end.tolist(), size.tolist(), strict=True)],
+                            columns=["node", "words"])
 
-    wanted = holds.join(members.select("doc_id"), "doc_id", "left_semi").select("chunk", "doc_id", "dig")
-    sets = chunks.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInPandas(member_sets, "doc_id long, words binary")
+    def unpack_nodes(batches):
+        for pdf in batches:
+            for chunk, a, b, c in zip(pdf["list"], pdf["a"], pdf["b"], pdf["c"], strict=True):
+                yield pd.DataFrame({"node": (int(chunk) << 32) + np.arange(len(a) // 8), "first": np.frombuffer(a, np.int64),
+                                    "n_shingles": np.frombuffer(b, np.int64), "dig": [c[i: i + 32] for i in range(0, len(c), 32)]})
+
+    nodes = sent.filter("kind = 0").select("list", "a", "b", "c").mapInPandas(unpack_nodes, "node long, first long, n_shingles long, dig binary")
+    wanted = nodes.join(members.select("node"), "node", "left_semi").select(
+        F.shiftright("node", 32).cast("int").alias("chunk"), F.col("first").alias("doc_id"), "dig", "node")
+    sets = chunks.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInPandas(member_sets, "node long, words binary")
     sets = store(sets, "sets")
     total, in_large = members.agg(F.count("*"), F.count(F.when(F.col("n") > block, 1))).first()
     bins = pieces_for(total, 512, 24)
     dealt = lambda col, parts: F.pmod(F.xxhash64(col), parts)
     small = members.filter(F.col("n") <= block).select(
-        F.concat(F.lit("s"), dealt("comp", F.lit(bins))).alias("key"), "doc_id", "comp", F.col("doc_id").alias("label"))
+        F.concat(F.lit("s"), dealt("comp", F.lit(bins))).alias("key"), "node", "comp", F.col("node").alias("label"))
     blocks = F.ceil(F.col("n") / block)
-    large = members.filter(F.col("n") > block).withColumn("blk", dealt("doc_id", blocks))
-    first = large.select("comp", "doc_id", F.explode(
+    large = members.filter(F.col("n") > block).withColumn("blk", dealt("node", blocks))
+    first = large.select("comp", "node", F.explode(
         F.when(F.col("blk") == 0, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array("blk"))).alias("to"))
-    first = first.select(F.concat_ws("-", F.lit("f"), "comp", "to").alias("key"), "doc_id", "comp", F.col("doc_id").alias("label"))
+    first = first.select(F.concat_ws("-", F.lit("f"), "comp", "to").alias("key"), "node", "comp", F.col("node").alias("label"))
     links = store(_sets(small.unionByName(first), sets), "links")
     if in_large:
-        known = components(links).select(F.col("node").alias("doc_id"), "label")
-        rest = large.select("comp", "doc_id").join(known, "doc_id", "left").select("comp", "doc_id", F.coalesce("label", "doc_id").alias("label"))
+        known = components(links).select("node", "label")
+        rest = large.select("comp", "node").join(known, "node", "left").select("comp", "node", F.coalesce("label", "node").alias("label"))
         weight = rest.groupBy("comp", "label").agg(F.count("*").alias("w"))
         few = weight.filter(F.col("w") <= block).groupBy("comp").agg(F.sum("w").alias("few"))
         weight = weight.join(few, "comp", "left")
         # large components fill blocks of their own; documents of small ones share blocks
-        own = F.concat_ws("-", F.lit("a"), "label", dealt("doc_id", F.ceil(F.col("w") / block)))
+        own = F.concat_ws("-", F.lit("a"), "label", dealt("node", F.ceil(F.col("w") / block)))
         shared = F.concat_ws("-", F.lit("b"), dealt("label", F.ceil(F.col("few") / block)))
         rest = store(rest.join(weight, ["comp", "label"]).select(
-            "comp", "doc_id", "label", F.when(F.col("w") > block, own).otherwise(shared).alias("blk")), "rest")
+            "comp", "node", "label", F.when(F.col("w") > block, own).otherwise(shared).alias("blk")), "rest")
         kinds = rest.groupBy("comp", "blk").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
         one, two = kinds.alias("x"), kinds.alias("y")
         pairs = (one.join(two, (F.col("x.comp") == F.col("y.comp")) & (F.col("x.blk") <= F.col("y.blk")))
                  .filter((F.col("x.lo") != F.col("x.hi")) | (F.col("y.lo") != F.col("y.hi")) | (F.col("x.lo") != F.col("y.lo")))
                  .select(F.col("x.comp").alias("comp"), F.concat_ws("-", F.lit("p"), "x.comp", "x.blk", "y.blk").alias("key"),
                          F.explode(F.array_distinct(F.array("x.blk", "y.blk"))).alias("blk")))
-        more = _sets(pairs.join(rest, ["comp", "blk"]).select("key", "doc_id", "comp", "label"), sets)
+        more = _sets(pairs.join(rest, ["comp", "blk"]).select("key", "node", "comp", "label"), sets)
         links = links.unionByName(more)
+    # the texts of one id are one document
+    worded = nodes.filter("n_shingles > 0")
+    several = (ids.filter(F.col("doc_id") != NO_ID).groupBy("doc_id").agg(F.min("dig").alias("lo"), F.max("dig").alias("hi"))
+               .filter("lo <> hi").select("doc_id"))
+    if not several.isEmpty():
+        texts = ids.join(several, "doc_id").distinct().join(worded.select("dig", "node"), "dig").select("doc_id", "node")
+        links = links.unionByName(texts.join(texts.groupBy("doc_id").agg(F.min("node").alias("b")), "doc_id").select(F.col("node").alias("a"), "b"))
     final = components(links)
-
-    def unpack_sizes(batches):
-        for pdf in batches:
-            for a, b, c in zip(pdf["a"], pdf["b"], pdf["c"], strict=True):
-                yield pd.DataFrame({"first": np.frombuffer(a, np.int64), "n_shingles": np.frombuffer(b, np.int64),
-                                    "dig": [c[i: i + 32] for i in range(0, len(c), 32)]})
-
-    sizes = sent.filter("kind = 0").select("a", "b", "c").mapInPandas(unpack_sizes, "first long, n_shingles long, dig binary")
-    named = sizes.join(final, sizes["first"] == final["node"], "left").select(
-        "dig", "n_shingles", F.coalesce("label", "first").alias("component_id"))
-    real = lambda c: F.when(F.col(c) < NULLS, F.col(c))
-    out = ids.join(named, "dig").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-    stays = (F.col("component_id") == F.col("doc_id")).alias("stays")
-    return out.select(real("doc_id").alias("doc_id"), "n_shingles", real("component_id").alias("component_id"), "dig", stays)
+    linked = worded.join(final, "node")
+    named = linked.groupBy("label").agg(F.min(F.struct("first", "dig")).alias("rep"))
+    linked = linked.join(named, "label").select("dig", "n_shingles", "rep")
+    alone = nodes.join(final, "node", "left_anti").select("dig", "n_shingles", F.struct("first", "dig").alias("rep"))
+    out = ids.join(linked.unionByName(alone), "dig")
+    bare = F.col("n_shingles") == 0
+    component = F.when(bare, F.col("doc_id")).otherwise(F.col("rep.first"))
+    stays = bare | ((F.col("doc_id") == F.col("rep.first")) & (F.col("dig") == F.col("rep.dig")))
+    real = lambda c: F.when(c != NO_ID, c)
+    return out.select(real(F.col("doc_id")).alias("doc_id"), "n_shingles", real(component).alias("component_id"), "dig", stays.alias("stays"))

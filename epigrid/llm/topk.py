@@ -103,7 +103,8 @@ def _pair(k: int, scale: int):
             both = _matrix([*queries["vec"], *cands["vec"]], scale)
             Q, X = both[: len(queries)], both[len(queries):]
             qid, ids = queries["vec_id"].to_numpy(np.int64), cands["vec_id"].to_numpy(np.int64)
-            _, first = np.unique(np.column_stack([ids.astype(np.float64), X]), axis=0, return_index=True) \
+            # repeated rows count once; ids and vectors are compared by their bits (+ 0.0: no negative zero)
+            _, first = np.unique(np.column_stack([ids, (np.ascontiguousarray(X) + 0.0).view(np.int64).reshape(len(ids), -1)]), axis=0, return_index=True) \
                 if len(np.unique(ids)) < len(ids) else (None, np.arange(len(ids)))
             X, ids = np.asfortranarray(X[first]), ids[first]
             exact = np.abs(X).max(initial=0) * np.abs(Q).max(initial=0) * max(1, X.shape[1]) < 2.0**52

@@ -145,5 +145,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             s = np.array([scorer(t) for t in pdf["text"]])
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": s, "predicted": (s >= 0.5).astype(np.int32)})
 
-    return (rows.select("doc_id", (crc_mod("doc_id", folds) == 0).alias("held_out"), "text")
-            .mapInPandas(score, "doc_id long, held_out boolean, score double, predicted int"))
+    # ids travel as text: pandas would turn a column with nulls to floats, which cannot hold large ids
+    return (rows.select(F.col("doc_id").cast("string").alias("doc_id"), (crc_mod("doc_id", folds) == 0).alias("held_out"), "text")
+            .mapInPandas(score, "doc_id string, held_out boolean, score double, predicted int")
+            .withColumn("doc_id", F.col("doc_id").cast("long")))
