@@ -3,10 +3,20 @@
 Order: quality classifier, n-gram Jaccard join, suffix-array dedup, benchmark
 decontamination, SentencePiece encoding.  Every stage works on all rows its predecessor kept,
 and all but the last return the columns of ``documents``.
+
+Defined results of every stage: null texts count as empty and stay (the quality classifier
+judges them like any empty text); null ids stay null and are larger than all others; of
+repeated rows the near-duplicate stage keeps one, the others treat each alike; ties go to the
+smaller id; texts of any length are read whole; an empty table gives an empty table; further
+columns of any name are handed on unchanged (names that begin with an underscore may not
+repeat a stage's own helpers ``_dig``, ``_id``, ``_cut``, ``_often`` and ``_kept``).
 """
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,21 +26,52 @@ from epigrid.llm.dedup import repeated_spans
 from epigrid.llm.pieces import encode
 from epigrid.llm.quality import quality_scores
 from epigrid.llm.setjoin import jaccard_components
+from epigrid.session import remove_scratch, scratch_mark, scratch_since
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: scratch folders of the stage that ran last
+_LEFT: list[str] = []
+
+
+def frugal(work: Stage) -> Stage:
+    """A stage that first removes what the stage before it stored on the way.
+
+    A stage's result is written before the next stage runs, so nothing reads those folders any
+    more; folders that the given documents still read stay.
+    """
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles()
+        remove_scratch(spark, [p for p in _LEFT if not any(os.path.basename(p) in f for f in read)])
+        mark = scratch_mark()
+        out = work(spark, docs, sf_dir)
+        _LEFT[:] = scratch_since(mark)
+        return out
+
+    return stage
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    scored = quality_scores(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
-    return scored.filter("predicted = 1").select(docs.columns)
+    mark = "_" + max(docs.columns, key=len)         # no column of the input starts like this
+    scored = quality_scores(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns), prefix=mark)
+    return scored.filter(F.col(f"{mark}predicted") == 1).select(docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    gone = jaccard_components(docs).filter("NOT stays").select("doc_id", "dig").distinct()
+    """Of each group of near duplicates the document with the smallest id stays, once (null ids after all others)."""
+    found = store(jaccard_components(docs), "components")
+    gone = found.filter("NOT stays").select("doc_id", "dig").distinct().withColumn("often", F.lit(False))
+    often = (found.filter("stays AND n_shingles > 0").groupBy("doc_id", "dig").agg(F.count("*").alias("n")).filter("n > 1")
+             .select("doc_id", "dig", F.lit(True).alias("often")))
+    marks = gone.unionByName(often).select(F.col("doc_id").alias("_id"), F.col("dig").alias("_cut"), F.col("often").alias("_often"))
     dig = F.unhex(F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256))
     rows = docs.withColumn("_dig", dig)
-    same = rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["_dig"] == gone["dig"])
-    return rows.join(gone, same, "left_anti").select(docs.columns)
+    same = rows["doc_id"].eqNullSafe(marks["_id"]) & (rows["_dig"] == marks["_cut"])
+    if often.isEmpty():
+        return rows.join(marks, same, "left_anti").select(docs.columns)
+    marked = rows.join(marks, same, "left")
+    once = marked.filter("_often").dropDuplicates(["doc_id", "_dig"])
+    return marked.filter("_often IS NULL").select(docs.columns).unionByName(once.select(docs.columns))
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,11 +99,11 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
-    ("quality", quality_stage),
-    ("near_duplicates", near_duplicate_stage),
-    ("repeats", repeats_stage),
-    ("decontamination", decontamination_stage),
-    ("encoding", encoding_stage),
+    ("quality", frugal(quality_stage)),
+    ("near_duplicates", frugal(near_duplicate_stage)),
+    ("repeats", frugal(repeats_stage)),
+    ("decontamination", frugal(decontamination_stage)),
+    ("encoding", frugal(encoding_stage)),
 ]
 
 #: the stages train a model, solve a join and encode: no SQL; tests hold them against brute force
