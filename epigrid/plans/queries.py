@@ -18,6 +18,7 @@ from ..operators import project as P
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import io
+from ..sources.problems import parse_with_problems, problem_report
 from ..sources.workbook import read_workbook, write_workbooks
 from . import oracles as O
 from . import pipelines as C
@@ -286,6 +287,25 @@ def scan_skip_preamble(spark, sf):
     return io.read_sheet(spark, path, skip=5, names=fx.SHEET_COLUMNS)
 
 
+_BAD = "SELECT '{s}' AS source, '{c}' AS column, {c} AS text, count(*) AS n FROM {t} WHERE {c} IS NOT NULL AND {p} IS NULL GROUP BY {c}"
+_PROBLEM_SQL = "\nUNION ALL ".join([
+    _BAD.format(s="cases", c="FECHA_RESULTADO", t="cases_raw", p=O.parse("FECHA_RESULTADO")),
+    _BAD.format(s="deaths", c="FECHA_FALLECIMIENTO", t="deaths_raw", p=O.parse("FECHA_FALLECIMIENTO")),
+    *[_BAD.format(s="population", c=c, t="sheet", p=f"try_cast({c} AS DOUBLE)") for c in fx.SHEET_COLUMNS[2:]]])
+
+
+@register("scan_problems", q(_PROBLEM_SQL, "cases_raw", "deaths_raw", "sheet"))
+def scan_problems(spark, sf):
+    """What each source's declared types could not read, by column and text."""
+    def report(df, source, types):
+        return problem_report(parse_with_problems(df.select(*[F.col(c).cast("string") for c in types]), types), source)
+
+    cases = report(fx.case_line_list(spark, sf), "cases", {"FECHA_RESULTADO": "y", "EDAD": "i"})
+    deaths = report(fx.death_line_list(spark, sf), "deaths", {"FECHA_FALLECIMIENTO": "y", "EDAD_DECLARADA": "i"})
+    sheet = report(fx.population_sheet(spark, sf), "population", dict.fromkeys(fx.SHEET_COLUMNS[2:], "d"))
+    return cases.unionByName(deaths).unionByName(sheet)
+
+
 @register("scan_workbook", q("SELECT * FROM sheet", "sheet"))
 def scan_workbook(spark, sf):
     """S5 from workbooks: the population sheet as four .xlsx files, each with the preamble."""
