@@ -331,7 +331,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = prepared(docs, id_col, text_col)
     n = chunk_count(rows)
-    lists = n
+    lists = max(24, n // 4)
     ids = rows.select("doc_id", "dig")
     firsts = store(first_copies(ids), "firsts")
     holds = first_rows(firsts, n)
@@ -404,6 +404,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                     "n_shingles": np.frombuffer(b, np.int64), "dig": [c[i: i + 32] for i in range(0, len(c), 32)]})
 
     nodes = sent.filter("kind = 0").select("list", "a", "b", "c").mapInPandas(unpack_nodes, "node long, first long, n_shingles long, dig binary")
+    nodes = store(nodes, "nodes")        # used several times; the signatures beside it are large
     wanted = nodes.join(members.select("node"), "node", "left_semi").select(
         F.shiftright("node", 32).cast("int").alias("chunk"), F.col("first").alias("doc_id"), "dig", "node")
     sets = chunks.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInPandas(member_sets, "node long, words binary")
