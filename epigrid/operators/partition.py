@@ -63,6 +63,8 @@ def _on_ends(s: _Sums, k: int) -> tuple[float, list[int]]:
 
     Ties go to the smallest start of the last class, then of the class before it.
     """
+    if s.m < k:                     # too few ends for k classes: no bound yet
+        return float("inf"), []
     ends = np.arange(1, s.m + 1)
     cost, back = s.cost(np.zeros(s.m, np.int64), ends), []
     for t in range(2, k + 1):
@@ -99,6 +101,8 @@ def _possible(s: _Sums, k: int, upper: float) -> np.ndarray:
         back[blocks] = after[-1]
         after.append(_least(blocks, blocks, lambda i, j, back=back: back[j] + between(i, j))[0])
     bound = np.min([a + b for a, b in zip(ahead, reversed(after), strict=True)], axis=0)
+    if upper == float("inf"):
+        return blocks
     slack = 1e-9 * abs(upper) + 1e-11 * abs(float(s.c3[-1]))        # rounding of the running sums
     return blocks[bound <= upper + slack]
 
