@@ -1,21 +1,29 @@
 """URL filter: host rules first, then word segmentation and naive Bayes.
 
-Host names are cut into words by a unigram Viterbi over counts of all name parts
-in the table plus a stated seed list; a multinomial naive Bayes model then scores
-the words of the host and of the path.  Its training labels are weak: a distinct
-host is a block example when one of its words is in the stated seed list of
-unwanted words, and an allow example otherwise; each distinct (host, path word)
-counts once, so no single host outweighs the rest.
-
-Counts run over the whole table and stay Spark tables: every name part of up to 24
-letters is a dictionary word, and every (word, label) count weighs in.  Costs of
-dictionary words meet the substrings of the distinct name parts in a join, log odds the
-words of the distinct hosts and paths.  Only totals reach the driver.
+Names of hosts are cut into words by a unigram Viterbi.  Its counts are those of real
+words: the text of all pages (markup left out) and the paths of all urls, never the names
+that are to be split.  A stated list of plain and unwanted words stands beside them with a
+fixed probability each, so that they are known to a table of any size.  A multinomial naive
+Bayes model then scores the words of the host and of the path.
+
+Urls carry no labels, so the model learns from weak ones: a distinct host is a block
+example when its name is segmented into one of the unwanted words, else an allow example;
+each word of the two lists is one example of its own class.  Each distinct (host, path word)
+counts once, so no single host outweighs the rest.  The rules train nothing: they hold for
+the prefixes they name, and a path word such as ``/en`` would carry their verdict to all
+other hosts.  Every word is smoothed by half an occurrence, split between the classes by
+their share of all occurrences, so a word that was not seen says nothing.
+
+Counts run over the whole table and stay Spark tables.  Costs of dictionary words meet the
+substrings of the distinct name parts in a join, log odds the words of the distinct hosts
+and paths.  Only totals reach the driver.  A dictionary word has at most 63 letters, which
+is the most a part of a host name can have; longer parts (no valid names) are split by the
+same words.
 
 Defined results: a null url, or one without ``://``, has empty host and path, fits
 no rule and is scored on no words, so the class prior decides (allow unless most
-training hosts are unwanted).  Repeated rows stay repeated; an empty table gives no
-rows; other columns are ignored.
+training hosts are unwanted).  Null or missing html adds no words.  Repeated rows stay
+repeated; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,18 +46,20 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 
-# fixed values: seed words of unwanted sites, and plain words that names are built of
-BLOCK_WORDS = ("adult", "bet", "bets", "betting", "casino", "escort", "farm", "gambling", "jackpot", "lottery", "nude",
+# fixed values: words of unwanted sites, and plain words that names are built of
+BLOCK_WORDS = ("adult", "bet", "bets", "betting", "casino", "escort", "gambling", "jackpot", "lottery", "nude",
                "pharma", "pills", "poker", "porn", "sex", "slots", "spam", "viagra", "warez", "xxx")
 PLAIN_WORDS = ("art", "blog", "book", "books", "city", "club", "daily", "data", "free", "game", "games", "health", "home",
                "house", "life", "live", "media", "mobile", "music", "my", "net", "news", "online", "open", "page", "photo",
                "shop", "site", "sport", "store", "tech", "the", "times", "top", "travel", "web", "win", "work", "world",
-               "x", "your")
-#: unwanted only beside another word of the list (a farm alone is no spam farm)
-WEAK_WORDS = ("farm",)
+               "your")
 
-SEEDS = frozenset((*BLOCK_WORDS, *PLAIN_WORDS))
-LONGEST = 24        # letters of a dictionary word
+SEED_COST = math.log(10**5)         # a listed word is taken to stand at least once in 100,000 words
+LETTER = math.log(10)               # an unknown stretch of n letters has probability 10 ** -(n + 5)
+LONGEST = 63                        # letters of a part of a host name
+SMOOTH = 0.5
+_MARKUP = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[#\w]+;"
+_BREAK = r"[^\p{L}\p{N}]+"
 
 
 def host_of(url: Column) -> Column:
@@ -76,25 +86,24 @@ def rule_columns(rules=RULES) -> tuple[Column, Column]:
 
 
 def name_parts(host: Column) -> Column:
-    return F.split(host, r"[^\p{L}\p{N}]+")
+    return F.split(host, _BREAK)
 
 
-def segment(part: str, cost: dict[str, float], total: float) -> list[str]:
-    """Cheapest split of one name part into words (unigram Viterbi).
-
-    Unknown stretches cost log(total) + 3 per letter, so they stay whole unless
-    known words explain them better.
-    """
+def segment(part: str, cost: dict[str, float]) -> list[str]:
+    """Cheapest split of one name part into words (unigram Viterbi); unknown stretches are words at a cost by letter."""
     n = len(part)
     if part.isdigit():
         return ["<num>"]
     best, back = [0.0] + [math.inf] * n, [0] * (n + 1)
+    gap, since = math.inf, 0        # cheapest (cost, start) of an unknown stretch that goes on to j
     for j in range(1, n + 1):
+        if best[j - 1] + 5 * LETTER < gap:
+            gap, since = best[j - 1] + 5 * LETTER, j - 1
+        gap += LETTER
+        best[j], back[j] = gap, since
         for i in range(max(0, j - LONGEST), j):
             c = cost.get(part[i:j])
-            if c is None:
-                c = total + 3.0 * (j - i)
-            if best[i] + c < best[j]:
+            if c is not None and best[i] + c < best[j]:
                 best[j], back[j] = best[i] + c, i
     words, j = [], n
     while j:
@@ -103,52 +112,46 @@ def segment(part: str, cost: dict[str, float], total: float) -> list[str]:
     return words[::-1]
 
 
-class Segmenter:
-    """Splits name parts by a dictionary with ``total`` occurrences, the seeds' among them."""
-
-    def __init__(self, total: int):
-        self.total = math.log(max(2, total))
-        self.seeds = {w: max(1.0, self.total / 2) for w in SEEDS}
-
-    def part(self, part: str, counts: dict[str, int]) -> list[str]:
-        """``counts`` has the dictionary words among the part's substrings."""
-        # a part that other known words spell out counts as those words
-        spelled = segment(part, self.seeds, math.inf) if len(part) <= 10 * LONGEST else None
-        if spelled and "" not in spelled and all(w in self.seeds for w in spelled):
-            return spelled
-        cost = {w: self.total - math.log(c + (w in self.seeds)) + 1.0 for w, c in counts.items()}
-        cost |= {w: min(cost.get(w, math.inf), c) for w, c in self.seeds.items()}
-        return segment(part, cost, self.total)
+def word_costs(counts: dict[str, int], total: int) -> dict[str, float]:
+    """Cost of the known words: minus the log of their share, for listed words at most ``SEED_COST``."""
+    cost = {w: math.log(total) - math.log(c) for w, c in counts.items()}
+    for w in (*BLOCK_WORDS, *PLAIN_WORDS):
+        cost[w] = min(cost.get(w, math.inf), SEED_COST)
+    return cost
 
 
-def _split(seg: Segmenter):
+def _split(total: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            words = [seg.part(p, {r["word"]: r["n"] for r in known} if known is not None else {})
+            words = [segment(p, word_costs({r["word"]: r["n"] for r in known} if known is not None else {}, total))
                      for p, known in zip(pdf["part"], pdf["known"], strict=True)]
             yield pd.DataFrame({"part": pdf["part"], "words": words})
     return run
 
 
-def weak_label(words: Column) -> Column:
-    return F.size(F.filter(words, lambda w: w.isin(*BLOCK_WORDS))) > F.size(F.filter(words, lambda w: w.isin(*WEAK_WORDS)))
+def dictionary(urls: DataFrame) -> DataFrame:
+    """(word, n) of the words of all pages and paths; ``urls`` has path and html."""
+    text = F.regexp_replace(F.coalesce("html", F.lit("")), _MARKUP, " ")
+    return (urls.select(F.explode(F.split(F.lower(F.concat_ws(" ", text, "path")), _BREAK)).alias("word"))
+            .filter((F.col("word") != "") & (F.length("word") <= LONGEST)).groupBy("word").agg(F.count("*").alias("n")))
 
 
-def words_of_hosts(hosts: DataFrame) -> DataFrame:
-    """(host, words, label) of distinct hosts."""
+def words_of_hosts(urls: DataFrame) -> DataFrame:
+    """(host, words, label) of distinct hosts; ``urls`` has host, path and html."""
+    hosts = urls.filter("host <> ''").select("host").distinct()
     parts = hosts.select("host", F.posexplode(name_parts(F.col("host"))).alias("at", "part")).filter("part <> ''")
-    counts = store(parts.filter(F.length("part") <= LONGEST).groupBy(F.col("part").alias("word")).agg(F.count("*").alias("n")), "name-parts")
-    seg = Segmenter((counts.agg(F.sum("n")).first()[0] or 0) + len(SEEDS))
+    counts = store(dictionary(urls), "dictionary")
+    total = counts.agg(F.sum("n")).first()[0] or 1
     each = parts.select("part").distinct()
     starts = each.select("part", F.explode(F.sequence(F.lit(1), F.length("part"))).alias("start"))
     subs = starts.select("part", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("part") - F.col("start") + 1))).alias("len"))
     known = (subs.select("part", F.col("part").substr(F.col("start"), F.col("len")).alias("word")).join(counts, "word")
-             .groupBy("part").agg(F.collect_set(F.struct("word", "n")).alias("known")))      # at most 24 words a letter
-    split = each.join(known, "part", "left").mapInPandas(_split(seg), "part string, words array<string>")
+             .groupBy("part").agg(F.collect_set(F.struct("word", "n")).alias("known")))      # at most 63 words a letter
+    split = each.join(known, "part", "left").mapInPandas(_split(total), "part string, words array<string>")
     words = (parts.join(split, "part").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("at", "words"))).alias("w"))
              .select("host", F.flatten(F.col("w")["words"]).alias("words")))
     words = hosts.join(words, "host", "left").select("host", F.coalesce("words", F.array().cast("array<string>")).alias("words"))
-    return store(words.withColumn("label", weak_label(F.col("words")).cast("int")), "host-words")
+    return store(words.withColumn("label", F.exists("words", lambda w: w.isin(*BLOCK_WORDS)).cast("int")), "host-words")
 
 
 def path_words(path: Column) -> Column:
@@ -158,18 +161,17 @@ def path_words(path: Column) -> Column:
 
 
 def word_odds(words: DataFrame, urls: DataFrame) -> tuple[DataFrame, float]:
-    """(word, odds): log odds of block against allow of every word (add-one smoothing), and those of the prior."""
+    """(word, odds): log odds of block against allow of every word, and those of the prior."""
     seen = urls.filter("host <> ''").select("host", F.explode(F.array_distinct(path_words(F.col("path")))).alias("word")).distinct()
-    examples = words.select(F.explode(F.array_distinct("words")).alias("word"), "label").unionByName(
-        seen.join(words.select("host", "label"), "host").select("word", "label"))
+    listed = words.sparkSession.createDataFrame([(w, 1) for w in BLOCK_WORDS] + [(w, 0) for w in PLAIN_WORDS], "word string, label int")
+    examples = (words.select(F.explode(F.array_distinct("words")).alias("word"), "label").unionByName(listed)
+                .unionByName(seen.join(words.select("host", "label"), "host").select("word", "label")))
     counts = store(examples.groupBy("word").agg(F.sum(1 - F.col("label")).alias("allow"), F.sum("label").alias("block")), "url-words")
-    size, allow, block = counts.agg(F.count("*"), F.sum("allow"), F.sum("block")).first()
+    allow, block = counts.agg(F.sum("allow"), F.sum("block")).first()
     hosts, unwanted = words.agg(F.count("*"), F.sum("label")).first()
-    shift = math.log((allow or 0) + size or 1) - math.log((block or 0) + size or 1)
-    odds = F.log(F.col("block") + 1) - F.log(F.col("allow") + 1) + F.lit(shift)
-    seeds = [w for w in BLOCK_WORDS if w not in WEAK_WORDS]      # the seeds are examples themselves
-    odds = F.when(F.col("word").isin(*seeds), F.greatest(odds, F.lit(4.0))).otherwise(odds)
-    return counts.select("word", odds.alias("odds")), math.log(((unwanted or 0) + 1) / (hosts - (unwanted or 0) + 2))
+    share = block / (allow + block)
+    odds = F.log(F.col("block") + SMOOTH * share) - F.log(F.col("allow") + SMOOTH * (1 - share)) - F.lit(math.log(share / (1 - share)))
+    return counts.select("word", odds.alias("odds")), math.log(((unwanted or 0) + 1) / (hosts - (unwanted or 0) + 1))
 
 
 def _sums(rows: DataFrame, key: str, words: Column, odds: DataFrame, name: str) -> DataFrame:
@@ -179,12 +181,14 @@ def _sums(rows: DataFrame, key: str, words: Column, odds: DataFrame, name: str)
     return got.select(key, F.aggregate(F.col("w")["odds"], F.lit(0.0), lambda x, y: x + y).alias(name))
 
 
-def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
-    """(page_id, host, path, rule, verdict, host_words, log_odds) of every url."""
+def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES) -> DataFrame:
+    """(page_id, host, path, rule, verdict, host_words, log_odds) of every url; tables without html learn words from paths alone."""
     url = F.col("url")
-    judged = (pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))
-              .select("page_id", host_of(url).alias("host"), path_of(url).alias("path")))
-    words = words_of_hosts(judged.filter("host <> ''").select("host").distinct())
+    html = F.col(html_col) if html_col in pages.columns else F.lit(None)
+    read = (pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.cast("string").alias("html"))
+            .select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), "html"))
+    judged = read.drop("html")
+    words = words_of_hosts(read)
     odds, prior = word_odds(words, judged)
     hosts = words.join(_sums(words, "host", F.col("words"), odds, "of_host"), "host", "left").select("host", F.concat_ws(" ", "words").alias("host_words"), "of_host")
     paths = _sums(judged.select("path").distinct(), "path", path_words(F.col("path")), odds, "of_path")

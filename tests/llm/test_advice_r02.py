@@ -49,10 +49,10 @@ def test_url_counts_are_whole(spark):
     many = spark.range(102_000).selectExpr("id", "explode(array('http://alpha.org/w', 'http://gamma.org/w')) AS u").selectExpr("id", "concat(u, id) AS url")
     few = spark.createDataFrame([(-1, "http://casino.org/rare"), (-2, "http://alpha.org/rare"), (-3, "http://casino.org/only"), (-4, "http://alpha.org/")], "id long, url string")
     got = {r.page_id: r.log_odds for r in urls.url_filter(many.unionByName(few), id_col="id").filter("page_id < 0").collect()}
-    size = 102_000 + 2 + 4         # distinct words: of paths, and alpha, gamma, casino, org
-    allow, block = 2 * 102_000 + 1 + 4, 2 + 2
-    rare = math.log(2 / (block + size)) - math.log(2 / (allow + size))
-    only = math.log(2 / (block + size)) - math.log(1 / (allow + size))
+    allow, block = 2 * 102_000 + 1 + 4 + len(urls.PLAIN_WORDS), 2 + 2 + len(urls.BLOCK_WORDS)
+    share = block / (allow + block)
+    odds = lambda b, a: math.log((b + share / 2) / (a + (1 - share) / 2)) - math.log(share / (1 - share))
+    rare, only = odds(1, 1), odds(1, 0)
     assert math.isclose(got[-2] - got[-4], rare, abs_tol=1e-9)
     assert math.isclose(got[-3] - got[-1], only - rare, abs_tol=1e-9)
 
