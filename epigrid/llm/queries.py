@@ -109,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op13_importance_resampling)
 }
 ORACLE_SQL = {
+    "op3_license_scan": licenses.sql(),
     "op4_benchmark_decontamination": decontaminate.SQL,
     "op7_topk_search": TOPK_SQL,
     "op10_jaccard_join": JACCARD_SQL,

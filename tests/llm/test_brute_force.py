@@ -105,8 +105,10 @@ def test_license_scan_against_every_window(spark):
             want[i] = (name, at)
             w[at:at] = names[name].split()
         texts.append(" ".join(w))
-    got = {r.doc_id: (r.license, r.first_word) for r in licenses.scan_licenses(docs_of(spark, texts)).collect() if r.containment == 1.0}
-    assert got == want
+    whole = [r for r in licenses.scan_licenses(docs_of(spark, texts)).collect() if r.containment == 1.0]
+    # a planted text may hold a shorter template whole
+    assert {r.doc_id: (r.license, r.first_word) for r in whole if r.license == want[r.doc_id][0]} == want
+    assert all(" ".join(names[r.license].split()[:6]) in names[want[r.doc_id][0]] for r in whole)
 
 
 def test_masks_hit_every_window():
