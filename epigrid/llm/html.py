@@ -41,6 +41,7 @@ from .common import store
 from .urls import host_of
 
 NOISE, LEAST_PAGES = 0.2, 8
+PRIME, BASE = (1 << 61) - 1, 0x9E3779B97F4A7C15 % ((1 << 61) - 1)     # of the running hash over a page's texts
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
@@ -75,6 +76,9 @@ class Page:
     def __init__(self, html: str):
         self.tag, self.parent, self.name, self.dead, self.last = ["#"], [-1], ["#"], [False], [0]
         self.items: list[tuple[int, str | None]] = []       # (node, text) or (node, None) for a block edge
+        self.inside, self.open = [False], {}                # node in article or main; open elements by name
+        # per level of the stack: the nearest level, itself or outer, of a block and of an element that CLOSES or LISTS names
+        self.blocks, self.listed = [0], [0]
         stack, at, n, find = [0], 0, len(html), _TOKEN.search
         while at < n:
             m = find(html, at)
@@ -104,7 +108,7 @@ class Page:
                 shut = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(html, at)
                 at = shut.end() if shut else n
                 continue
-            stack.append(node)
+            self._push(stack, node, tag)
 
     def _open(self, parent: int, tag: str, attrs: str) -> int:
         name, dead = tag, tag in DROPPED
@@ -114,55 +118,61 @@ class Page:
                 if key in ("class", "id"):
                     name += ("." if key == "class" else "#") + value
                     words = set(re.split(r"[\s_-]+", value))
-                    dead = dead or bool(words & NAMES) or ("header" in words and not self._inside(parent))
+                    dead = dead or bool(words & NAMES) or ("header" in words and not self.inside[parent])
                 elif key == "role":
                     dead = dead or value in ROLES
                 elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", ""):
                     dead = True
-        if tag == "header" and not self._inside(parent):
+        if tag == "header" and not self.inside[parent]:
             dead = True
         self.tag.append(tag)
         self.parent.append(parent)
         self.name.append(name)
         self.dead.append(dead or self.dead[parent])
+        self.inside.append(self.inside[parent] or tag in ("article", "main"))
         return len(self.tag) - 1
 
-    def _inside(self, node: int) -> bool:
-        while node > 0:
-            if self.tag[node] in ("article", "main"):
-                return True
-            node = self.parent[node]
-        return False
+    def _push(self, stack: list[int], node: int, tag: str) -> None:
+        level = len(stack)
+        stack.append(node)
+        self.open[tag] = self.open.get(tag, 0) + 1
+        self.blocks.append(level if tag in BLOCK else self.blocks[-1])
+        self.listed.append(level if tag in CLOSES or tag in LISTS else self.listed[-1])
+
+    def _cut(self, stack: list[int], k: int) -> None:
+        for x in stack[k:]:
+            self.open[self.tag[x]] -= 1
+        del stack[k:], self.blocks[k:], self.listed[k:]
 
     def _imply(self, stack: list[int], tag: str) -> None:
         """Elements that an opening tag ends without a closing one."""
         if tag in BLOCK and tag not in ("html", "head", "body"):
-            for k in range(len(stack) - 1, 0, -1):
-                t = self.tag[stack[k]]
-                if t == "p":
-                    del stack[k:]
-                    self.items.append((stack[-1], None))
-                    break
-                if t in BLOCK:
-                    break
+            k = self.blocks[-1]
+            if k and self.tag[stack[k]] == "p":
+                self._cut(stack, k)
+                self.items.append((stack[-1], None))
         if tag in CLOSES:
-            for k in range(len(stack) - 1, 0, -1):
+            k = self.listed[-1]
+            while k:
                 t = self.tag[stack[k]]
                 if t in CLOSES[tag]:
-                    del stack[k:]
+                    self._cut(stack, k)
                     self.items.append((stack[-1], None))
                     if tag != "tr" or t == "tr":
                         break
                 elif t in LISTS:
                     break
+                k = self.listed[k - 1]
 
     def _close(self, stack: list[int], tag: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] == tag:
-                if any(self.tag[x] in BLOCK for x in stack[k:]):
-                    self.items.append((stack[k], None))
-                del stack[k:]
-                return
+        if not self.open.get(tag):
+            return
+        k = len(stack) - 1
+        while self.tag[stack[k]] != tag:
+            k -= 1
+        if self.blocks[-1] >= k:
+            self.items.append((stack[k], None))
+        self._cut(stack, k)
 
     def keys(self) -> list[int]:
         """The style-tree node of each element."""
@@ -175,21 +185,33 @@ class Page:
         return out
 
     def votes(self) -> tuple[int, list[tuple[int, int, int]]]:
-        """The page's fingerprint, and (node, presentation, content) of each node."""
-        keys, own, below = self.keys(), {}, {}
-        for i in range(1, len(self.tag)):
-            below.setdefault(keys[self.parent[i]], []).append(self.name[i])
+        """The page's fingerprint, and (node, presentation, content) of each node.
+
+        The items of a branch stand side by side, so its content is a range of one running hash.
+        """
+        keys, below, parent = self.keys(), {}, self.parent
+        n = len(keys)
+        for i in range(1, n):
+            below.setdefault(keys[parent[i]], []).append(self.name[i])
+        first, last, sums, powers = [-1] * n, [0] * n, [0], [1]
         for node, text in self.items:
             if text and not text.isspace():
-                for k in dict.fromkeys(keys[x] for x in self._line(node)):
-                    own.setdefault(k, []).append(" ".join(text.split()))
-        page = _digest("\n".join(own.get(keys[0], ())))
-        return page, [(k, _digest(" ".join(below.get(k, ()))), _digest("\n".join(own.get(k, ())))) for k in dict.fromkeys(keys[1:])]
-
-    def _line(self, node: int) -> Iterator[int]:
-        while node >= 0:
-            yield node
-            node = self.parent[node]
+                if first[node] < 0:
+                    first[node] = len(sums) - 1
+                sums.append((sums[-1] * BASE + _digest(" ".join(text.split()))) % PRIME)
+                powers.append(powers[-1] * BASE % PRIME)
+                last[node] = len(sums) - 1
+        for i in range(n - 1, 0, -1):           # a node stands after its parent
+            if first[i] >= 0:
+                up = parent[i]
+                first[up] = first[i] if first[up] < 0 else min(first[up], first[i])
+                last[up] = max(last[up], last[i])
+        own = dict.fromkeys(keys[1:], 0)
+        for i in range(1, n):
+            if first[i] >= 0:
+                size = last[i] - first[i]
+                own[keys[i]] = (own[keys[i]] * powers[size] + sums[last[i]] - sums[first[i]] * powers[size]) % PRIME
+        return sums[-1], [(k, _digest(" ".join(below.get(k, ()))), x) for k, x in own.items()]
 
     def text(self, noise: frozenset[int] = frozenset()) -> str:
         n = len(self.tag)
@@ -204,8 +226,9 @@ class Page:
             keys, size = self.keys(), [0] * n
             for node, text in self.items:
                 if text and root[node] and not dead[node]:
-                    for x in self._line(node):
-                        size[x] += len(text)
+                    size[node] += len(text)
+            for i in range(n - 1, 0, -1):
+                size[self.parent[i]] += size[i]
             dead = list(dead)
             for i in range(1, n):
                 dead[i] = dead[i] or dead[self.parent[i]] or (
