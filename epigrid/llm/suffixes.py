@@ -2,15 +2,22 @@
 
 The scan that induces suffixes from sorted leftmost-smaller (LMS) ones goes through the
 first-symbol buckets in order and handles all suffixes of a bucket that are known so far
-at once, so the work is linear with a few array operations per bucket.  Positions are
-32-bit: a shard is far below 2**31 symbols.
+at once, so the work is linear with a few array operations per bucket.  Strings with few
+suffixes to a bucket, as reduced strings are, are scanned suffix by suffix instead; the
+order is the same.  Reduced strings are sorted by the same recursion whatever their
+alphabet.  Positions are 32-bit: a shard is far below 2**31 symbols.
 """
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
-SMALL_ALPHABET = 4096
+from .common import ranges
+
+#: mean suffixes to a bucket from which array operations for each bucket pay off
+FULL_BUCKETS = 64
 
 
 def _types(s: np.ndarray) -> np.ndarray:
@@ -72,23 +79,35 @@ def _induce(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sizes: np.ndarray)
     return sa
 
 
-def _doubling(s: np.ndarray) -> np.ndarray:
-    """Suffix array by rank doubling, for reduced strings with large alphabets."""
-    n = len(s)
-    rank, h = s.astype(np.int64), 1
-    order = np.argsort(rank)
-    while True:
-        ordered = rank[order]
-        if h > 1 and (ordered[1:] != ordered[:-1]).all():
-            return order
-        second = np.zeros(n, np.int64)
-        second[: max(0, n - h)] = rank[h:] + 1
-        key = rank * (int(rank.max()) + 2) + second
-        order = np.argsort(key)             # equal keys get equal ranks: their order is settled later
-        key = key[order]
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))
-        rank, h = new, 2 * h
+def _induce_each(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The order of ``_induce`` found one suffix at a time: for strings with few suffixes to a bucket."""
+    ends = np.cumsum(sizes)
+    by = s[lms].astype(np.int64)
+    order = np.argsort(by, kind="stable")
+    count = np.bincount(by, minlength=len(sizes))
+    first = np.full(len(s), -1, np.int32)
+    first[ranges(ends - count, count)] = lms[order]             # at the ends of their buckets
+    sa = array("i", first.tobytes())
+    # bucket of the suffix that starts one symbol earlier, by its type; the entry after the last serves empty places
+    before = np.append(np.concatenate(([-1], s[:-1])), -1).astype(np.int32)
+    is_l = np.concatenate(([False], ~is_s[:-1], [False]))
+    into, at = array("i", np.where(is_l, before, -1).tobytes()), array("q", (ends - sizes).tobytes())
+    for p in sa:                                                # L suffixes; the loop reads what it places
+        c = into[p]
+        if c >= 0:
+            k = at[c]
+            sa[k] = p - 1
+            at[c] = k + 1
+    into, at = array("i", np.where(is_l, -1, before).tobytes()), array("q", ends.tobytes())
+    for i in range(len(sa) - 1, -1, -1):                        # S suffixes take the places of the LMS ones
+        p = sa[i]
+        c = into[p]
+        if c >= 0:
+            k = at[c] - 1
+            sa[k] = p - 1
+            at[c] = k
+    sa[0] = len(sa) - 1
+    return np.frombuffer(sa, np.int32)
 
 
 def suffix_array(s: np.ndarray, alphabet: int) -> np.ndarray:
@@ -102,8 +121,9 @@ def suffix_array(s: np.ndarray, alphabet: int) -> np.ndarray:
     mark[1:] &= ~is_s[:-1]
     lms = np.flatnonzero(mark).astype(np.int32)
     sizes = np.bincount(s, minlength=alphabet)
+    induce = _induce if n > FULL_BUCKETS * np.count_nonzero(sizes) else _induce_each
     if len(lms) > 1:
-        sa = _induce(s, is_s, lms, sizes)
+        sa = induce(s, is_s, lms, sizes)
         ordered = sa[mark[sa]]
         # name equal LMS substrings alike
         end = np.full(n, n, np.int32)
@@ -127,9 +147,8 @@ def suffix_array(s: np.ndarray, alphabet: int) -> np.ndarray:
             reduced[ordered] = names
             reduced = reduced[lms]
             kinds = int(names[-1]) + 1
-            order = suffix_array(reduced, kinds) if kinds <= SMALL_ALPHABET and reduced[-1] == 0 else _doubling(reduced)
-            lms = lms[order]
-    return _induce(s, is_s, lms, sizes)
+            lms = lms[suffix_array(reduced, kinds)]
+    return induce(s, is_s, lms, sizes)
 
 
 def common_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:

@@ -34,6 +34,29 @@ def test_suffix_array_and_prefixes():
             assert lcp[b] == n
 
 
+def test_suffix_array_recurses_at_every_alphabet(monkeypatch):
+    """Few and many names (once a border at 4,096), by buckets and suffix by suffix: the naive order."""
+    rng = np.random.default_rng(5)
+    names = []
+    real = suffixes.suffix_array
+    monkeypatch.setattr(suffixes, "suffix_array", lambda s, k: names.append(k) or real(s, k))
+    for n, k in ((3000, 40), (30_000, 300), (60_000, 3000)):
+        half = rng.integers(1, k + 1, n // 2)
+        s = np.concatenate((half, half, [0]))
+        t = s.astype(">i4").tobytes()
+        orders = []
+        for full in (0, 64, len(s) + 1):
+            monkeypatch.setattr(suffixes, "FULL_BUCKETS", full)
+            orders.append(real(s, k + 1).tolist())
+        assert orders[0] == orders[1] == orders[2]
+        if n == 3000:
+            assert orders[0] == sorted(range(len(s)), key=lambda i: t[4 * i:])
+        else:       # neighbours in order over 100 symbols, and every suffix there once
+            assert sorted(orders[0]) == list(range(len(s)))
+            assert all(t[4 * a: 4 * a + 400] <= t[4 * b: 4 * b + 400] for a, b in itertools.pairwise(orders[0]))
+    assert min(names) < 4096 < max(names)
+
+
 def spans(rows, w=50):
     first = {}
     for i, t in rows:
