@@ -324,6 +324,17 @@ def scan_quoted_breaks(spark, sf):
     return io.read_sheet(spark, path, skip=5, names=fx.SHEET_COLUMNS)
 
 
+_BROKEN_PLACE = "CASE WHEN ID_PERSONA LIKE '%3' THEN DISTRITO || chr(10) || 'de \"' || PROVINCIA || '\"; ' || chr(10) ELSE DISTRITO END"
+
+
+@register("scan_line_list_breaks", q("SELECT " + ", ".join(f"{_BROKEN_PLACE} AS DISTRITO" if c == "DISTRITO" else c for c in fx.CASE_COLUMNS) + " FROM cases_raw", "cases_raw"))
+def scan_line_list_breaks(spark, sf):
+    """S1 with separators, quotes and line breaks inside a cell of the line list."""
+    cases = fx.case_line_list(spark, sf).select(*fx.CASE_COLUMNS).withColumn("DISTRITO", F.expr(_BROKEN_PLACE))
+    path = io.write_with_preamble(cases, scratch_path(spark, "cases-breaks"), [";".join(fx.CASE_COLUMNS)], sep=";")
+    return io.read_line_list(spark, path, CASE_TYPES, quoted_breaks=True)
+
+
 @register("scan_dimension", q("SELECT * FROM district_map", "district_map"))
 def scan_dimension(spark, sf):
     path = io.write_table(fx.district_map(spark, sf), scratch_path(spark, "districts-parquet"), fmt="parquet")

@@ -48,27 +48,35 @@ def _na_to_null(df: DataFrame) -> DataFrame:
 
 def read_delimited(spark: SparkSession, path: str, types: str, names: Sequence[str] | None = None,
                    sep: str = ",", header: bool = True,
-                   columns: Selector | Sequence[str] | None = None) -> DataFrame:
+                   columns: Selector | Sequence[str] | None = None, quoted_breaks: bool = False) -> DataFrame:
     """Delimited scan with declared types; optional column subset.
 
     Names come from ``names`` or, when omitted, from the file header.
     Non-string columns are parsed with ``NA`` as NULL; unparsable numbers or
     dates give NULL (permissive mode), as the reference's reader does.
+    With ``quoted_breaks`` quoted cells may hold line breaks and doubled quotes, at and
+    across file splits (``quoted_records``; one more pass counts the quotes). The header
+    is the first line of each file then, and blank lines between records are no rows.
     """
     names = list(names) if names is not None else _header(spark, path, sep)
     schema = type_string_schema(types, names)
-    df = (spark.read.schema(schema).option("header", header).option("sep", sep)
-              .option("nullValue", "NA").option("mode", "PERMISSIVE").option("dateFormat", "yyyy-MM-dd")
-              .csv(path))
+    options = {"sep": sep, "nullValue": "NA", "mode": "PERMISSIVE", "dateFormat": "yyyy-MM-dd"}
+    if quoted_breaks:
+        lines = _numbered_lines(spark, path)
+        records = quoted_records(_without_first(lines, 1) if header else lines).where(F.trim("value") != "")
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        df = records.select(F.from_csv("value", ddl, options | {"escape": '"'}).alias("__row")).select("__row.*")
+    else:
+        df = spark.read.schema(schema).options(header=header, **options).csv(path)
     df = _na_to_null(df)
     if columns is not None:
         df = df.select(*select_names(df, columns))
     return df
 
 
-def read_line_list(spark: SparkSession, path: str, types: str, sep: str = ";") -> DataFrame:
+def read_line_list(spark: SparkSession, path: str, types: str, sep: str = ";", quoted_breaks: bool = False) -> DataFrame:
     """Semicolon line list, names from its header, types by position."""
-    return read_delimited(spark, path, types, sep=sep)
+    return read_delimited(spark, path, types, sep=sep, quoted_breaks=quoted_breaks)
 
 
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -79,6 +87,18 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
                          F.monotonically_increasing_id().alias("row")))
 
 
+def _without_first(lines: DataFrame, skip: int) -> DataFrame:
+    """Numbered lines without the first ``skip`` of every file.
+
+    Each file's first split is identified by ``_metadata.file_block_start = 0``;
+    line positions inside it come from ``monotonically_increasing_id``, which
+    numbers the rows of one input partition consecutively.
+    """
+    starts = lines.where(F.col("block") == 0).groupBy("file").agg(F.min("row").alias("r0"))
+    return (lines.join(starts, "file", "left")
+                 .where((F.col("block") > 0) | (F.col("row") - F.col("r0") >= skip)).drop("r0"))
+
+
 def quoted_records(lines: DataFrame) -> DataFrame:
     """(value): whole records from the lines of delimited text, where quoted cells may hold line breaks.
 
@@ -122,16 +142,10 @@ def quoted_records(lines: DataFrame) -> DataFrame:
 def read_sheet(spark: SparkSession, path: str, skip: int, names: Sequence[str], sep: str = ",") -> DataFrame:
     """Headerless sheet export; drop the first ``skip`` lines of every file.
 
-    Each file's first split is identified by ``_metadata.file_block_start = 0``;
-    line positions inside it come from ``monotonically_increasing_id``, which
-    numbers the rows of one input partition consecutively.  Only the first
-    ``skip`` lines of each file are dropped; the rest is put together into records
-    (quoted cells may hold line breaks) and parsed with ``from_csv`` on the executors.
+    The rest is put together into records (quoted cells may hold line breaks) and
+    parsed with ``from_csv`` on the executors.
     """
-    lines = _numbered_lines(spark, path)
-    starts = lines.where(F.col("block") == 0).groupBy("file").agg(F.min("row").alias("r0"))
-    body = (lines.join(starts, "file", "left")
-                 .where((F.col("block") > 0) | (F.col("row") - F.col("r0") >= skip)).drop("r0"))
+    body = _without_first(_numbered_lines(spark, path), skip)
     schema = ", ".join(f"`{n}` STRING" for n in names)
     options = {"sep": sep, "nullValue": "NA", "escape": '"'}
     parsed = quoted_records(body).select(F.from_csv("value", schema, options).alias("__row"))

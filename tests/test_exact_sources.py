@@ -134,6 +134,32 @@ def test_quoted_line_breaks_across_splits(spark, split):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("header", [True, False])
+def test_line_list_with_quoted_breaks(spark, header):
+    random.seed(11)
+    folder, want = scratch_path(spark, "t-list-breaks"), []
+    for name, end in (("a.csv", "\n"), ("b.csv", "\r\n"), ("empty.csv", "\n")):
+        rows = [(f"{k:04d}", random.choice(["plain", 'a "quoted"; word', f"two{chr(10)}lines", f"{chr(10)}{chr(10)}NA", "odd \" mark", "NA", ""]),
+                 random.choice(["7", "-3", "x", "", "NA"]), random.choice(["2021-03-04", "no date", "NA"])) for k in range(0 if name == "empty.csv" else 150)]
+        out = pyio.StringIO()
+        csv.writer(out, delimiter=";", lineterminator=end).writerows([("id", "cell", "n", "day")] * header + rows)
+        write_text(spark, folder, name, out.getvalue() + end * (name == "a.csv"))     # a blank line at the end
+        want += [(a, None if b in ("NA", "") else b, int(c) if c in ("7", "-3") else None, d if d[0] == "2" else None) for a, b, c, d in rows]
+    names = None if header else ["id", "cell", "n", "day"]
+    with_splits = {"spark.sql.files.maxPartitionBytes": 200, "spark.sql.files.openCostInBytes": 1}
+    for key, value in with_splits.items():
+        spark.conf.set(key, value)
+    try:
+        df = io.read_delimited(spark, folder, "cciD", names, sep=";", header=header, quoted_breaks=True)
+        got = df.withColumn("day", F.col("day").cast("string")).collect()
+        some = io.read_delimited(spark, folder, "cciD", names, sep=";", header=header, columns=["n"], quoted_breaks=True)
+        assert some.columns == ["n"] and some.count() == len(want)
+    finally:
+        for key in with_splits:
+            spark.conf.unset(key)
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_workbooks(spark):
     rows = [(f"{k:06d}", None if k % 4 == 0 else f"<d> & é {k % 7}", None if k % 5 else "NA", " spaced ") for k in range(1000)]
     df = spark.createDataFrame(rows, "a string, b string, c string, d string")
