@@ -18,6 +18,7 @@ from ..operators import project as P
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import io
+from ..sources.clustered import write_clustered
 from ..sources.problems import parse_with_problems, problem_report
 from ..sources.workbook import read_workbook, write_workbooks
 from . import oracles as O
@@ -549,6 +550,18 @@ def join_inner_multi(spark, sf):
                             C.weekly_deaths(fx.death_line_list(spark, sf), pop), ["ubigeo", "week_start"], "inner")
 
 
+@register("join_clustered", q("""SELECT c.ubigeo, c.week_start, c.cases, d.deaths, m.province FROM weekly_cases c
+  JOIN weekly_deaths d ON c.ubigeo = d.ubigeo AND c.week_start = d.week_start
+  LEFT JOIN (SELECT ubigeo, prov AS province FROM district_map) m ON c.ubigeo = m.ubigeo""", "weekly_cases", "weekly_deaths", "district_map"))
+def join_clustered(spark, sf):
+    """J6 and J2 over interim tables in buckets by district: neither join shuffles."""
+    pop = C.population_from(spark, sf)
+    dims = fx.district_map(spark, sf).select("ubigeo", F.col("prov").alias("province"))
+    cases = write_clustered(C.weekly_cases(fx.case_line_list(spark, sf), pop), "cases", ["ubigeo"], ["week_start"])
+    deaths = write_clustered(C.weekly_deaths(fx.death_line_list(spark, sf), pop), "deaths", ["ubigeo"], ["week_start"])
+    return J.join_on(J.join_on(cases, deaths, ["ubigeo", "week_start"]), write_clustered(dims, "districts", ["ubigeo"]), ["ubigeo"], "left")
+
+
 @register("join_reduce", q("SELECT * FROM national_wide", "national_wide"))
 def join_reduce(spark, sf):
     pop = C.population_from(spark, sf)
