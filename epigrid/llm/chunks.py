@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, pieces_for
+from .common import U64, pieces_for, thrifty, thrifty_batches
 
 CHUNK_BYTES = 8 << 20
 NO_ID = 2**63 - 1           # stands for a null id: after all others
@@ -59,7 +59,7 @@ def packed(rows: DataFrame, n: int) -> DataFrame:
             yield pd.DataFrame(out, columns=["chunk", "ids", "digs", "lens", "blob"])
 
     return rows.select(chunk_of("doc_id", n).alias("chunk"), "doc_id", "text", "dig").mapInPandas(
-        pack, "chunk int, ids binary, digs binary, lens binary, blob binary")
+        thrifty_batches(pack), "chunk int, ids binary, digs binary, lens binary, blob binary")
 
 
 class Chunk:
@@ -136,8 +136,8 @@ def ask_shared(chunks: DataFrame, firsts: DataFrame, buckets: int, keys_of) -> D
             out.append((chunk, 1, bucket, 0, None, np.packbits(shared[mine]).tobytes(), level[mine[shared[mine]]].tobytes()))
         return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "doc_id", "dig", "a", "b"])
 
-    asked = chunks.groupBy("chunk").cogroup(firsts.groupBy("chunk")).applyInPandas(ask, ASK)
-    return asked.groupBy("bucket").applyInPandas(answer, ANSWER)
+    asked = chunks.groupBy("chunk").cogroup(firsts.groupBy("chunk")).applyInPandas(thrifty(ask), ASK)
+    return asked.groupBy("bucket").applyInPandas(thrifty(answer), ANSWER)
 
 
 def shared_mask(right: pd.DataFrame, keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:

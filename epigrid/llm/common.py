@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,42 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+def give_back() -> None:
+    """What this process has freed goes back to the system, with the tables of powers that ``RangeHash`` keeps."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def thrifty(work):
+    """``work`` of a group, which gives back the memory it used when it's done.
+
+    Spark keeps Python workers between tasks and allocators keep what was freed, so an
+    executor would carry the largest group of every worker along, idle ones included.
+    """
+    def done(*group):
+        try:
+            return work(*group)
+        finally:
+            give_back()
+
+    # Spark counts the parameters
+    return {1: lambda a: done(a), 2: lambda a, b: done(a, b), 3: lambda a, b, c: done(a, b, c)}[len(inspect.signature(work).parameters)]
+
+
+def thrifty_batches(work):
+    """``thrifty`` for work on the batches of a partition."""
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def crc_mod(id_col: str, mod: int) -> Column:
     """crc32(id as text) mod ``mod``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % F.lit(mod)
@@ -40,11 +79,13 @@ def pieces_for(total: int, each: int, least: int) -> int:
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads the bits of 64-bit values (in place)."""
     with np.errstate(over="ignore"):
-        x ^= x >> U64(30)
-        x *= U64(0xBF58476D1CE4E5B9)
-        x ^= x >> U64(27)
-        x *= U64(0x94D049BB133111EB)
-        x ^= x >> U64(31)
+        for k in range(0, len(x), 1 << 16):     # block by block, so no copies of a large array
+            y = x[k: k + (1 << 16)]
+            y ^= y >> U64(30)
+            y *= U64(0xBF58476D1CE4E5B9)
+            y ^= y >> U64(27)
+            y *= U64(0x94D049BB133111EB)
+            y ^= y >> U64(31)
     return x
 
 
@@ -73,7 +114,11 @@ class RangeHash:
         up, self.down = _powers(n + 1)
         with np.errstate(over="ignore"):
             self.sums = np.zeros(n + 1, U64)
-            np.cumsum((buf.astype(U64) + U64(1)) * up[:n], out=self.sums[1:])
+            terms = self.sums[1:]       # worked out in place: a copy takes eight times the text
+            terms[:] = buf
+            terms += U64(1)
+            terms *= up[:n]
+            np.cumsum(terms, out=terms)
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -83,7 +128,9 @@ class RangeHash:
         """Hash of each k-byte range in order of its start."""
         n = len(self.sums) - k
         with np.errstate(over="ignore"):
-            return mix64((self.sums[k:] - self.sums[:n]) * self.down[:n])
+            x = self.sums[k:] - self.sums[:n]
+            x *= self.down[:n]
+            return mix64(x)
 
 
 def ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import ANSWER, NO_ID, Chunk, ask_shared, bucket_slices, chunk_count, first_copies, first_rows, packed, prepared, shared_mask
-from .common import RangeHash, U64, mix64, ranges, runs, store
+from .common import RangeHash, U64, mix64, ranges, runs, store, thrifty
 from .suffixes import common_prefixes, suffix_array
 
 WINDOW, ANCHOR, REGION, HOT = 50, 20, 1 << 15, 1024     # regions of a size that stays in cache
@@ -259,10 +259,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         got = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "dig", "kept"])
         return got.assign(doc_id=pd.array([r[0] for r in out], dtype="Int64"))
 
-    sent = chunks.groupBy("chunk").cogroup(holds.unionByName(answers).groupBy("chunk")).applyInPandas(send, PIECE)
-    minima = sent.groupBy("shard").applyInPandas(shard, ANSWER)
+    sent = chunks.groupBy("chunk").cogroup(holds.unionByName(answers).groupBy("chunk")).applyInPandas(thrifty(send), PIECE)
+    minima = sent.groupBy("shard").applyInPandas(thrifty(shard), ANSWER)
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, dig binary, kept string"
-    own = chunks.groupBy("chunk").cogroup(holds.unionByName(minima).groupBy("chunk")).applyInPandas(finish, result)
+    own = chunks.groupBy("chunk").cogroup(holds.unionByName(minima).groupBy("chunk")).applyInPandas(thrifty(finish), result)
     whole = F.col("n_bytes") >= window
     copies = (ids.join(firsts, "dig").filter("doc_id > first")
               .select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "n_bytes",

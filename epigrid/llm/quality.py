@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import RangeHash, crc_mod, ranges
+from .common import RangeHash, crc_mod, ranges, thrifty_batches
 from .nets import Adam, sigmoid
 
 TRAIN_ROWS, PASSAGE, WIDTH, EPOCHS = 5_000, 400, 259, 14
@@ -164,7 +164,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": pdf["quality"], "n": [len(x) for x in xs], "x": [x.tobytes() for x in xs]})
 
     got = (docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "quality", "text")
-           .mapInPandas(encode, "doc_id long, quality int, n int, x binary").collect())     # bounded by train_rows
+           .mapInPandas(thrifty_batches(encode), "doc_id long, quality int, n int, x binary").collect())     # bounded by train_rows
     got.sort(key=lambda r: (r["doc_id"], r["n"], r["x"]))
     if not got:
         return None
@@ -184,16 +184,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     model = docs.sparkSession.sparkContext.broadcast(net)
     names = [f"{prefix}{c}" for c in ("held_out", "score", "predicted")]
 
+    own = [F.col(f"`{c}`") for c in keep] if keep is not None else [doc.alias("doc_id")]
+    # a text that is kept is not sent a second time
+    sent = keep is not None and text_col in keep and isinstance(docs.schema[text_col].dataType, T.StringType)
+    where, extra = (keep.index(text_col), []) if sent else (len(own), [text.alias(f"{prefix}text_")])
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(k, 1024) for b in batches for k in range(0, b.num_rows, 1024)):
-            kept = batch.num_columns - 2
-            texts = batch.column(kept).to_pylist()
+            texts = batch.column(where).to_pylist()
             s = mil_scores(model.value, texts) if model.value is not None else np.ones(len(texts))
-            columns = [*batch.columns[:kept], batch.column(kept + 1), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))]
+            columns = [*batch.columns[:kept], batch.columns[-1], pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:kept], *names])
 
-    own = [F.col(f"`{c}`") for c in keep] if keep is not None else [doc.alias("doc_id")]
-    fold = crc_mod(id_col, folds) == held_out
-    rows = docs.select(*own, text.alias(f"{prefix}text_"), fold.alias(f"{prefix}fold_"))
-    schema = T.StructType([*rows.schema.fields[:-2], *(T.StructField(n, t) for n, t in zip(names, (T.BooleanType(), T.DoubleType(), T.IntegerType()), strict=True))])
-    return rows.mapInArrow(score, schema)
+    kept, fold = len(own), crc_mod(id_col, folds) == held_out
+    rows = docs.select(*own, *extra, fold.alias(f"{prefix}fold_"))
+    schema = T.StructType([*rows.schema.fields[:kept], *(T.StructField(n, t) for n, t in zip(names, (T.BooleanType(), T.DoubleType(), T.IntegerType()), strict=True))])
+    return rows.mapInArrow(thrifty_batches(score), schema)

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import NO_ID, Chunk, ask_shared, bucket_slices, chunk_count, chunk_of, first_copies, first_rows, packed, prepared, shared_mask
-from .common import RangeHash, U64, mix64, pieces_for, ranges, runs, store
+from .common import RangeHash, U64, mix64, pieces_for, ranges, runs, store, thrifty, thrifty_batches
 from .graph import components
 
 SHINGLE, REGION, BLOCK = 5, 1 << 17, 256
@@ -383,9 +383,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     answers = ask_shared(chunks, holds, n, keys_of)
     sent = store(chunks.groupBy("chunk").cogroup(holds.unionByName(answers).groupBy("chunk")).applyInPandas(
-        send, "kind int, list int, a binary, b binary, c binary"), "signatures")
+        thrifty(send), "kind int, list int, a binary, b binary, c binary"), "signatures")
 
-    possible = sent.filter("kind = 1").groupBy("list").applyInPandas(_list_groups, "a long, b long")
+    possible = sent.filter("kind = 1").groupBy("list").applyInPandas(thrifty(_list_groups), "a long, b long")
     found = components(possible).withColumnRenamed("label", "comp")
     members = store(found.join(found.groupBy("comp").agg(F.count("*").alias("n")), "comp"), "members")
 
@@ -403,11 +403,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 yield pd.DataFrame({"node": (int(chunk) << 32) + np.arange(len(a) // 8), "first": np.frombuffer(a, np.int64),
                                     "n_shingles": np.frombuffer(b, np.int64), "dig": [c[i: i + 32] for i in range(0, len(c), 32)]})
 
-    nodes = sent.filter("kind = 0").select("list", "a", "b", "c").mapInPandas(unpack_nodes, "node long, first long, n_shingles long, dig binary")
+    nodes = sent.filter("kind = 0").select("list", "a", "b", "c").mapInPandas(thrifty_batches(unpack_nodes), "node long, first long, n_shingles long, dig binary")
     nodes = store(nodes, "nodes")        # used several times; the signatures beside it are large
     wanted = nodes.join(members.select("node"), "node", "left_semi").select(
         F.shiftright("node", 32).cast("int").alias("chunk"), F.col("first").alias("doc_id"), "dig", "node")
-    sets = chunks.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInPandas(member_sets, "node long, words binary")
+    sets = chunks.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInPandas(thrifty(member_sets), "node long, words binary")
     sets = store(sets, "sets")
     total, in_large = members.agg(F.count("*"), F.count(F.when(F.col("n") > block, 1))).first()
     bins = pieces_for(total, 512, 24)
