@@ -14,7 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,51 +95,97 @@ def _without_first(lines: DataFrame, skip: int) -> DataFrame:
 
     Each file's first split is identified by ``_metadata.file_block_start = 0``;
     line positions inside it come from ``monotonically_increasing_id``, which
-    numbers the rows of one input partition consecutively.
+    numbers the rows of one input partition consecutively. The first rows, one a
+    file, are broadcast, so the lines stay where and in the order in which they are read.
     """
-    starts = lines.where(F.col("block") == 0).groupBy("file").agg(F.min("row").alias("r0"))
-    return (lines.join(starts, "file", "left")
+    starts = materialize(lines.where(F.col("block") == 0).groupBy("file").agg(F.min("row").alias("r0")), "starts")
+    return (lines.join(F.broadcast(starts), "file", "left")
                  .where((F.col("block") > 0) | (F.col("row") - F.col("r0") >= skip)).drop("r0"))
 
 
+def _records_of_splits(borders: bool):
+    """Work on batches of (split, opened, value), a split's lines in order: its whole records, or with ``borders``
+    the pieces of records that cross its begin or its end, as (split, rec, value).
+
+    ``opened`` counts the lines with an odd number of quotes before the split in its file.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, turn, rec, held = None, 0, None, []      # rec: the number of the held record if it began before the split
+
+        def ended(rec: int | None) -> Iterator[pa.RecordBatch]:
+            if held and (rec is not None) == borders:
+                text = "\n".join(v for part in held for v in part.to_pylist())
+                yield from given(pa.array([text]), rec)
+            held.clear()
+
+        def given(values: pa.Array, rec: int | None = None) -> Iterator[pa.RecordBatch]:
+            if borders and rec is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([split]), pa.array([rec]), values], ["split", "rec", "value"])
+            elif not borders and len(values):
+                yield pa.RecordBatch.from_arrays([values], ["value"])
+
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            edges = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1], [True]))) if len(ids) else []
+            for a, b in zip(edges[:-1], edges[1:]):
+                if ids[a] != split:
+                    yield from ended((turn + 1) // 2)       # still open: it goes on in the next split
+                    split, turn = int(ids[a]), batch.column(1)[int(a)].as_py()
+                    rec = (turn + 1) // 2 if turn % 2 else None
+                values = batch.column(2).slice(a, b - a)
+                odd = pc.count_substring(values, '"').to_numpy() % 2
+                after = turn + np.cumsum(odd)
+                turn = int(after[-1])
+                starts = np.flatnonzero((after - odd) % 2 == 0)
+                first = int(starts[0]) if len(starts) else len(values)
+                if first:
+                    held.append(values.slice(0, first))
+                if len(starts) or turn % 2 == 0:
+                    yield from ended(rec)
+                    rec = None
+                last = int(starts[-1]) if len(starts) and turn % 2 else len(values)
+                if not borders and first < last:
+                    ends = np.append(starts[starts < last], last) - first
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values.slice(first, last - first))
+                    yield from given(pc.binary_join(lists, "\n"))
+                if last < len(values):
+                    held.append(values.slice(last))
+        yield from ended((turn + 1) // 2)
+
+    return run
+
+
 def quoted_records(lines: DataFrame) -> DataFrame:
     """(value): whole records from the lines of delimited text, where quoted cells may hold line breaks.
 
     A line break ends a record when the quotes before it in the file are even in number, so
     lines with an odd number of quotes open and close records in turn.  One small pass counts
     them in every file split; a running sum over a file's splits gives the state in which each
-    split begins.  Only the odd lines are numbered (a split's at a time) and paired; the lines
-    from an opening to its closing line are brought together by an equi-join on their row, at
-    and across split borders.  All other lines pass through where they were read.  A quote
+    split begins.  With it every split puts its lines together where they are read.  Only the
+    pieces of records that cross a border between splits are shuffled, two a border.  A quote
     that is never closed holds the rest of its file, as in a whole-file read.
 
-    ``lines`` has value, file, block and row, as a text scan numbers them.
+    ``lines`` has value, file, block and row, as a text scan numbers and orders them.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     odd = (quotes % 2 == 1).cast("long")
     out = lambda df: df.select(F.regexp_replace("value", r"\r$", "").alias("value"))
-    splits = materialize(lines.groupBy("file", "block").agg(F.sum(odd).alias("k"), F.min("row").alias("lo"), F.max("row").alias("hi")), "splits")
-    if splits.where("k > 0").isEmpty():
+    counts = materialize(lines.groupBy("file", "block").agg(F.sum(odd).alias("k")), "splits")
+    if counts.where("k > 0").isEmpty():
         return out(lines)
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    begin = splits.withColumn("begin", F.coalesce(F.sum("k").over(earlier), F.lit(0))).where("k > 0").select("file", "block", "begin")
-    turn = F.col("begin") + F.row_number().over(Window.partitionBy("file", "block").orderBy("row"))
-    marks = materialize(lines.where(odd == 1).select("file", "block", "row").join(begin, ["file", "block"])
-                        .select("file", "block", "row", turn.alias("turn")), "quotes")
-    rec = F.floor((F.col("turn") + 1) / 2).alias("rec")
-    opened = marks.where("turn % 2 = 1").select("file", rec, F.col("block").alias("b1"), F.col("row").alias("r1"))
-    closed = marks.where("turn % 2 = 0").select("file", rec, F.col("block").alias("b2"), F.col("row").alias("r2"))
-    spans = opened.join(closed, ["file", "rec"], "left")
-    # most records lie in one split; at most one crosses each border
-    inner = spans.where("b1 = b2").select("rec", F.explode(F.sequence("r1", "r2")).alias("row"))
-    border = spans.where("b2 IS NULL OR b1 <> b2").join(splits, "file").where("block >= b1 AND (b2 IS NULL OR block <= b2)")
-    first = F.when(F.col("block") == F.col("b1"), F.col("r1")).otherwise(F.col("lo"))
-    last = F.when(F.col("block") == F.col("b2"), F.col("r2")).otherwise(F.col("hi"))
-    members = materialize(inner.unionByName(border.select("rec", F.explode(F.sequence(first, last)).alias("row"))), "records")
-    marked = lines.join(members, "row", "left")
-    parts = marked.where("rec IS NOT NULL").groupBy("file", "rec").agg(F.array_sort(F.collect_list(F.struct("block", "row", "value"))).alias("l"))
+    splits = materialize(counts.withColumn("opened", F.coalesce(F.sum("k").over(earlier), F.lit(0)))
+                         .withColumn("split", F.monotonically_increasing_id()), "splits")
+    # a row a split, broadcast: the lines keep their order
+    ordered = lambda some: lines.join(F.broadcast(some), ["file", "block"]).select("split", "opened", "value")
+    whole = ordered(splits).mapInArrow(_records_of_splits(False), "value string")
+    crossed = splits.where("opened % 2 = 1 OR (opened + k) % 2 = 1")
+    if crossed.isEmpty():
+        return out(whole)
+    pieces = ordered(crossed).mapInArrow(_records_of_splits(True), "split bigint, rec bigint, value string").join(splits, "split")
+    parts = pieces.groupBy("file", "rec").agg(F.array_sort(F.collect_list(F.struct("block", "value"))).alias("l"))
     joined = parts.select(F.array_join(F.transform("l", lambda v: v["value"]), "\n").alias("value"))
-    return out(marked.where("rec IS NULL").select("value").unionByName(joined))
+    return out(whole.unionByName(joined))
 
 
 def read_sheet(spark: SparkSession, path: str, skip: int, names: Sequence[str], sep: str = ",") -> DataFrame:
