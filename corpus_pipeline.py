@@ -75,9 +75,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes repeated from documents with smaller ids go; a text that loses everything goes with its row."""
-    cut = (repeated_spans(docs, with_text=True).filter("n_removed > 0")
-           .select(F.col("doc_id").alias("_id"), F.col("dig").alias("_cut"), F.col("kept").alias("_kept")).distinct())
+    """Bytes repeated from documents with smaller ids go; a text that loses everything goes with its row.
+
+    What is left of the shortened texts is stored, so the operator's shuffle files are gone before whole rows are joined.
+    """
+    found = (repeated_spans(docs, with_text=True).filter("n_removed > 0")
+             .select(F.col("doc_id").alias("_id"), F.col("dig").alias("_cut"), F.col("kept").alias("_kept")))
+    cut = store(found, "cut").distinct()
     rows = docs.withColumn("_dig", F.unhex(F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256)))
     same = rows["doc_id"].eqNullSafe(cut["_id"]) & (rows["_dig"] == cut["_cut"])
     joined = rows.join(cut, same, "left").filter("_kept IS NULL OR _kept <> ''")
