@@ -4,7 +4,8 @@ A byte goes when some 50-byte string that covers it also starts in a document wi
 smaller id.  Every 50-byte window is filed under its smallest 20-byte string by hash
 (its anchor); consecutive windows with one anchor form a piece of at most 80 bytes.
 Equal windows have equal anchors, so a shard that gets all pieces of an anchor sees all
-copies of a window.
+copies of a window.  Anchors are mixed once more, as the smallest of many hashes would crowd
+the first buckets and shards.
 
 1. Chunk tasks send their distinct anchor hashes to buckets, which answer those that
    several texts hold (8 bytes an anchor, about one anchor in 16 bytes of text).
@@ -84,7 +85,7 @@ def pieces(buf: np.ndarray, starts: np.ndarray, lens: np.ndarray, window: int =
         out[0].append(doc[part[s]])
         out[1].append(at[s] + lo)
         out[2].append(n)
-        out[3].append(h[best[s]])
+        out[3].append(mix64(h[best[s]]))    # smallest hashes lie close to zero: mixed, they fall evenly into ranges
         out[4].append(ranged(at[s], at[s] + n + window - 1))
     return [np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(out, (np.int64, np.int64, np.int64, U64, U64), strict=True)]
 

@@ -5,7 +5,7 @@ import tracemalloc
 
 import numpy as np
 
-from epigrid.llm import common, quality
+from epigrid.llm import chunks, common, dedup, quality
 
 
 def docs_of(spark, texts):
@@ -49,3 +49,11 @@ def test_kept_texts_are_sent_once(spark):
     rows = {r.doc_id: r for r in got.collect()}
     plain = {r.doc_id: r.score for r in quality.quality_scores(docs, labels).collect()}
     assert {i: r["_pscore"] for i, r in rows.items()} == plain and rows[1].text is None and rows[2].text == "x " * 500
+
+
+def test_anchors_fall_evenly_into_buckets():
+    texts = [np.random.default_rng(k).integers(97, 123, 4000).astype(np.uint8) for k in range(50)]
+    lens = np.array([len(t) for t in texts])
+    keys = np.unique(dedup.pieces(np.concatenate(texts), np.cumsum(lens) - lens, lens)[3])
+    sizes = [e - s for _, s, e in chunks.bucket_slices(keys, 24)]
+    assert len(sizes) == 24 and max(sizes) < 1.5 * len(keys) / 24      # the smallest hashes crowded the first
