@@ -40,12 +40,13 @@ def give_back() -> None:
 
 
 def thrifty(work):
-    """``work`` of a group, which gives back the memory it used when it's done.
+    """``work`` of a group, which gives back the memory it used when it's done, and before it the last result's.
 
     Spark keeps Python workers between tasks and allocators keep what was freed, so an
     executor would carry the largest group of every worker along, idle ones included.
     """
     def done(*group):
+        give_back()
         try:
             return work(*group)
         finally:

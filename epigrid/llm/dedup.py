@@ -15,8 +15,8 @@ the first buckets and shards.
    leftmost-smaller substrings recursively, induces the shard's suffix array, and computes
    permuted common prefixes.  Suffixes with 50 common bytes are copies of one window; the
    group's smallest id answers for each of them.
-4. Chunk tasks mark windows whose smallest id is below the document's own, join the marked
-   bytes into spans, and hash what is left.
+4. Chunk tasks mark windows whose smallest id is below the document's own, some pieces at a
+   time, join the bytes they cover into spans, text by text, and hash what is left.
 
 Anchors that ``hot`` chunks or more hold are filed window by window under the window's own
 hash, so a passage that stands in a third of all documents does not meet in one shard.
@@ -33,6 +33,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,7 @@ from .common import RangeHash, U64, mix64, ranges, runs, store, thrifty
 from .suffixes import common_prefixes, suffix_array
 
 WINDOW, ANCHOR, REGION, HOT = 50, 20, 1 << 15, 1024     # regions of a size that stays in cache
+AT_ONCE = 1 << 14           # pieces that are marked at a time, each of 31 windows at most
 LOW = U64((1 << 22) - 1)
 COLS = ["chunk", "kind", "bucket", "doc_id", "dig", "a", "b"]
 PIECE = "shard int, chunk int, head binary, body binary"
@@ -130,6 +132,25 @@ def _split_hot(doc, first, count, anchor, content, hot: np.ndarray, buf: np.ndar
     return join
 
 
+def _told(rows: pd.DataFrame):
+    """(anchors, content hashes, windows, smallest id of each window) of the shards' answers, some of them at a time."""
+    undo = zstandard.ZstdDecompressor()
+    done = np.cumsum([len(a) for a in rows["a"]]) // (24 * AT_ONCE) if len(rows) else np.zeros(0, np.int64)
+    for _, part in rows.groupby(done, sort=False):
+        heads = [np.frombuffer(a, np.int64).reshape(3, -1) for a in part["a"]]
+        k_h, k_c, k_n = (np.concatenate([x[i] for x in heads]) for i in range(3))
+        yield k_h.view(U64), k_c.view(U64), k_n, np.concatenate([np.frombuffer(undo.decompress(b), np.int64) for b in part["b"]])
+
+
+def _covered(starting: np.ndarray, window: int) -> np.ndarray:
+    """Which bytes of a text its windows cover, by the windows' first bytes."""
+    at = np.flatnonzero(starting)
+    step = np.zeros(len(starting) + 1, np.int32)
+    step[at] += 1
+    step[at + window] -= 1
+    return np.cumsum(step, dtype=np.int32, out=step)[:-1] > 0
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR,
                    hot: int = HOT, with_text: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row, and with ``with_text`` (dig, kept).
@@ -210,7 +231,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             minima[ranges((np.cumsum(count) - count)[several], count[several])] = got
         offset = np.cumsum(count) - count
         smallest = np.minimum.reduceat(minima, offset)
-        out, at = [], 0
+        out, at, press = [], 0, zstandard.ZstdCompressor(level=1)      # mostly one id over and over
         for chunk, head in zip(pdf["chunk"], heads, strict=True):
             mine = np.array(which[at: at + head.shape[1]], np.int64)
             at += head.shape[1]
@@ -218,7 +239,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             if use.any():
                 got = mine[use]
                 out.append((chunk, 2, key[0], 0, None, np.concatenate([head[:2, use].ravel(), count[got]]).tobytes(),
-                            minima[ranges(offset[got], count[got])].tobytes()))
+                            press.compress(minima[ranges(offset[got], count[got])].tobytes())))
         return pd.DataFrame(out, columns=COLS)
 
     def finish(key, pdf: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -227,34 +248,28 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         hot_keys = [np.frombuffer(x, U64) for x in right.loc[right["kind"] == 3, "a"]]
         if hot_keys:
             doc, first, count, h, content = _split_hot(doc, first, count, h, content, np.isin(h, np.concatenate(hot_keys)), c.buf, window)
-        cover = np.zeros(len(c.buf) + 1, np.int32)
-        told = right[right["kind"] == 2]
-        if len(told):
-            heads = [np.frombuffer(a, np.int64).reshape(3, -1) for a in told["a"]]
-            k_h, k_c, k_n = (np.concatenate([x[i] for x in heads]) for i in range(3))
-            low = np.concatenate([np.frombuffer(b, np.int64) for b in told["b"]])
+        order = np.argsort(content, kind="stable")
+        ordered = content[order]
+        starting = np.zeros(len(c.buf), bool)                   # first bytes of windows that go
+        for k_h, k_c, k_n, low in _told(right[right["kind"] == 2]):
             off = np.cumsum(k_n) - k_n
-            order = np.argsort(k_c.view(U64), kind="stable")
-            ordered = k_c.view(U64)[order]
-            at = np.minimum(np.searchsorted(ordered, content), len(ordered) - 1)
-            hit = (ordered[at] == content) & (k_h.view(U64)[order[at]] == h)
-            use = order[at[hit]]
-            starts = ranges(first[hit], count[hit])
-            gone = low[ranges(off[use], count[hit])] < np.repeat(c.ids[doc[hit]], count[hit])
-            np.add.at(cover, starts[gone], 1)
-            np.add.at(cover, starts[gone] + window, -1)
-        removed = np.cumsum(cover)[:-1] > 0
-        edge = removed.copy()
-        edge[1:] &= ~removed[:-1]
-        inner = c.starts[c.lens > 0]
-        edge[inner] = removed[inner]
+            lo = np.searchsorted(ordered, k_c, "left")
+            times = np.searchsorted(ordered, k_c, "right") - lo
+            mine, of = order[ranges(lo, times)], np.repeat(np.arange(len(k_c)), times)
+            same = h[mine] == k_h[of]
+            mine, of = mine[same], of[same]
+            for k in range(0, len(mine), AT_ONCE):
+                p, q = mine[k: k + AT_ONCE], of[k: k + AT_ONCE]
+                gone = low[ranges(off[q], count[p])] < np.repeat(c.ids[doc[p]], count[p])
+                starting[ranges(first[p], count[p])[gone]] = True
         out = []
         for k, (i, dig) in enumerate(c.keys):
-            s, e = int(c.starts[k]), int(c.starts[k] + c.lens[k])
-            gone = removed[s:e]
+            s, n = int(c.starts[k]), int(c.lens[k])
+            gone = _covered(starting[s: s + n], window)
             lost = int(gone.sum())
-            left = c.buf[s:e][~gone].tobytes() if lost else c.buf[s:e].tobytes()
-            row = (None if i == NO_ID else i, e - s, lost, int(edge[s:e].sum()), hashlib.sha256(left).hexdigest(), dig,
+            n_spans = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
+            left = c.buf[s: s + n][~gone].tobytes()
+            row = (None if i == NO_ID else i, n, lost, n_spans, hashlib.sha256(left).hexdigest(), dig,
                    left.decode("utf-8", "ignore") if lost and with_text else None)
             out += [row] * c.times[k]
         got = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "dig", "kept"])

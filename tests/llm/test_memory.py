@@ -4,6 +4,8 @@ import inspect
 import tracemalloc
 
 import numpy as np
+import pandas as pd
+import zstandard
 
 from epigrid.llm import chunks, common, dedup, quality
 
@@ -57,3 +59,28 @@ def test_anchors_fall_evenly_into_buckets():
     keys = np.unique(dedup.pieces(np.concatenate(texts), np.cumsum(lens) - lens, lens)[3])
     sizes = [e - s for _, s, e in chunks.bucket_slices(keys, 24)]
     assert len(sizes) == 24 and max(sizes) < 1.5 * len(keys) / 24      # the smallest hashes crowded the first
+
+
+def test_windows_are_marked_text_by_text():
+    rng = np.random.default_rng(1)
+    for n in (50, 51, 400):
+        starting = rng.random(n) < 0.01
+        starting[n - 49:] = False
+        want = [any(starting[max(0, i - 49): i + 1]) for i in range(n)]
+        assert dedup._covered(starting, 50).tolist() == want
+    assert not len(dedup._covered(np.zeros(0, bool), 50))
+
+
+def test_answers_are_read_some_at_a_time(spark, monkeypatch):
+    line = "".join(chr(97 + k * k % 23) for k in range(300))
+    texts = [line[k: k + 120] + f" {k * 7919} " + line[-90 - k:] for k in range(40)]
+    plain = sorted(map(tuple, dedup.repeated_spans(docs_of(spark, texts)).collect()))
+    told = []
+    real = dedup._told
+    monkeypatch.setattr(dedup, "AT_ONCE", 2)
+    heads = pd.DataFrame({"a": [np.arange(6, dtype=np.int64).tobytes()] * 5, "b": [zstandard.compress(np.arange(4, 9).tobytes())] * 5})
+    for part in real(heads):
+        told.append([x.tolist() for x in part])
+    assert len(told) > 1 and sum(len(x[0]) for x in told) == 10 and told[0][3][:5] == [4, 5, 6, 7, 8]
+    assert not list(real(heads[:0]))
+    assert sorted(map(tuple, dedup.repeated_spans(docs_of(spark, texts)).collect())) == plain and any(r[2] for r in plain)
